@@ -6,26 +6,32 @@ partition filter and not a loop. The explicit schema names only the fields in us
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire import schemas
 
 
+COLUMNS = f"{schemas.PAGE}, journal STRING"
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Page rows with ``journal`` from the path and the landing order of the line."""
-    pages = spark.read.schema(f"{schemas.PAGE}, journal STRING").json(path)
-    return pages.select("message", "journal", landing_order().alias("landed"))
+    return with_lines(with_files(spark.read.schema(COLUMNS).json(path)))
 
 
-def landing_order() -> Column:
-    """Order in which lines landed: file time, file, split, line."""
-    return F.struct(
+def with_files(pages: DataFrame) -> DataFrame:
+    """Add ``landed``: when and in which file split a page came in."""
+    return pages.select("message", "journal", F.struct(
         F.col("_metadata.file_modification_time").alias("time"),
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("line"),
-    )
+    ).alias("landed"))
+
+
+def with_lines(pages: DataFrame) -> DataFrame:
+    """Add ``line``, which ascends within a file split."""
+    return pages.withColumn("line", F.monotonically_increasing_id())
 
 
 def parse_pages(lines: DataFrame, text: str = "value") -> DataFrame:
@@ -42,4 +48,4 @@ def page_items(pages: DataFrame) -> DataFrame:
     return pages.select(F.posexplode("message.items").alias("item_pos", "item"), *rest)
 
 
-INGEST_ORDER = ["landed", "item_pos"]
+INGEST_ORDER = ["landed", "line", "item_pos"]

@@ -22,20 +22,18 @@ from quire.sources.issues import accepted_entries
 
 def page_stream(spark: SparkSession, path: str) -> DataFrame:
     """Landed page files as a stream."""
-    raw = spark.readStream.schema(f"{schemas.PAGE}, journal STRING").json(path)
-    return raw.select("message", "journal", pages.landing_order().alias("landed"))
+    return pages.with_files(spark.readStream.schema(pages.COLUMNS).json(path))
 
 
 def flatten_stream(page_rows: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Append flattened articles of every micro-batch to ``out/batch=<n>``."""
-    rows = articles.article_rows(pages.page_items(page_rows))
-
     def write(batch: DataFrame, number: int) -> None:
-        newest = keyed.latest(batch, ["doi"], [F.col(c) for c in pages.INGEST_ORDER])
+        rows = articles.article_rows(pages.page_items(pages.with_lines(batch)))
+        newest = keyed.latest(rows, ["doi"], [F.col(c) for c in pages.INGEST_ORDER])
         newest.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return (
-        rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+        page_rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
 
