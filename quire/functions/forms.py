@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quire import vocab
 from quire.functions.periods import parse_period, whole_number
-from quire.functions.text import blank_to_null, strip
+from quire.functions.text import blank_to_null, first_part, let, second_part, strip
 
 # Headings of an addition form that must be filled in.
 REQUIRED_HEADINGS = ["Title (paper or dataset)", "Authors", "DOI", "Data link"]
@@ -17,17 +17,23 @@ def sections(body: Column) -> Column:
     """Form body as ``map<heading, value>``; a repeated heading keeps its last value."""
     blocks = F.filter(F.split(body, r"(?dm)^### "), lambda b: strip(b) != "")
     pairs = F.transform(blocks, lambda b: F.struct(
-        strip(F.regexp_extract(b, r"^[^\n]*", 0)).alias("key"),
-        strip(F.regexp_replace(b, r"^[^\n]*\n?", "")).alias("value"),
+        strip(first_part(b, "\n")).alias("key"), strip(second_part(b, "\n")).alias("value"),
     ))
     pairs = F.transform(pairs, lambda p: F.struct(
         p["key"].alias("key"),
         F.when(p["value"] == vocab.NO_RESPONSE, F.lit("")).otherwise(p["value"]).alias("value"),
     ))
-    empty = F.create_map().cast("map<string,string>")
-    return F.reduce(pairs, empty, lambda done, p: F.map_concat(
-        F.map_filter(done, lambda k, _: k != p["key"]), F.create_map(p["key"], p["value"])
+    return let(pairs, last_of_each)
+
+
+def last_of_each(pairs: Column) -> Column:
+    """Key-value pairs as a map; of pairs with the same key the last one counts."""
+    keys = F.array_distinct(F.transform(pairs, lambda p: p["key"]))
+    last = F.transform(keys, lambda k: F.element_at(
+        F.filter(pairs, lambda p: p["key"] == k), -1
     ))
+    unique = F.size(keys) == F.size(pairs)
+    return F.map_from_entries(F.when(unique, pairs).otherwise(last))
 
 
 def field(fields: Column, heading: str) -> Column:
@@ -39,8 +45,7 @@ def author_list(raw: Column) -> Column:
     """``Last, First; ...`` as an array of ``struct<family, given>``."""
     people = F.filter(F.transform(F.split(raw, ";"), lambda p: strip(p)), lambda p: p != "")
     return F.transform(people, lambda p: F.struct(
-        strip(F.regexp_extract(p, "^[^,]*", 0)).alias("family"),
-        strip(F.regexp_replace(p, "^[^,]*,?", "")).alias("given"),
+        strip(first_part(p, ",")).alias("family"), strip(second_part(p, ",")).alias("given"),
     ))
 
 

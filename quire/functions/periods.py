@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quire import vocab
-from quire.functions.text import SPACE, strip
+from quire.functions.text import SPACE, let, strip
 
 YEAR = r"[+-]?[0-9]+(?:_[0-9]+)*"
 
@@ -20,12 +20,14 @@ def whole_number(text: Column) -> Column:
 
 def parse_period(text: Column) -> Column:
     """``a-b``, ``a–b`` or ``a`` as ``struct<start, end>``; anything else gives nulls."""
-    bare = strip(text)
-    span = f"^(-?[0-9]+){SPACE}*[–-]{SPACE}*(-?[0-9]+)\\z"
-    single = F.regexp_extract(bare, r"^(-?[0-9]+)\z", 1)
-    start = F.when(bare.rlike(span), F.regexp_extract(bare, span, 1)).otherwise(single)
-    end = F.when(bare.rlike(span), F.regexp_extract(bare, span, 2)).otherwise(single)
-    return F.struct(start.try_cast("int").alias("start"), end.try_cast("int").alias("end"))
+    span = f"^(-?[0-9]+)(?:{SPACE}*[–-]{SPACE}*(-?[0-9]+))?\\z"
+
+    def years(bare: Column) -> Column:
+        start, end = F.regexp_extract(bare, span, 1), F.regexp_extract(bare, span, 2)
+        end = F.when(end == "", start).otherwise(end)
+        return F.struct(start.try_cast("int").alias("start"), end.try_cast("int").alias("end"))
+
+    return let(strip(text), years)
 
 
 def period_label(start: Column, end: Column) -> Column:

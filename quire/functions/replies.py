@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quire.functions import names
-from quire.functions.text import json_slice
+from quire.functions.text import json_slice, let
 
 EMPTY = "array<string>"
 
@@ -30,15 +30,10 @@ def is_list(value: Column) -> Column:
 
 def truthy(value: Column) -> Column:
     """False for absent, null, false, zero and empty values; true for all others."""
-    shape = kind(value)
-    return (
-        F.when(value.isNull() | (shape == "VOID"), F.lit(False))
-        .when(shape == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
-        .when(shape == "STRING", F.try_variant_get(value, "$", "string") != "")
-        .when(shape.startswith("ARRAY"), F.to_json(value) != "[]")
-        .when(shape.startswith("OBJECT"), F.to_json(value) != "{}")
-        .otherwise(F.try_variant_get(value, "$", "double") != 0)
-    )
+    empty = F.to_json(value).isin("null", "false", '""', "[]", "{}")
+    number = F.try_variant_get(value, "$", "double")
+    zero = kind(value).rlike("^(BIGINT|DECIMAL|DOUBLE)") & (number == 0)
+    return value.isNotNull() & ~empty & ~zero
 
 
 def strict_int(value: Column) -> Column:
@@ -58,8 +53,7 @@ def string_items(value: Column) -> Column:
 
 def parse_reply(raw: Column) -> Column:
     """Reply text as VARIANT when it holds a JSON object, else null (a reject)."""
-    value = F.try_parse_json(json_slice(raw))
-    return F.when(is_object(value), value)
+    return let(F.try_parse_json(json_slice(raw)), lambda v: F.when(is_object(v), v))
 
 
 def reply_fields(value: Column, lookup: Column, valid: list[str]) -> list[Column]:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire import vocab
@@ -21,24 +22,55 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def strip(text: Column, space: str = SPACE) -> Column:
+def members(space: str) -> str:
+    """The characters of a whitespace class."""
+    return "".join(c for c in map(chr, range(0x10000)) if re.fullmatch(space, c))
+
+
+SPACES, WEB_SPACES = members(SPACE), members(WEB_SPACE)
+
+
+def strip(text: Column, spaces: str = SPACES) -> Column:
     """Remove whitespace, line breaks included, from both ends."""
-    return F.regexp_replace(text, f"^{space}+|{space}+\\z", "")
+    return F.btrim(text, F.lit(spaces))
+
+
+def first_part(text: Column, mark: str) -> Column:
+    """Text before the first ``mark``, all of it when there is none."""
+    return F.substring_index(text, mark, 1)
+
+
+def second_part(text: Column, mark: str) -> Column:
+    """Text after the first one-character ``mark``, '' when there is none."""
+    return F.substr(text, F.length(first_part(text, mark)) + F.lit(1 + len(mark)))
 
 
 def blank_to_null(text: Column) -> Column:
     return F.when(text != "", text)
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that is computed once per row.
+
+    The optimizer copies a projected expression into every filter and column that uses it.
+    It does not look through a generator, here one that gives a single row.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def json_slice(raw: Column) -> Column:
     """The JSON object inside a chatty or code-fenced reply, else the stripped reply."""
-    whole = strip(raw)
-    lines = F.regexp_replace(whole, LINE_BREAK, "\n")
-    inner = F.regexp_replace(lines, r"^[^\n]*\n?", "")
-    unfenced = F.regexp_replace(inner, f"(?:^|\\n){SPACE}*```{SPACE}*\\z", "")
-    body = F.when(whole.startswith("```"), unfenced).otherwise(whole)
-    sliced = F.regexp_extract(body, r"(?s)\{.*\}", 0)
-    return F.when(body.contains("{") & body.contains("}"), sliced).otherwise(body)
+    def unfenced(whole: Column) -> Column:
+        lines = F.regexp_replace(whole, LINE_BREAK, "\n")
+        inner = second_part(lines, "\n")
+        bare = F.regexp_replace(inner, f"(?:^|\\n){SPACE}*```{SPACE}*\\z", "")
+        return F.when(whole.startswith("```"), bare).otherwise(whole)
+
+    def sliced(body: Column) -> Column:
+        inside = F.regexp_extract(body, r"(?s)\{.*\}", 0)
+        return F.when(body.contains("{") & body.contains("}"), inside).otherwise(body)
+
+    return let(let(strip(raw), unfenced), sliced)
 
 
 def prompt(title: Column, abstract: Column) -> Column:
@@ -62,10 +94,14 @@ def repository_doi(reference: Column) -> Column:
 
 
 def plain_text(markup: Column) -> Column:
-    """Markup reduced to plain text without a leading "Abstract" heading; null gives ''."""
+    """Markup reduced to plain text without a leading "Abstract" heading; null gives ''.
+
+    Single blanks are left alone when whitespace is collapsed, as they are most of it.
+    """
+    runs = f" {WEB_SPACE}+|{WEB_SPACE[:6]}{WEB_SPACE[7:]}{WEB_SPACE}*"
     untagged = F.regexp_replace(F.coalesce(markup, F.lit("")), "<[^>]+>", " ")
-    flat = strip(F.regexp_replace(untagged, f"{WEB_SPACE}+", " "), WEB_SPACE)
-    return strip(F.regexp_replace(flat, r"(?i)^abstract[ :.\-]+", ""), WEB_SPACE)
+    flat = strip(F.regexp_replace(untagged, runs, " "), WEB_SPACES)
+    return strip(F.regexp_replace(flat, r"(?i)^abstract[ :.\-]+", ""), WEB_SPACES)
 
 
 def doi_link(doi: Column) -> Column:

@@ -76,11 +76,10 @@ def resolve_dois(reply_rows: DataFrame, ids: DataFrame) -> DataFrame:
 
 def parsed_replies(reply_rows: DataFrame) -> DataFrame:
     """Add ``parsed`` (VARIANT object or null) and a reject ``reason``."""
-    value = replies.parse_reply(F.col("raw"))
     if "reason" not in reply_rows.columns:
         reply_rows = reply_rows.withColumn("reason", F.lit(None).cast("string"))
     reason = F.when(F.col("parsed").isNull(), F.lit("not a JSON object"))
-    return reply_rows.withColumn("parsed", value).withColumn(
+    return text.once(reply_rows, "parsed", replies.parse_reply(F.col("raw"))).withColumn(
         "reason", F.coalesce("reason", reason)
     )
 

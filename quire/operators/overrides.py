@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire import schemas, vocab
-from quire.functions import replies
+from quire.functions import replies, text
+from quire.functions.text import once
 from quire.operators import keyed
 from quire.operators.articles import Catalogue
 
@@ -52,38 +53,39 @@ def typed(name: str, value: Column) -> Column:
     return text_value(value)
 
 
-def read_entries(log: DataFrame) -> DataFrame:
-    """Parse the log: ``entry`` as VARIANT, the ``keys`` it carries, and a reject ``reason``."""
-    entry = F.try_parse_json("raw")
-    parsed = log.withColumn("entry", F.when(replies.is_object(entry), entry)).withColumn(
-        "keys", F.when(F.col("entry").isNotNull(), F.json_object_keys("raw"))
-    )
-    value = F.col("entry")
+def at(name: str) -> Column:
+    """Member of the parsed entry: absent keys are SQL null, explicit nulls are not."""
+    return replies.field(F.col("entry"), name)
+
+
+def has(name: str) -> Column:
+    return at(name).isNotNull()
+
 
+def read_entries(log: DataFrame) -> DataFrame:
+    """Parse the log: ``entry`` as VARIANT, and a reject ``reason``."""
     def unreadable(name: str) -> Column:
-        member = replies.field(value, name)
-        bad = typed(name, member).isNull()
+        bad = typed(name, at(name)).isNull()
         if name not in ("regions", "countries"):
-            bad = bad & (replies.kind(member) != "VOID")
+            bad = bad & (replies.kind(at(name)) != "VOID")
         return F.when(has(name) & bad, F.lit(name))
 
     broken = F.array_compact(F.array(*[unreadable(n) for n in FIELDS if n != "is_hpe"]))
-    required = F.array(*[F.lit(r) for r in REQUIRED])
-    missing = F.array_sort(F.array_except(required, F.col("keys")))
+    missing = F.array_compact(F.array(*[F.when(~has(n), F.lit(n)) for n in REQUIRED]))
     reason = (
-        F.when(value.isNull(), F.lit("not a JSON object"))
+        F.when(~replies.is_object(F.col("entry")), F.lit("not a JSON object"))
         .when(F.coalesce(F.col("doi"), F.lit("")) == "", F.lit("missing doi"))
-        .when(
-            (F.col("list") == ADDITIONS) & (F.size(missing) > 0),
-            F.concat(F.lit("missing required fields: "), F.array_join(missing, ", ")),
-        )
-        .when(F.size(broken) > 0, F.concat(F.lit("unreadable: "), F.array_join(broken, ", ")))
+        .when(F.col("list") == ADDITIONS, listing("missing required fields: ", missing))
     )
-    return parsed.withColumn("reason", reason)
+    reason = F.coalesce(reason, listing("unreadable: ", broken))
+    return once(once(log, "entry", F.try_parse_json("raw")), "reason", reason)
 
 
-def has(name: str) -> Column:
-    return F.array_contains(F.col("keys"), name)
+def listing(label: str, found: Column) -> Column:
+    """``label`` and the names found, null when there are none."""
+    return text.let(found, lambda names: F.when(
+        F.size(names) > 0, F.concat(F.lit(label), F.array_join(names, ", "))
+    ))
 
 
 def usable(entries: DataFrame, which: str) -> DataFrame:
@@ -92,21 +94,20 @@ def usable(entries: DataFrame, which: str) -> DataFrame:
 
 def effective(corrections: DataFrame) -> DataFrame:
     """Corrections that change something: a known field, or a non-empty author list."""
-    people = F.coalesce(F.size(people_value(replies.field(F.col("entry"), "authors"))), F.lit(0))
-    known = F.array(*[F.lit(f) for f in FIELDS])
-    return corrections.where(F.arrays_overlap("keys", known) | (people > 0))
+    change = F.coalesce(F.size(people_value(at("authors"))), F.lit(0)) > 0
+    for name in FIELDS:
+        change = change | has(name)
+    return corrections.where(change)
 
 
 def fold_corrections(corrections: DataFrame) -> DataFrame:
     """One row per DOI: for each field a ``struct<value>`` from the last entry that has the
     key, or null when none does."""
-    entry = F.col("entry")
-
     def last(name: str) -> Column:
-        value = F.struct(typed(name, replies.field(entry, name)).alias("value"))
+        value = F.struct(typed(name, at(name)).alias("value"))
         return F.max_by(value, F.when(has(name), F.col("pos"))).alias(name)
 
-    people = people_value(replies.field(entry, "authors"))
+    people = people_value(at("authors"))
     return corrections.groupBy("doi").agg(
         *[last(f) for f in FIELDS],
         F.max_by(people, F.when(F.size(people) > 0, F.col("pos"))).alias("authors"),
@@ -138,11 +139,6 @@ def apply_corrections(cat: Catalogue, entries: DataFrame) -> Catalogue:
 
 def addition_rows(entries: DataFrame) -> DataFrame:
     """Usable additions as one typed row each, defaults filled in, nested ``authors``."""
-    entry = F.col("entry")
-
-    def at(name: str) -> Column:
-        return replies.field(entry, name)
-
     none = F.array().cast("array<string>")
     journal = text_value(at("journal"))
     return usable(entries, ADDITIONS).select(
@@ -157,7 +153,7 @@ def addition_rows(entries: DataFrame) -> DataFrame:
 
 
 def apply_additions(
-    cat: Catalogue, entries: DataFrame, at: Column | None = None, cascade: bool = False
+    cat: Catalogue, entries: DataFrame, stamp: Column | None = None, cascade: bool = False
 ) -> Catalogue:
     """Insert or wholly replace the added articles; the last addition per DOI wins.
 
@@ -173,7 +169,7 @@ def apply_additions(
     articles = last.withColumns({**blank, "month": F.lit(None).cast("int")})
     classes = last.withColumns({
         "backend": F.lit(vocab.MANUAL_BACKEND), "model": F.lit(vocab.MANUAL_MODEL),
-        "classified_at": F.current_timestamp() if at is None else at,
+        "classified_at": F.current_timestamp() if stamp is None else stamp,
     })
     return Catalogue(
         keyed.upsert(cat.articles, articles.select(*cat.articles.columns), ["doi"]),
@@ -187,11 +183,11 @@ def apply_additions(
 
 
 def apply_overrides(
-    cat: Catalogue, log: DataFrame, at: Column | None = None, cascade: bool = False
+    cat: Catalogue, log: DataFrame, stamp: Column | None = None, cascade: bool = False
 ) -> Catalogue:
     """All corrections first, then all additions."""
     entries = read_entries(log)
-    return apply_additions(apply_corrections(cat, entries), entries, at, cascade)
+    return apply_additions(apply_corrections(cat, entries), entries, stamp, cascade)
 
 
 def override_stats(cat: Catalogue, log: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quire.operators import articles, overrides
 from quire.operators.articles import Catalogue
-from quire.plans.tables.shapes import joined, load, text
+from quire.plans.tables.shapes import joined, load, load_wide, text
 from quire.sources import issues, tables
 from quire.streaming import jobs as streams
 
@@ -35,7 +35,7 @@ def customers(spark, d) -> Catalogue:
 
 
 def events(spark, d):
-    return load(spark, d, "events").select(
+    return load_wide(spark, d, "events").select(
         "event_id", text("user_id").alias("doi"), "event_type", "value",
         F.get_json_object("props", "$.k").cast("int").alias("k"),
     )

@@ -10,7 +10,7 @@ from quire.operators import (
 )
 from quire.operators.articles import Catalogue
 from quire.plans.tables.shapes import (
-    ENTRIES_SQL, SUBREGIONS, entries, geography, joined, load, text,
+    ENTRIES_SQL, SUBREGIONS, entries, geography, joined, load, load_wide, text,
 )
 from quire.sources import pages, responses
 
@@ -30,7 +30,7 @@ def journal():
 
 def catalogue(spark, d) -> Catalogue:
     """Documents as articles, conversation turns as authors, labels as classifications."""
-    docs = load(spark, d, "documents")
+    docs = load_wide(spark, d, "documents")
     line = F.split(F.col("text"), "\n")[0]
     title = F.when(F.col("lang") == "de", F.concat(F.lit("Erratum: "), line)).otherwise(line)
     arts = docs.select(
@@ -74,7 +74,7 @@ cls AS (
 
 def flatten_items(spark, d):
     """Conversation turns as landed metadata pages, parsed and flattened."""
-    turns = load(spark, d, "conversations")
+    turns = load_wide(spark, d, "conversations")
     item = F.struct(
         F.concat(F.lit("10.1/CONV-"), text("conv_id"), F.lit("-"), text("turn")).alias("DOI"),
         F.when(F.col("role") == "system", F.array(F.lit("<i>Review</i>")))
@@ -361,7 +361,7 @@ def reclassify(spark, d):
     result = F.struct(
         status.alias("type"), F.struct(F.array(block).alias("content")).alias("message")
     )
-    lines = load(spark, d, "documents").select(F.to_json(F.struct(
+    lines = load_wide(spark, d, "documents").select(F.to_json(F.struct(
         classify.request_id(text("doc_id")).alias("custom_id"), result.alias("result")
     )).alias("value"))
     replies = classify.resolve_dois(

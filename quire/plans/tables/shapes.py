@@ -7,8 +7,11 @@ geography, with a middle level made from the nation key.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quire import vocab
 
@@ -26,8 +29,27 @@ ENTRY_ORDER = ["-year", "title", "doi"]
 TEXTS = "array<string>"
 
 
+@cache
+def schema_of(path: str) -> StructType:
+    """Schema of a table, read from its footers once."""
+    return SparkSession.getActiveSession().read.parquet(path).schema
+
+
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    path = f"{folder}/{name}.parquet"
+    return spark.read.schema(schema_of(path)).parquet(path)
+
+
+def load_wide(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
+    """A table for row-by-row text work, spread over the cores.
+
+    A file with one row group is a single task, however costly its rows. Input that already
+    comes in as many partitions as there are cores, as it does at scale, is not shuffled.
+    """
+    rows = load(spark, folder, name)
+    rows = rows.select(*columns) if columns else rows
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def text(column: str | Column) -> Column:

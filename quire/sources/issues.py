@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quire import schemas
 from quire.functions import forms
+from quire.functions.text import once
 from quire.operators.overrides import ADDITIONS, CORRECTIONS
 
 # Issue types and the log list each goes to.
@@ -21,24 +22,21 @@ def parsed_issues(issues: DataFrame) -> DataFrame:
     """Issue rows to ``list, pos, issue, doi, raw`` plus a reject ``reason``."""
     fields = F.col("fields")
     is_fix = F.col("type") == "correction"
-    raw = F.when(is_fix, F.col("fix")).when(F.col("type") == "new-entry", F.col("add"))
     missing = forms.missing_headings(fields)
     reason = (
         F.when(~F.coalesce(F.col("type"), F.lit("")).isin(list(LISTS)), F.lit("unknown type"))
-        .when(is_fix & F.col("fix").isNull(), F.lit("DOI is required"))
-        .when(~is_fix & F.col("add").isNull(), F.concat(
+        .when(is_fix & F.col("raw").isNull(), F.lit("DOI is required"))
+        .when(~is_fix & F.col("raw").isNull(), F.concat(
             F.lit("Missing required fields: "), F.array_join(missing, ", ")))
     )
-    return (
-        issues.withColumn("fields", forms.sections(F.col("body")))
-        .withColumns({
-            "fix": forms.correction_entry(fields), "add": forms.addition_entry(fields),
-        })
-        .select(
-            F.when(is_fix, CORRECTIONS).otherwise(ADDITIONS).alias("list"), "pos",
-            F.col("issue_id").alias("issue"), forms_doi(fields).alias("doi"),
-            raw.alias("raw"), reason.alias("reason"),
-        )
+    parsed = once(issues, "fields", forms.sections(F.col("body")))
+    entry = F.when(is_fix, forms.correction_entry(fields)).when(
+        F.col("type") == "new-entry", forms.addition_entry(fields)
+    )
+    return once(parsed, "raw", entry).select(
+        F.when(is_fix, CORRECTIONS).otherwise(ADDITIONS).alias("list"), "pos",
+        F.col("issue_id").alias("issue"), forms_doi(fields).alias("doi"),
+        "raw", reason.alias("reason"),
     )
 
 

@@ -449,7 +449,7 @@ def test_additions(spark, cat):
         {"title": "No DOI", "replication_url": "u"},
         {"doi": "10.1/r", "title": "R", "replication_url": "u", "regions": None},
     ])
-    out = overrides.apply_overrides(cat, log, at=F.lit(NOW))
+    out = overrides.apply_overrides(cat, log, stamp=F.lit(NOW))
     arts, classes = by_doi(out.articles), by_doi(out.classifications)
     assert sorted(arts) == ["10.1/a", "10.1/b", "10.1/c", "10.1/n"]
     assert arts["10.1/n"]["journal"] == "Unpublished" and arts["10.1/n"]["title"] == "N"
