@@ -148,6 +148,7 @@ def matrix_cells(
         F.struct(F.lit(i).alias("bucket"), F.lit(b[0]).alias("label"), F.col(f"b{i}").alias("n"))
         for i, b in enumerate(buckets)
     ])
+    matrix = matrix.cache()  # one row per key, used for the cells and for their peak
     return matrix.select("row_key", F.inline(cells)).withColumn(
         "peak", matrix_peak(matrix)
     ).withColumn("heat", periods.heat(F.col("n"), F.col("peak")))
@@ -175,84 +176,104 @@ def cell_filter(
 # -- countries of a sub-region -------------------------------------------------------------
 
 
-def region_counts(regions: Column, countries: Column, home: Column) -> Column:
-    """``struct<region, n>`` per region: how many of the entry's countries are at home there."""
-    homes = F.transform(countries, lambda c: F.try_element_at(home, c))
-    return F.transform(regions, lambda r: F.struct(
-        r.alias("region"), F.size(F.filter(homes, lambda h: h == r)).alias("n")
+def homes_of(countries: Column, home: Column) -> Column:
+    """``struct<country, home, n>`` per distinct country, blanks dropped: one look-up each.
+
+    ``n`` is how often the entry repeats the name.
+    """
+    named = F.filter(countries, lambda c: c != "")
+    return F.transform(F.array_distinct(named), lambda c: F.struct(
+        c.alias("country"), F.try_element_at(home, c).alias("home"),
+        F.size(F.filter(named, lambda d: d == c)).alias("n"),
     ))
 
 
+def region_counts(regions: Column, homes: Column) -> Column:
+    """``struct<region, n>`` per region: how many of the entry's countries are at home there."""
+    return F.transform(regions, lambda r: F.struct(r.alias("region"), F.reduce(
+        homes, F.lit(0), lambda n, h: n + F.when(h["home"] == r, h["n"]).otherwise(0)
+    ).alias("n")))
+
+
 def anchors(counts: Column) -> Column:
     """Regions that claim an entry's unlisted countries: all tied at the highest count."""
     top = F.array_max(F.transform(counts, lambda c: c["n"]))
-    return F.transform(
-        F.filter(counts, lambda c: (c["n"] == top)), lambda c: c["region"]
-    )
+    return text.let(top, lambda most: F.transform(
+        F.filter(counts, lambda c: c["n"] == most), lambda c: c["region"]
+    ))
 
 
 def anchored(entries: DataFrame, geo: DataFrame) -> DataFrame:
-    """Entries with ``region_counts`` and ``anchors``, the working behind the drill-down."""
+    """Entries with ``homes``, ``region_counts`` and ``anchors``: the working behind the
+    drill-down."""
     none = F.array().cast(NONE)
-    return (
-        entries.withColumn("_geo", dims.geography_maps(geo))
-        .withColumn("regions", F.coalesce("regions", none))
-        .withColumn("countries", F.coalesce("countries", none))
-        .withColumn("region_counts", region_counts(
-            F.col("regions"), F.col("countries"), F.col("_geo")["home"]
-        ))
-        .withColumn("anchors", anchors(F.col("region_counts")))
+    regions, countries = F.coalesce("regions", none), F.coalesce("countries", none)
+    located = text.once(
+        entries.withColumn("_geo", dims.geography_maps(geo)),
+        "homes", homes_of(countries, F.col("_geo")["home"]),
     )
+    counted = text.once(located, "region_counts", region_counts(regions, F.col("homes")))
+    return text.once(counted, "anchors", anchors(F.col("region_counts")))
 
 
-def listed_in(home: Column, country: Column, region: Column) -> Column:
-    """Is a country of an entry listed in one of the entry's regions?"""
-    return F.when(
-        F.map_contains_key(home, country), F.try_element_at(home, country) == region
-    ).otherwise(F.array_contains(F.col("anchors"), region))
+def listed_in(located: Column, region: Column) -> Column:
+    """Is a country of an entry (see ``homes``) listed in one of the entry's regions?"""
+    anchor = F.array_contains(F.col("anchors"), region)
+    return F.coalesce(located["home"] == region, anchor)
 
 
-def visible_countries(entries: DataFrame, geo: DataFrame, order: list[str]) -> DataFrame:
-    """``doi, subregion, country, seen``: where each country of an entry is listed.
+def sightings(entries: DataFrame, geo: DataFrame, order: list[str]) -> DataFrame:
+    """``subregion, country, entries, first_seen``: what the drill-down has to show.
 
-    A country of the geography is listed at home only, others in the anchor regions.
-    ``order`` names the columns that put entries in list order (``-name`` for descending);
-    ``seen`` ranks a pair by entry order, then by position in the entry.
+    A row with a null country counts the entries of a region (the global one included).
+    The others count the entries that list a country there: a country of the geography at
+    home only, any other in the anchor regions. ``order`` names the columns that put
+    entries in list order (``-name`` for descending); ``first_seen`` is the least of it,
+    then of the position within the entry. One pass, and one small group per listed name.
     """
     def rank(name: str) -> Column:
         if name.startswith("-"):
             return F.struct(F.col(name[1:]).isNull(), -F.col(name[1:]))
         return F.col(name)
 
-    home = F.col("_geo")["home"]
+    continent = F.col("_geo")["continent"]
     keys = [rank(n).alias(f"k{i}") for i, n in enumerate(order)]
-    known = F.filter(
-        F.array_distinct("regions"), lambda r: F.map_contains_key(F.col("_geo")["continent"], r)
+    regions = F.array_distinct("regions")
+    nothing = F.lit(None).cast("string")
+    present = F.transform(
+        F.filter(regions, lambda r: (r == vocab.GLOBAL) | F.map_contains_key(continent, r)),
+        lambda r: F.struct(r.alias("subregion"), nothing.alias("country"), F.lit(0).alias("i")),
     )
-    placed = F.flatten(F.transform(known, lambda r: F.filter(
-        F.transform("countries", lambda c, i: F.struct(
-            r.alias("subregion"), c.alias("country"), i.alias("i")
-        )),
-        lambda p: (p["country"] != "") & listed_in(home, p["country"], r),
-    )))
-    seen = F.struct(*[f"k{i}" for i in range(len(order))], "i").alias("seen")
-    return anchored(entries, geo).select("doi", *keys, F.inline(placed)).select(
-        "doi", "subregion", "country", seen
+    placed = F.flatten(F.transform(
+        F.filter(regions, lambda r: F.map_contains_key(continent, r)),
+        lambda r: F.filter(
+            F.transform("homes", lambda h, i: F.when(listed_in(h, r), F.struct(
+                r.alias("subregion"), h["country"].alias("country"), i.alias("i")
+            ))),
+            lambda p: p.isNotNull(),
+        ),
+    ))
+    seen = F.struct(*[f"k{i}" for i in range(len(order))], "i")
+    return (
+        anchored(entries, geo).select(*keys, F.inline(F.concat(present, placed)))
+        .groupBy("subregion", "country")
+        .agg(F.count("*").alias("entries"), F.min(seen).alias("first_seen"))
     )
 
 
 def subregion_countries(entries: DataFrame, geo: DataFrame, order: list[str]) -> DataFrame:
     """Distinct countries listed in each sub-region, with their first sighting."""
-    return visible_countries(entries, geo, order).groupBy("subregion", "country").agg(
-        F.min("seen").alias("first_seen"), F.count_distinct("doi").alias("entries")
-    )
+    return countries_of(sightings(entries, geo, order))
+
+
+def countries_of(seen: DataFrame) -> DataFrame:
+    return seen.where(F.col("country").isNotNull())
 
 
 def drilldown_report(entries: DataFrame, geo: DataFrame, subregion: str) -> DataFrame:
     """Why countries appear in a sub-region: counts, anchors and shown countries per entry."""
-    home = F.col("_geo")["home"]
-    shown = F.filter(
-        "countries", lambda c: (c != "") & listed_in(home, c, F.lit(subregion))
+    shown = F.transform(
+        F.filter("homes", lambda h: listed_in(h, F.lit(subregion))), lambda h: h["country"]
     )
     return anchored(entries, geo).where(F.array_contains("regions", subregion)).select(
         "doi", "regions", "countries", "region_counts", "anchors", shown.alias("shown")
@@ -281,30 +302,27 @@ def home_subregions(countries: DataFrame, entries: DataFrame, geo: DataFrame,
 def subregion_plan(
     entries: DataFrame, geo: DataFrame, order: list[str], budget: int = vocab.ROW_BUDGET
 ) -> DataFrame:
-    """Per active sub-region: continent, number of countries, and whether to expand it.
+    """Per active sub-region: continent, entries, number of countries, whether to expand it.
 
     The smallest groups of a continent are replaced by their countries while the rows stay
     within ``budget``. Costs ascend, so a running sum decides. The windows run over one row
     per sub-region.
     """
-    active = F.array_distinct("regions")
+    return plan_subregions(sightings(entries, geo, order), geo, budget)
+
+
+def plan_subregions(seen: DataFrame, geo: DataFrame, budget: int) -> DataFrame:
     subs = dims.subregions(geo).select("subregion", "continent")
-    seen = entries.select(F.explode(active).alias("subregion")).groupBy("subregion").agg(
-        F.count("*").alias("entries")
-    )
-    sizes = subregion_countries(entries, geo, order).groupBy("subregion").agg(
-        F.count("*").alias("countries")
-    )
-    groups = (
-        F.broadcast(subs).join(seen, "subregion").join(sizes, "subregion", "left")
-        .fillna(0, ["countries"])
+    sizes = seen.groupBy("subregion").agg(
+        F.max(F.when(F.col("country").isNull(), F.col("entries"))).alias("entries"),
+        F.count("country").alias("countries"),
     )
     together = Window.partitionBy("continent")
     ascending = Window.partitionBy("continent", F.col("countries") > 0).orderBy(
         "countries", "subregion"
     ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = F.count("*").over(together) + F.sum(F.col("countries") - 1).over(ascending)
-    return groups.withColumn(
+    return F.broadcast(subs).join(sizes, "subregion").withColumn(
         "expanded", (F.col("countries") > 0) & (rows <= budget)
     ).select("continent", "subregion", "entries", "countries", "expanded")
 
@@ -314,10 +332,13 @@ def subregion_rows(
 ) -> DataFrame:
     """Rows of every continent's view: ``continent, subregion, row_key, is_country,
     first_seen``. Display order is sub-region, then first sighting."""
-    plan = subregion_plan(entries, geo, order, budget)
-    listed = subregion_countries(entries, geo, order)
-    open_ = F.broadcast(plan.where("expanded").select("continent", "subregion"))
-    countries = listed.join(open_, "subregion").select(
+    seen = sightings(entries, geo, order).cache()  # one row per listed name, used twice
+    return rows_of_subregions(seen, plan_subregions(seen, geo, budget))
+
+
+def rows_of_subregions(seen: DataFrame, plan: DataFrame) -> DataFrame:
+    opened = F.broadcast(plan.where("expanded").select("continent", "subregion"))
+    countries = countries_of(seen).join(opened, "subregion").select(
         "continent", "subregion", F.col("country").alias("row_key"),
         F.lit(True).alias("is_country"), "first_seen",
     )
@@ -335,14 +356,19 @@ def continent_plan(
 
     The global row never expands but takes a row. One row per continent in the window.
     """
-    per_sub = F.when(F.col("expanded"), F.col("countries")).otherwise(F.lit(1))
-    sizes = subregion_plan(entries, geo, order, budget).groupBy("continent").agg(
-        F.sum(per_sub).alias("rows")
+    seen = sightings(entries, geo, order).cache()  # one row per listed name, used twice
+    return plan_continents(
+        seen, plan_subregions(seen, geo, budget), geo, budget, continent_order
     )
-    world = (
-        entries.where(F.array_contains("regions", vocab.GLOBAL))
-        .agg(F.count("*").alias("n")).where("n > 0")
-        .select(F.lit(vocab.GLOBAL).alias("continent"), F.lit(1).cast("bigint").alias("rows"))
+
+
+def plan_continents(
+    seen: DataFrame, subs: DataFrame, geo: DataFrame, budget: int, continent_order: list[str]
+) -> DataFrame:
+    per_sub = F.when(F.col("expanded"), F.col("countries")).otherwise(F.lit(1))
+    sizes = subs.groupBy("continent").agg(F.sum(per_sub).alias("rows"))
+    world = seen.where(F.col("subregion") == vocab.GLOBAL).select(
+        F.col("subregion").alias("continent"), F.lit(1).cast("bigint").alias("rows")
     )
     listed = dims.continents(geo, continent_order).select("ord", "continent")
     groups = F.broadcast(listed).join(sizes.unionByName(world), "continent")
@@ -362,9 +388,11 @@ def continent_rows(
     continent_order: list[str] = vocab.CONTINENT_ORDER,
 ) -> DataFrame:
     """Rows of the world view: ``ord, continent, subregion, row_key, is_country, first_seen``."""
-    plan = continent_plan(entries, geo, order, budget, continent_order)
+    seen = sightings(entries, geo, order).cache()  # one row per listed name, used three times
+    subs = plan_subregions(seen, geo, budget)
+    plan = plan_continents(seen, subs, geo, budget, continent_order)
     opened = F.broadcast(plan.where("expanded").select("ord", "continent"))
-    inner = subregion_rows(entries, geo, order, budget).join(opened, "continent")
+    inner = rows_of_subregions(seen, subs).join(opened, "continent")
     closed = plan.where("NOT expanded").select(
         "ord", "continent", F.col("continent").alias("row_key"), F.lit(False).alias("is_country")
     )

@@ -11,7 +11,7 @@ from quire.plans.tables.shapes import (
     joined, load, text,
 )
 
-BUDGET = 6
+BUDGET = 9
 WORLD_BUDGET = 24
 
 CELL_SQL = ", ".join(

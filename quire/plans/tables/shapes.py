@@ -41,7 +41,7 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def load_wide(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
-    """A table for row-by-row text work, spread over the cores.
+    """A table for costly row-by-row work, spread over the cores.
 
     A file with one row group is a single task, however costly its rows. Input that already
     comes in as many partitions as there are cores, as it does at scale, is not shuffled.
@@ -74,32 +74,48 @@ def geography(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def supplier_places(spark: SparkSession, folder: str) -> DataFrame:
-    """``s_suppkey, country, subregion`` of every supplier."""
-    geo = geography(spark, folder).select("pos", "name", "subregion")
-    name = F.when(F.col("s_acctbal") < 0, F.concat(F.lit("Old "), "name")).otherwise(F.col("name"))
-    return load(spark, folder, "supplier").join(geo, F.col("s_nationkey") == F.col("pos")).select(
-        "s_suppkey", name.alias("country"), "subregion"
-    )
-
-
 def order_tags(spark: SparkSession, folder: str) -> DataFrame:
     """Per order: distinct countries and sub-regions, first and last ship year.
 
-    The sets are bounded by the nations and combine on the map side, so an order or a
-    supplier with very many lines stays cheap.
+    The nations (25, keys below 63) are gathered as bits, so the aggregation is a hash
+    aggregation that combines on the map side: an order or a supplier with very many lines
+    costs one small row per task. The bits turn into names after the shuffle.
     """
+    geo = geography(spark, folder)
+    nations = geo.select("pos")
+    supplier = load(spark, folder, "supplier").join(
+        nations, F.col("s_nationkey") == F.col("pos")
+    ).select("s_suppkey", "s_nationkey", (F.col("s_acctbal") < 0).alias("past"))
     lines = load(spark, folder, "lineitem").select(
         "l_orderkey", "l_suppkey", F.year("l_shipdate").alias("y")
     )
-    places = supplier_places(spark, folder)
-    return lines.join(places, F.col("l_suppkey") == F.col("s_suppkey")).groupBy(
+    fits = F.assert_true(F.col("s_nationkey") < 63)
+    bit = F.when(fits.isNull(), F.expr("shiftleft(1L, s_nationkey)"))
+    none = F.lit(0).cast("bigint")
+    marked = lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).groupBy(
         "l_orderkey"
     ).agg(
-        F.array_sort(F.collect_set("country")).alias("countries"),
-        F.array_sort(F.collect_set("subregion")).alias("regions"),
+        F.bit_or(F.when(F.col("past"), none).otherwise(bit)).alias("now"),
+        F.bit_or(F.when(F.col("past"), bit).otherwise(none)).alias("old"),
         F.min("y").alias("first"), F.max("y").alias("last"),
     )
+    places = geo.agg(F.collect_list(F.struct("pos", "name", "subregion"))).scalar()
+
+    def those(bits: str, value) -> Column:
+        among = F.filter("places", lambda p: F.getbit(F.col(bits), p["pos"]) == 1)
+        return F.transform(among, value)
+
+    names = F.concat(
+        those("now", lambda p: p["name"]),
+        those("old", lambda p: F.concat(F.lit("Old "), p["name"])),
+    )
+    subs = F.concat(
+        those("now", lambda p: p["subregion"]), those("old", lambda p: p["subregion"])
+    )
+    return marked.withColumn("places", places).select(
+        "l_orderkey", F.array_sort(names).alias("countries"),
+        F.array_sort(F.array_distinct(subs)).alias("regions"), "first", "last",
+    )
 
 
 def entries(spark: SparkSession, folder: str) -> DataFrame:
