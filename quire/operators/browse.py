@@ -100,9 +100,11 @@ def row_keys(regions: Column, countries: Column, continent_of: Column) -> Column
 def keyed_entries(entries: DataFrame, geo: DataFrame) -> DataFrame:
     """Add ``keys`` (see :func:`row_keys`)."""
     none = F.array().cast(NONE)
-    return entries.withColumn("_geo", dims.geography_maps(geo)).withColumn("keys", row_keys(
-        F.coalesce("regions", none), F.coalesce("countries", none), F.col("_geo")["continent"]
-    )).drop("_geo")
+    return text.once(
+        entries.withColumn("_geo", dims.geography_maps(geo)), "keys",
+        row_keys(F.coalesce("regions", none), F.coalesce("countries", none),
+                 F.col("_geo")["continent"]),
+    ).drop("_geo")
 
 
 def count_matrix(
@@ -255,8 +257,8 @@ def sightings(entries: DataFrame, geo: DataFrame, order: list[str]) -> DataFrame
     ))
     seen = F.struct(*[f"k{i}" for i in range(len(order))], "i")
     return (
-        anchored(entries, geo).select(*keys, F.inline(F.concat(present, placed)))
-        .groupBy("subregion", "country")
+        text.once(anchored(entries, geo), "_pairs", F.concat(present, placed))
+        .select(*keys, F.inline("_pairs")).groupBy("subregion", "country")
         .agg(F.count("*").alias("entries"), F.min(seen).alias("first_seen"))
     )
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quire import vocab
 from quire.operators import (
-    abstracts, articles, browse, classify, dims, links, normalize, overrides, publish,
+    abstracts, articles, browse, classify, dims, keyed, links, normalize, overrides, publish,
     quality, worklists,
 )
 from quire.sources import geography, pages, responses, tables
@@ -22,12 +22,18 @@ def ingest(
     spark: SparkSession, root: str, landed: str, first_year: int, last_year: int,
     fresh: bool = False, cascade: bool = False,
 ) -> None:
-    """Landed metadata pages to the article and author tables."""
+    """Landed metadata pages to the article and author tables.
+
+    The flattened rows are stored first, so the pages are parsed once for both tables.
+    """
     cat = articles.empty(spark) if fresh else tables.load_catalogue(spark, root)
     items = pages.page_items(pages.read_pages(spark, landed))
     items = items.where(articles.in_scope(F.col("item"), first_year, last_year))
     order = [F.col(c) for c in pages.INGEST_ORDER]
-    cat = articles.put_articles(cat, articles.article_rows(items), order, cascade)
+    rows = keyed.latest(articles.article_rows(items), ["doi"], order)
+    staged = tables.write_table(rows, f"{root}/staged")
+    rows = spark.read.parquet(f"{root}/staged/v={staged}")
+    cat = articles.put_articles(cat, rows, order, cascade)
     changed = ("authors", "articles")
     tables.save_catalogue(
         cat, root, (*changed, "classifications") if fresh or cascade else changed

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quire.operators import articles, overrides
 from quire.operators.articles import Catalogue
+from quire.operators.publish import ordered_text
 from quire.plans.tables.shapes import joined, load, load_wide, text
 from quire.sources import issues, tables
 from quire.streaming import jobs as streams
@@ -88,10 +89,11 @@ def addition_log(spark, d):
 
 def people_text(authors):
     """Author rows of a result as one string per DOI."""
-    rows = F.array_sort(F.collect_list(F.struct("sequence", "given", "family")))
-    return authors.groupBy("doi").agg(F.array_join(F.transform(rows, lambda a: F.concat(
-        F.coalesce(a["given"], F.lit("-")), F.lit(" "), F.coalesce(a["family"], F.lit("-"))
-    )), "; ").alias("people"))
+    name = F.concat(
+        F.coalesce("given", F.lit("-")), F.lit(" "), F.coalesce("family", F.lit("-"))
+    )
+    rows = authors.select("doi", "sequence", name.alias("people"))
+    return ordered_text(rows, "doi", "sequence", "people", "; ")
 
 
 def flat(cat: Catalogue):

@@ -161,7 +161,7 @@ def cascade_lines(spark, d):
     return keyed.cascade_delete(line_keys(spark, d), parents, "o_orderkey")
 
 
-def put_articles(spark, d):
+def updated(spark, d) -> Catalogue:
     """Later versions of documents upserted, authors replaced, classifications cascaded."""
     cat = catalogue(spark, d)
     rows = load(spark, d, "events").select(
@@ -173,15 +173,17 @@ def put_articles(spark, d):
                          F.col("event_type").alias("family"))).alias("authors"),
         "event_id",
     )
-    out = articles.put_articles(cat, rows, [F.col("event_id")], cascade=True)
-    people = out.authors.groupBy("doi").agg(
-        F.count("*").alias("people"), F.max("family").alias("top_family")
-    )
-    return (
-        out.articles.select("doi", "journal", "title")
-        .join(people, "doi", "left")
-        .join(out.classifications.select("doi", "is_hpe"), "doi", "left")
-    )
+    return articles.put_articles(cat, rows, [F.col("event_id")], cascade=True)
+
+
+def put_articles(spark, d):
+    out = updated(spark, d)
+    flags = out.classifications.select("doi", "is_hpe")
+    return out.articles.select("doi", "journal", "title").join(flags, "doi", "left")
+
+
+def put_authors(spark, d):
+    return updated(spark, d).authors.select("doi", "sequence", "family")
 
 
 def worklist_unclassified(spark, d):
@@ -378,12 +380,16 @@ def reclassify(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     flatten_items, author_rows, latest_events, upsert_customers, replace_children, orphan_lines,
-    cascade_lines, put_articles, worklist_unclassified, worklist_selected, worklist_chunks,
+    cascade_lines, put_articles, put_authors, worklist_unclassified, worklist_selected, worklist_chunks,
     link_worklist, abstracts_filled, abstract_stats, publish_catalogue, author_lines,
     regions_from_countries, many_countries, country_names, normalize_stats, golden_scorecard,
     coverage, link_apply, link_stats, message_requests, chat_requests, reclassify,
 )}
 
+NEW_SQL = """
+new AS (SELECT CAST(user_id AS VARCHAR) AS doi, event_type || ' ' || props AS title, event_type
+        FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1)
+"""
 PROMPT_SQL = (
     "'Title: ' || title || chr(10) || 'Abstract: ' || coalesce(abstract, "
     f"'{vocab.NO_ABSTRACT}')"
@@ -438,19 +444,16 @@ SQL = {
     "cascade_lines": """
         SELECT l_orderkey AS o_orderkey, l_partkey, l_suppkey, l_linenumber FROM lineitem
         WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')""",
-    "put_articles": f"""
-        WITH {ARTICLE_SQL},
-        new AS (SELECT CAST(user_id AS VARCHAR) AS doi, event_type || ' ' || props AS title,
-                       event_type FROM events
-                QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1),
-        kept AS (SELECT * FROM article WHERE doi NOT IN (SELECT doi FROM new)),
-        people AS (SELECT CAST(conv_id AS VARCHAR) AS doi, count(*) AS people,
-                          max(role) AS top_family FROM conversations GROUP BY 1)
-        SELECT doi, 'JHPE' AS journal, title, CAST(1 AS BIGINT) AS people,
-               event_type AS top_family, CAST(NULL AS BOOLEAN) AS is_hpe FROM new
+    "put_articles": f"""WITH {ARTICLE_SQL}, {NEW_SQL}
+        SELECT doi, 'JHPE' AS journal, title, CAST(NULL AS BOOLEAN) AS is_hpe FROM new
+        UNION ALL
+        SELECT doi, journal, title, flag FROM article LEFT JOIN cls USING (doi)
+        WHERE doi NOT IN (SELECT doi FROM new)""",
+    "put_authors": f"""WITH {NEW_SQL}
+        SELECT doi, 0 AS sequence, event_type AS family FROM new
         UNION ALL
-        SELECT doi, journal, title, people, top_family, flag
-        FROM kept LEFT JOIN people USING (doi) LEFT JOIN cls USING (doi)""",
+        SELECT CAST(conv_id AS VARCHAR), CAST(turn AS INT), role FROM conversations
+        WHERE CAST(conv_id AS VARCHAR) NOT IN (SELECT doi FROM new)""",
     "worklist_unclassified": f"""WITH {ARTICLE_SQL}
         SELECT doi, title FROM article a
         WHERE NOT EXISTS (SELECT 1 FROM cls c WHERE c.doi = a.doi)""",
