@@ -102,13 +102,19 @@ def put_articles(
     return Catalogue(articles, authors, classes)
 
 
-def put_classifications(cat: Catalogue, new: DataFrame) -> Catalogue:
-    """Replace classifications by DOI; the link starts over as null."""
-    rows = new.withColumn("replication_url", F.lit(None).cast("string"))
+def put_classifications(
+    cat: Catalogue, new: DataFrame, order: list[Column] | None = None
+) -> Catalogue:
+    """Replace classifications by DOI; the link starts over as null.
+
+    Of several rows for a DOI the last in ``order`` wins, by default the latest stamp.
+    """
     columns = cat.classifications.columns
-    return cat._replace(
-        classifications=keyed.upsert(cat.classifications, rows.select(*columns), ["doi"])
-    )
+    rest = [c for c in columns if c not in ("doi", "classified_at", "replication_url")]
+    order = order or [F.col(c) for c in ("classified_at", *rest)]
+    last = keyed.latest(new, ["doi"], order)
+    rows = last.withColumn("replication_url", F.lit(None).cast("string")).select(*columns)
+    return cat._replace(classifications=keyed.upsert(cat.classifications, rows, ["doi"]))
 
 
 def current_classifications(old: DataFrame) -> DataFrame:

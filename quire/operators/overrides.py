@@ -124,9 +124,12 @@ def corrected(df: DataFrame, fold: DataFrame, fields: list[str]) -> DataFrame:
 
 
 def apply_corrections(cat: Catalogue, entries: DataFrame) -> Catalogue:
-    """Fold the corrections of classified DOIs onto the three tables."""
-    fold = fold_corrections(
-        keyed.keep_keys(usable(entries, CORRECTIONS), cat.classifications, ["doi"])
+    """Fold the corrections of classified DOIs onto the three tables.
+
+    Folding comes before the look-up: it leaves one row per DOI, however often corrected.
+    """
+    fold = keyed.keep_keys(
+        fold_corrections(usable(entries, CORRECTIONS)), cat.classifications, ["doi"]
     )
     people = fold.where(F.col("authors").isNotNull())
     rows = people.select("doi", F.inline("authors"))

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quire import schemas
-from quire.functions.text import blank_to_null
 from quire.operators import articles, keyed
 from quire.operators.articles import Catalogue
 from quire.operators.overrides import append_entries
@@ -50,19 +49,13 @@ def merge_flattened(
 def issue_stream(issues: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
     """Append approved issue forms to the override log, each issue once.
 
-    ``issues`` streams ``issue_id, type, body, pos``. State remembers every issue number
-    (or the DOI of a form without one) without expiry, because a form can be approved
-    again at any time. The DOI rule also looks at numbered entries, so each batch is
-    checked against the key columns of the log.
+    ``issues`` streams ``issue_id, type, body, pos``. A form can be approved again at any
+    time, so the memory of what was applied never expires. The log itself is that memory:
+    each batch is reduced to the first entry per key, with map-side combine, and checked
+    against the key columns of earlier batches. A state store would hold the same keys a
+    second time and send all repeats of one issue to one task.
     """
-    guard = F.coalesce(
-        blank_to_null(F.col("issue")),
-        F.concat(F.lit("doi "), blank_to_null(F.col("doi"))),
-        F.concat(F.lit("pos "), F.col("pos")),
-    )
-    entries = accepted_entries(issues).withColumn("guard", guard).dropDuplicates(
-        ["list", "guard"]
-    )
+    entries = accepted_entries(issues)
 
     def write(batch: DataFrame, number: int) -> None:
         old = read_log(batch.sparkSession, log, before=number)

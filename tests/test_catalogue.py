@@ -505,3 +505,12 @@ def test_scorecard_and_coverage(spark, cat):
     assert [tuple(r) for r in quality.coverage(cat.articles, cat.authors).collect()] == [
         ("APSR", 3, 2, 3)
     ]
+
+
+def test_last_classification_of_a_batch_wins(spark, cat):
+    later = datetime.datetime(2024, 6, 1)
+    first = classification("10.1/c", start=1)
+    second = (*classification("10.1/c", start=2)[:8], later, None)
+    new = spark.createDataFrame([second, first], schemas.CLASSIFICATION)
+    rows = articles.put_classifications(cat, new).classifications.where("doi = '10.1/c'").collect()
+    assert [r["period_start"] for r in rows] == [2]
