@@ -179,49 +179,45 @@ def cell_filter(
 
 
 def homes_of(countries: Column, home: Column) -> Column:
-    """``struct<country, home, n>`` per distinct country, blanks dropped: one look-up each.
-
-    ``n`` is how often the entry repeats the name.
-    """
-    named = F.filter(countries, lambda c: c != "")
-    return F.transform(F.array_distinct(named), lambda c: F.struct(
-        c.alias("country"), F.try_element_at(home, c).alias("home"),
-        F.size(F.filter(named, lambda d: d == c)).alias("n"),
+    """``struct<country, home, i>`` per country with its position, blanks dropped."""
+    located = F.transform(countries, lambda c, i: F.struct(
+        c.alias("country"), F.try_element_at(home, c).alias("home"), i.alias("i")
     ))
+    return F.filter(located, lambda h: h["country"] != "")
 
 
-def region_counts(regions: Column, homes: Column) -> Column:
-    """``struct<region, n>`` per region: how many of the entry's countries are at home there."""
-    return F.transform(regions, lambda r: F.struct(r.alias("region"), F.reduce(
-        homes, F.lit(0), lambda n, h: n + F.when(h["home"] == r, h["n"]).otherwise(0)
-    ).alias("n")))
-
-
-def anchors(counts: Column) -> Column:
-    """Regions that claim an entry's unlisted countries: all tied at the highest count."""
-    top = F.array_max(F.transform(counts, lambda c: c["n"]))
-    return text.let(top, lambda most: F.transform(
-        F.filter(counts, lambda c: c["n"] == most), lambda c: c["region"]
+def places_of(regions: Column, homes: Column, continent_of: Column) -> Column:
+    """``struct<region, n, known>`` per region of an entry: how many of its countries are at
+    home there, and whether the geography has it."""
+    return F.transform(F.array_distinct(regions), lambda r: F.struct(
+        r.alias("region"), F.size(F.filter(homes, lambda h: h["home"] == r)).alias("n"),
+        F.map_contains_key(continent_of, r).alias("known"),
     ))
 
 
 def anchored(entries: DataFrame, geo: DataFrame) -> DataFrame:
-    """Entries with ``homes``, ``region_counts`` and ``anchors``: the working behind the
-    drill-down."""
+    """Entries with ``homes``, ``places`` and the highest ``n`` of a place as ``top``.
+
+    Places at ``top`` are the anchors: they claim the entry's unlisted countries.
+    """
     none = F.array().cast(NONE)
     regions, countries = F.coalesce("regions", none), F.coalesce("countries", none)
+    maps = F.col("_geo")
     located = text.once(
         entries.withColumn("_geo", dims.geography_maps(geo)),
-        "homes", homes_of(countries, F.col("_geo")["home"]),
+        "homes", homes_of(countries, maps["home"]),
     )
-    counted = text.once(located, "region_counts", region_counts(regions, F.col("homes")))
-    return text.once(counted, "anchors", anchors(F.col("region_counts")))
+    placed = text.once(
+        located, "places", places_of(regions, F.col("homes"), maps["continent"])
+    ).drop("_geo")
+    return placed.withColumn("top", F.array_max(F.transform("places", lambda p: p["n"])))
 
 
-def listed_in(located: Column, region: Column) -> Column:
-    """Is a country of an entry (see ``homes``) listed in one of the entry's regions?"""
-    anchor = F.array_contains(F.col("anchors"), region)
-    return F.coalesce(located["home"] == region, anchor)
+def listed_in(place: Column) -> Column:
+    """Countries of an entry listed in one of its places: those at home there, and in an
+    anchor those at home nowhere."""
+    anchor = place["n"] == F.col("top")
+    return F.filter("homes", lambda h: F.coalesce(h["home"] == place["region"], anchor))
 
 
 def sightings(entries: DataFrame, geo: DataFrame, order: list[str]) -> DataFrame:
@@ -238,26 +234,25 @@ def sightings(entries: DataFrame, geo: DataFrame, order: list[str]) -> DataFrame
             return F.struct(F.col(name[1:]).isNull(), -F.col(name[1:]))
         return F.col(name)
 
-    continent = F.col("_geo")["continent"]
     keys = [rank(n).alias(f"k{i}") for i, n in enumerate(order)]
-    regions = F.array_distinct("regions")
-    nothing = F.lit(None).cast("string")
-    present = F.transform(
-        F.filter(regions, lambda r: (r == vocab.GLOBAL) | F.map_contains_key(continent, r)),
-        lambda r: F.struct(r.alias("subregion"), nothing.alias("country"), F.lit(0).alias("i")),
-    )
-    placed = F.flatten(F.transform(
-        F.filter(regions, lambda r: F.map_contains_key(continent, r)),
-        lambda r: F.filter(
-            F.transform("homes", lambda h, i: F.when(listed_in(h, r), F.struct(
-                r.alias("subregion"), h["country"].alias("country"), i.alias("i")
-            ))),
-            lambda p: p.isNotNull(),
-        ),
-    ))
+    first = F.transform("countries", lambda c, i: F.array_position("countries", c) == i + 1)
+
+    def pairs(place: Column) -> Column:
+        region = place["region"].alias("subregion")
+        nothing = F.lit(None).cast("string").alias("country")
+        own = F.filter(listed_in(place), lambda h: F.get("_first", h["i"]))
+        named = F.transform(own, lambda h: F.struct(
+            region, h["country"].alias("country"), h["i"].alias("i")
+        ))
+        return F.concat(F.array(F.struct(region, nothing, F.lit(0).alias("i"))), F.when(
+            place["known"], named
+        ).otherwise(F.slice(named, 1, 0)))
+
+    wanted = F.filter("places", lambda p: p["known"] | (p["region"] == vocab.GLOBAL))
     seen = F.struct(*[f"k{i}" for i in range(len(order))], "i")
+    rows = anchored(entries, geo).withColumn("_first", first)
     return (
-        text.once(anchored(entries, geo), "_pairs", F.concat(present, placed))
+        text.once(rows, "_pairs", F.flatten(F.transform(wanted, pairs)))
         .select(*keys, F.inline("_pairs")).groupBy("subregion", "country")
         .agg(F.count("*").alias("entries"), F.min(seen).alias("first_seen"))
     )
@@ -274,11 +269,13 @@ def countries_of(seen: DataFrame) -> DataFrame:
 
 def drilldown_report(entries: DataFrame, geo: DataFrame, subregion: str) -> DataFrame:
     """Why countries appear in a sub-region: counts, anchors and shown countries per entry."""
-    shown = F.transform(
-        F.filter("homes", lambda h: listed_in(h, F.lit(subregion))), lambda h: h["country"]
-    )
+    here = F.get(F.filter("places", lambda p: p["region"] == subregion), 0)
+    top = F.filter("places", lambda p: p["n"] == F.col("top"))
     return anchored(entries, geo).where(F.array_contains("regions", subregion)).select(
-        "doi", "regions", "countries", "region_counts", "anchors", shown.alias("shown")
+        "doi", "regions", "countries",
+        F.transform("places", lambda p: F.struct(p["region"], p["n"])).alias("region_counts"),
+        F.transform(top, lambda p: p["region"]).alias("anchors"),
+        F.transform(listed_in(here), lambda h: h["country"]).alias("shown"),
     )
 
 
