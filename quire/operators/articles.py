@@ -39,11 +39,16 @@ def accepted(item: Column) -> Column:
 
 
 def in_scope(
-    item: Column, first_year: int, last_year: int, record_type: str = "journal-article"
+    item: Column, first_year: int = 2010, last_year: int | None = None,
+    record_type: str = "journal-article",
 ) -> Column:
-    """Record type and publication year selection. Items without a type are taken as articles."""
+    """Record type and publication year selection, up to this year unless told otherwise.
+
+    Items without a type are taken as articles.
+    """
     kind = F.coalesce(item["type"], F.lit(record_type)) == record_type
-    return kind & date_part(item, 0).between(first_year, last_year)
+    last = F.year(F.current_date()) if last_year is None else F.lit(last_year)
+    return kind & date_part(item, 0).between(F.lit(first_year), last)
 
 
 def date_part(item: Column, index: int) -> Column:

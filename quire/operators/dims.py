@@ -153,6 +153,7 @@ def continents(geo: DataFrame, order: list[str] = vocab.CONTINENT_ORDER) -> Data
         .select(rank.cast("int").alias("ord"), "continent", "subregions").where("ord > 0")
     )
     last = fixed_table(
-        geo.sparkSession, [(len(order) + 1, vocab.GLOBAL, [])], "ord INT, continent STRING, subregions ARRAY<STRING>"
+        geo.sparkSession, [(len(order) + 1, vocab.GLOBAL, [])],
+        "ord INT, continent STRING, subregions ARRAY<STRING>",
     )
     return present.unionByName(last)

@@ -19,8 +19,8 @@ from quire.sources import overrides as override_files
 
 
 def ingest(
-    spark: SparkSession, root: str, landed: str, first_year: int, last_year: int,
-    fresh: bool = False, cascade: bool = False,
+    spark: SparkSession, root: str, landed: str, first_year: int = 2010,
+    last_year: int | None = None, fresh: bool = False, cascade: bool = False,
 ) -> None:
     """Landed metadata pages to the article and author tables.
 

@@ -30,14 +30,14 @@ TEXTS = "array<string>"
 
 
 @cache
-def schema_of(path: str) -> StructType:
-    """Schema of a table, read from its footers once."""
-    return SparkSession.getActiveSession().read.parquet(path).schema
+def schema_of(spark: SparkSession, path: str) -> StructType:
+    """Schema of a table, read from its footers once per session."""
+    return spark.read.parquet(path).schema
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     path = f"{folder}/{name}.parquet"
-    return spark.read.schema(schema_of(path)).parquet(path)
+    return spark.read.schema(schema_of(spark, path)).parquet(path)
 
 
 def load_wide(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:

@@ -8,7 +8,6 @@ failed job leaves the last complete version in place.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quire import schemas
 from quire.operators.articles import Catalogue, current_classifications

@@ -514,3 +514,37 @@ def test_last_classification_of_a_batch_wins(spark, cat):
     new = spark.createDataFrame([second, first], schemas.CLASSIFICATION)
     rows = articles.put_classifications(cat, new).classifications.where("doi = '10.1/c'").collect()
     assert [r["period_start"] for r in rows] == [2]
+
+
+def test_fixed_dims(spark):
+    journals = {r["journal"]: r["issn"] for r in dims.journals(spark).collect()}
+    assert journals == vocab.JOURNALS
+    buckets = dims.period_buckets(spark).orderBy("bucket").collect()
+    assert [(r["label"], r["lo"], r["hi"]) for r in buckets] == vocab.BUCKETS
+    assert dims.golden_cases(spark).where("expected").count() == 6
+
+
+def test_scope_ends_this_year(spark):
+    this_year = datetime.date.today().year
+    rows = flatten(spark, *[
+        item(doi=f"10.1/{y}", published={"date-parts": [[y]]})
+        for y in (2009, 2010, this_year, this_year + 1)
+    ])
+    line = json.dumps({"message": {"items": [
+        item(doi=f"10.1/{y}", published={"date-parts": [[y]]})
+        for y in (2009, 2010, this_year, this_year + 1)
+    ]}})
+    df = spark.createDataFrame([(line, "JOP")], "value STRING, journal STRING")
+    items = pages.page_items(pages.parse_pages(df)).where(articles.in_scope(F.col("item")))
+    assert [r["item"]["DOI"] for r in items.collect()] == ["10.1/2010", f"10.1/{this_year}"]
+    assert rows.count() == 4
+
+
+def test_oversized_dimension_is_refused(spark):
+    rows = spark.range(dims.MAX_NAMES + 1).select(
+        F.col("id").alias("pos"), F.concat(F.lit("c"), "id").alias("name"),
+        F.concat(F.lit("a"), "id").alias("alpha3"), F.lit("Europe").alias("continent"),
+        F.lit("Western Europe").alias("subregion"),
+    )
+    with pytest.raises(Exception, match="more than"):
+        spark.range(1).select(dims.geography_maps(rows)).collect()
