@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import mixing, url_filter
+from quire.llm import decontaminate, mixing, quality, url_filter
+from quire.llm.shared import stored
 
 RULES = (
     ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -22,12 +23,25 @@ def op4_mix(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.report(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    rows = stored(quality.measured(table(spark, folder, "documents")), "quality")
+    return quality.judged(rows, table(spark, folder, "labels"))
+
+
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     return url_filter.judge(pages, RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
 QUERIES = {
+    "op3_decontaminate": op3_decontaminate,
+    "op6_quality": op6_quality,
     "op4_mix": op4_mix,
     "op10_url_filter": op10_url_filter,
 }

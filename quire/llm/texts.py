@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -46,28 +46,28 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-@lru_cache(maxsize=4)
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = np.full(n, STEP), np.full(n, BACK)
-    up[0] = down[0] = 1
-    return np.cumprod(up, dtype=U), np.cumprod(down, dtype=U)
-
+class Sums(NamedTuple):
+    """Prefix sums of values times powers, and the inverse powers."""
 
-def _room(n: int) -> int:
-    return max(1 << 16, 1 << int(n).bit_length())
+    sums: np.ndarray
+    down: np.ndarray
 
 
-def prefix(values: np.ndarray) -> np.ndarray:
-    """Prefix sums of values times powers; see ``ranged``."""
-    out = np.zeros(len(values) + 1, U)
-    np.cumsum(values * powers(_room(len(values) + 1))[0][: len(values)], out=out[1:])
-    return out
+def prefix(values: np.ndarray) -> Sums:
+    """What ``ranged`` needs for hashes of ranges of ``values``."""
+    n = len(values) + 1
+    up, down = np.full(n, STEP), np.full(n, BACK)
+    up[0] = down[0] = 1
+    up = np.cumprod(up, dtype=U)
+    np.cumprod(down, dtype=U, out=down)
+    up[1:] = np.cumsum(values * up[:-1], dtype=U)
+    up[0] = 0
+    return Sums(up, down)
 
 
-def ranged(sums: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+def ranged(of: Sums, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     """64-bit hashes of the ranges [lo, hi), equal for equal content anywhere."""
-    down = powers(_room(len(sums)))[1]
-    return mix((sums[hi] - sums[lo]) * down[lo] + (hi - lo).astype(U))
+    return mix((of.sums[hi] - of.sums[lo]) * of.down[lo] + (hi - lo).astype(U))
 
 
 @dataclass
