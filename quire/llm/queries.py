@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import decontaminate, mixing, quality, url_filter
+from quire.llm import decontaminate, mixing, quality, simhash, url_filter
 from quire.llm.shared import stored
 
 RULES = (
@@ -34,6 +34,10 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(rows, table(spark, folder, "labels"))
 
 
+def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.report(table(spark, folder, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     return url_filter.judge(pages, RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -43,6 +47,7 @@ QUERIES = {
     "op3_decontaminate": op3_decontaminate,
     "op6_quality": op6_quality,
     "op4_mix": op4_mix,
+    "op7_simhash": op7_simhash,
     "op10_url_filter": op10_url_filter,
 }
 
