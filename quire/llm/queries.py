@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import decontaminate, mixing, quality, simhash, url_filter
+from quire.llm import decontaminate, mixing, quality, simhash, tokens, url_filter
 from quire.llm.shared import stored
 
 RULES = (
@@ -38,6 +38,10 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.report(table(spark, folder, "documents"))
 
 
+def op8_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.shards(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     return url_filter.judge(pages, RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -48,6 +52,7 @@ QUERIES = {
     "op6_quality": op6_quality,
     "op4_mix": op4_mix,
     "op7_simhash": op7_simhash,
+    "op8_tokens": op8_tokens,
     "op10_url_filter": op10_url_filter,
 }
 
