@@ -99,9 +99,13 @@ def turns(sized: DataFrame) -> DataFrame:
     each = each.withColumn(
         "finish", F.when(F.col("target") > 0, spent / F.col("target")).otherwise(F.lit(0.0))
     )
-    each = each.withColumn("span", F.least(F.floor(F.col("finish") * LANES), F.lit(2 * LANES)))
+    # Equal spans up to twice the budget's time, then LANES for each doubling: turns of sources with
+    # small targets end far beyond the cut.
+    beyond = 2 * LANES + F.floor(F.log2(F.greatest(F.col("finish") / 2, F.lit(1.0))) * LANES)
+    span = F.when(F.col("finish") < 2, F.floor(F.col("finish") * LANES)).otherwise(beyond)
+    each = each.withColumn("span", span)
     spans = each.groupBy("span").agg(F.sum("size").alias("words"))
-    # At most 2 * LANES + 1 rows at any input size.
+    # At most 2 * LANES and LANES for each of a few dozen doublings, at any input size.
     clock = Window.orderBy("span")
     spans = spans.select(
         F.col("span").alias("at"),
