@@ -56,42 +56,43 @@ def targets(sizes: DataFrame) -> DataFrame:
     )
 
 
-def _queued(docs: DataFrame) -> DataFrame:
-    """Sized documents in their source's shuffled order: lane, rank in it, words up to the end."""
-    named = docs.withColumn("draw", F.md5(F.col("doc_id").cast("string").cast("binary")))
-    named = named.withColumn("draw", F.coalesce("draw", F.lit("")))
-    lane = F.conv(F.substring("draw", 1, 3), 16, 10).cast("int")
-    named = named.withColumn("lane", F.coalesce(lane, F.lit(0)))
-    lanes = named.groupBy("source", "lane").agg(F.sum("size").alias("words"))
+def entries(docs: DataFrame) -> DataFrame:
+    """(source, doc_id, size, n): documents with equal id, source and size are n copies of one."""
+    return docs.select("source", "doc_id", words_in(F.col("text")).alias("size")).groupBy(
+        "source", "doc_id", "size"
+    ).agg(F.count("*").alias("n")).withColumn("words", F.col("n") * F.col("size"))
+
+
+def _queued(queue: DataFrame) -> DataFrame:
+    """Entries in their source's shuffled order, with ``passed``: its words up to their end."""
+    draw = F.coalesce(F.md5(F.col("doc_id").cast("string").cast("binary")), F.lit("000"))
+    named = queue.withColumn("draw", draw).withColumn(
+        "lane", F.conv(F.substring("draw", 1, 3), 16, 10).cast("int")
+    )
     order = Window.partitionBy("source").orderBy("lane")
-    lanes = lanes.select(
+    lanes = named.groupBy("source", "lane").agg(F.sum("words").alias("w")).select(
         F.col("source").alias("s"), F.col("lane").alias("l"),
-        (F.sum("words").over(order) - F.col("words")).alias("base"),
+        (F.sum("w").over(order) - F.col("w")).alias("base"),
     )
     within = Window.partitionBy("source", "lane").orderBy("draw", "doc_id", "size").rowsBetween(
         Window.unboundedPreceding, 0
     )
-    ranked = named.select(
-        "doc_id", "size", "source", "lane", "draw",
-        F.sum("size").over(within).alias("inner"), F.count("*").over(within).alias("rank"),
-    )
+    summed = named.withColumn("inner", F.sum("words").over(within))
     same = F.col("source").eqNullSafe(F.col("s")) & (F.col("lane") == F.col("l"))
-    return ranked.join(lanes, same).select(
-        "doc_id", "size", "source", "lane", "draw", "rank",
-        (F.col("base") + F.col("inner")).alias("passed"),
+    return summed.join(lanes, same).select(
+        *queue.columns, "draw", (F.col("base") + F.col("inner")).alias("passed")
     )
 
 
-def turns(sized: DataFrame) -> DataFrame:
-    """All turns of the queues in global order, from rows (doc_id, source, size).
+def turns(queue: DataFrame) -> DataFrame:
+    """All turns of the queues in global order, from ``entries``.
 
-    Returns doc_id, source, size, source_size, target, lane and rank (which name the row in its
-    source), round, finish (virtual time), span (range partition of the clock), running
-    (words up to and with this turn) and taken (whether the budget reaches it).
+    Adds source_size, target, round, finish (virtual time), span (range partition of the clock),
+    running (words up to and with this turn) and taken (whether the budget reaches it).
     """
-    goals = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
+    goals = targets(queue.groupBy("source").agg(F.sum("words").alias("source_size")))
     goals = goals.withColumnRenamed("source", "goal")
-    queued = _queued(sized).join(goals, F.col("source").eqNullSafe(F.col("goal"))).drop("goal")
+    queued = _queued(queue).join(goals, F.col("source").eqNullSafe(F.col("goal"))).drop("goal")
     served = F.when(F.col("target") > 0, F.ceil(F.col("target") / F.col("source_size")))
     rounds = F.sequence(F.lit(0), F.greatest(F.least(served, F.lit(ROUNDS)), F.lit(1)).cast("int") - 1)
     each = queued.withColumn("round", F.explode(rounds))
@@ -104,40 +105,57 @@ def turns(sized: DataFrame) -> DataFrame:
     beyond = 2 * LANES + F.floor(F.log2(F.greatest(F.col("finish") / 2, F.lit(1.0))) * LANES)
     span = F.when(F.col("finish") < 2, F.floor(F.col("finish") * LANES)).otherwise(beyond)
     each = each.withColumn("span", span)
-    spans = each.groupBy("span").agg(F.sum("size").alias("words"))
+    spans = each.groupBy("span").agg(F.sum("words").alias("w"))
     # At most 2 * LANES and LANES for each of a few dozen doublings, at any input size.
     clock = Window.orderBy("span")
     spans = spans.select(
         F.col("span").alias("at"),
-        (F.sum("words").over(clock) - F.col("words")).alias("base"),
-        F.sum("words").over(
-            Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        ).alias("sent"),
+        (F.sum("w").over(clock) - F.col("w")).alias("base"),
     )
     within = Window.partitionBy("span").orderBy(
-        "finish", F.asc_nulls_last("source"), "round", "lane", "rank"
+        "finish", F.asc_nulls_last("source"), "round", "draw", "doc_id", "size"
     ).rowsBetween(Window.unboundedPreceding, 0)
-    ordered = each.withColumn("inner", F.sum("size").over(within)).join(
+    ordered = each.withColumn("inner", F.sum("words").over(within)).join(
         F.broadcast(spans), F.col("span") == F.col("at")
     )
-    budget = sized.agg(F.sum("size")).scalar()
+    budget = queue.agg(F.sum("words")).scalar()
     running = F.col("base") + F.col("inner")
     return ordered.withColumn("running", running).withColumn(
         "taken", running <= budget
-    ).drop("at", "base", "sent", "inner", "passed", "draw")
+    ).drop("at", "base", "inner", "passed", "draw")
+
+
+def drawn(docs: DataFrame) -> DataFrame:
+    """(source, doc_id, size, n, source_size, target, copies): how often the mix takes each entry."""
+    return turns(entries(docs)).groupBy(
+        "source", "doc_id", "size", "n", "source_size", "target"
+    ).agg(F.count_if("taken").alias("copies"))
 
 
 def mix(docs: DataFrame) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken) for every row of ``docs``.
 
-    A null text has size 0; zero-size documents take 0 words; a null source is a source of its own. Repeated
-    rows are separate documents. An empty table gives no rows. Only doc_id, text and source are
-    read, so other columns don't matter. The shuffle is by md5 of the id, so reruns agree.
+    A null text has size 0; zero-size documents take 0 words; a null source is a source of its
+    own. Rows that share id, source and size are taken equally often. An empty table gives no
+    rows. Only doc_id, text and source are read, so other columns don't matter. The shuffle is
+    by md5 of the id, so reruns agree.
     """
-    sized = docs.select("doc_id", "source", words_in(F.col("text")).alias("size"))
-    took = F.sum(F.when(F.col("taken"), F.col("size")).otherwise(F.lit(0)))
-    return turns(sized).groupBy(
-        "source", "lane", "rank", "doc_id", "size", "source_size", "target"
-    ).agg(took.alias("taken")).select(
-        "doc_id", "source", "size", "source_size", "target", "taken"
+    each = drawn(docs).withColumn("copy", F.explode(F.sequence(F.lit(1), "n")))
+    return each.select(
+        "doc_id", "source", "size", "source_size", "target",
+        (F.col("size") * F.col("copies")).alias("taken"),
+    )
+
+
+def draw(docs: DataFrame) -> DataFrame:
+    """The mixed corpus: every document as often as it is taken, with the columns it came with."""
+    found = drawn(docs).where("copies > 0 and size > 0").select(
+        F.col("source").alias("s"), F.col("doc_id").alias("d"), F.col("size").alias("z"), "copies"
+    )
+    rows = docs.select(F.struct("*").alias("row"), words_in(F.col("text")).alias("size"))
+    same = (
+        F.col("row.doc_id").eqNullSafe(F.col("d")) & (F.col("size") == F.col("z"))
+        & F.col("row.source").eqNullSafe(F.col("s"))
     )
+    copies = F.explode(F.sequence(F.lit(1), F.col("copies")))
+    return rows.join(found, same).select("row", copies.alias("copy")).select("row.*")
