@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import decontaminate, mixing, quality, simhash, tokens, url_filter
+from quire.llm import decontaminate, mixing, quality, simhash, tokens, toxicity, url_filter
 from quire.llm.shared import stored
 
 RULES = (
@@ -29,6 +29,10 @@ def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.report(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     rows = stored(quality.measured(table(spark, folder, "documents")), "quality")
     return quality.judged(rows, table(spark, folder, "labels"))
@@ -49,6 +53,7 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op3_decontaminate": op3_decontaminate,
+    "op5_toxicity": op5_toxicity,
     "op6_quality": op6_quality,
     "op4_mix": op4_mix,
     "op7_simhash": op7_simhash,
