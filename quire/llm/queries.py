@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import decontaminate, mixing, quality, simhash, tokens, toxicity, url_filter
+from quire.llm import decontaminate, langid, mixing, quality, simhash, tokens, toxicity, url_filter
 from quire.llm.shared import stored
 
 RULES = (
@@ -46,6 +46,10 @@ def op8_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.shards(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(table(spark, folder, "pages"), table(spark, folder, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     return url_filter.judge(pages, RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -58,6 +62,7 @@ QUERIES = {
     "op4_mix": op4_mix,
     "op7_simhash": op7_simhash,
     "op8_tokens": op8_tokens,
+    "op9_language": op9_language,
     "op10_url_filter": op10_url_filter,
 }
 
