@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import decontaminate, langid, mixing, quality, simhash, tokens, toxicity, url_filter
+from quire.llm import (
+    decontaminate, langid, language_model, mixing, quality, simhash, tokens, toxicity, url_filter,
+)
 from quire.llm.shared import stored
 
 RULES = (
@@ -23,6 +25,12 @@ def op4_mix(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op1_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.report(table(spark, folder, "documents")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
@@ -56,6 +64,7 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_model": op1_language_model,
     "op3_decontaminate": op3_decontaminate,
     "op5_toxicity": op5_toxicity,
     "op6_quality": op6_quality,
