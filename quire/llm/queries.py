@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm import (
-    decontaminate, langid, language_model, mixing, quality, simhash, tokens, toxicity, url_filter,
+    decontaminate, langid, language_model, mixing, quality, simhash, suffixes, tokens, toxicity,
+    url_filter,
 )
 from quire.llm.shared import stored
 
@@ -31,6 +32,12 @@ def op1_language_model(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.dedup(table(spark, folder, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    )
+
+
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
@@ -65,6 +72,7 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_model": op1_language_model,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_decontaminate": op3_decontaminate,
     "op5_toxicity": op5_toxicity,
     "op6_quality": op6_quality,
