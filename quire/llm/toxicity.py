@@ -18,12 +18,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quire.llm import texts
-from quire.llm.shared import remainder
+from quire.llm.shared import remainder, stored
 
 #: Labelled rows fitted at most, of either label: those with the least hashes.
 MAX_EXAMPLES = 3000
@@ -124,54 +124,64 @@ def scores(index: Index, chunk: texts.Chunk) -> Iterator[tuple[float, np.ndarray
         yield vote(index, found, score), found, score
 
 
-def build(examples: list[str], toxic: np.ndarray) -> Index:
-    """The index of labelled texts."""
-    n = len(examples)
-    held = list(texts.chunks(pa.array(examples, pa.large_string())))
-    parts = [terms(c) for c in held] or [(np.zeros(0, np.uint64),) * 3]
-    words = np.concatenate([p[0] for p in parts])
-    owner = np.concatenate([p[1].astype(np.int64) + c.first for p, c in zip(parts, held)] or [words])
-    owner = owner.astype(np.int64)
-    last = np.concatenate([p[2] for p in parts])
-    all_terms, which = np.unique(words, return_inverse=True)
-
-    def spread(key: np.ndarray, among: np.ndarray) -> np.ndarray:
-        """Distinct keys of each term in some of its places."""
-        _, first = np.unique(texts.mix(words[among]) ^ texts.mix(key[among] + np.uint64(1)),
-                             return_index=True)
-        return np.bincount(which[among][first], minlength=len(all_terms))
-
-    everywhere, of_toxic = np.ones(len(words), bool), toxic[owner] == 1
-    df = spread(owner.astype(np.uint64), everywhere)
-    bad = spread(owner.astype(np.uint64), of_toxic)
-    good = df - bad
-    # Copies of a toxic document repeat all of its words; a word that is toxic itself comes after
-    # different words. So support is the number of different words before it, at most.
-    bad = np.minimum(bad, spread(last, of_toxic))
-    n_bad, n_good = max(1, toxic.sum()), max(1, n - toxic.sum())
-    # Log likelihood ratio of a term's two rates.
+def gains(bad: np.ndarray, good: np.ndarray, n_bad: int, n_good: int) -> tuple[np.ndarray, np.ndarray]:
+    """Log likelihood ratio of a term's rates in either label, and the log of their odds."""
     a, b = (bad + 0.5) / (n_bad + 1), (good + 0.5) / (n_good + 1)
-    gain = bad * np.log(a / b) + (n_bad - bad) * np.log((1 - np.minimum(a, 1 - 1e-9)) / (1 - np.minimum(b, 1 - 1e-9)))
-    gain = np.where(a > b, gain, 0)
-    # So many terms are tried that only a ratio beyond their number tells something.
-    useful = np.flatnonzero((bad >= 3) & (gain > np.log(max(2, len(all_terms)))))
-    chosen = useful[np.argsort(-gain[useful], kind="stable")[:MAX_TERMS]]
-    chosen.sort()
-    term = all_terms[chosen]
-    idf = np.log((n + 1) / (df[chosen] + 1)) + 1
-    # Terms that good examples share as well count less by their odds.
-    idf *= np.clip(np.log(a / b)[chosen] / np.log(50), 0.05, 1)
-    rows, cols, tfs = [], [], []
-    for c in held:
-        text, t, tf = bags(term, c)
-        rows.append(text + c.first)
-        cols.append(t)
-        tfs.append(tf)
-    row = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    col = np.concatenate(cols) if cols else np.zeros(0, np.int64)
-    weight = weighed(np.concatenate(tfs) if tfs else np.zeros(0), idf[col])
-    norm = np.sqrt(np.bincount(row, weight * weight, n))
-    weight = weight / norm[row]
+    rest = np.log1p(-np.minimum(a, 1 - 1e-9)) - np.log1p(-np.minimum(b, 1 - 1e-9))
+    gain = bad * np.log(a / b) + np.maximum(n_bad - bad, 0) * rest
+    return np.where(a > b, gain, 0), np.log(a / b)
+
+
+def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, bad, good): examples of either label with the term, by chunk."""
+    for batch in batches:
+        toxic = np.asarray(batch.column("toxic"))
+        for chunk in texts.chunks(batch.column("text"), 1 << 19):
+            words, owner, _ = terms(chunk)
+            _, first = np.unique(words ^ texts.mix(owner.astype(np.uint64) + np.uint64(1)), return_index=True)
+            term, which = np.unique(words[first], return_inverse=True)
+            bad = np.bincount(which, toxic[chunk.first + owner[first]], len(term)).astype(np.int64)
+            good = np.bincount(which, minlength=len(term)) - bad
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(term.view(np.int64)), pa.array(bad), pa.array(good)], ["term", "bad", "good"]
+            )
+
+
+def contexts_of(known: np.ndarray):
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(term, last): the different words before each known term, by chunk."""
+        for batch in batches:
+            for chunk in texts.chunks(batch.column("text"), 1 << 19):
+                words, _, last = terms(chunk)
+                at = np.minimum(np.searchsorted(known, words), len(known) - 1)
+                hit = known[at] == words
+                pair = np.unique(np.stack([words[hit].view(np.int64), last[hit].view(np.int64)]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], ["term", "last"])
+
+    return contexts
+
+
+def vectors_of(known: np.ndarray):
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(example, term, tf) of the known terms of the examples."""
+        for batch in batches:
+            number = np.asarray(batch.column("example"))
+            for chunk in texts.chunks(batch.column("text"), 1 << 19):
+                text, term, tf = bags(known, chunk)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(number[chunk.first + text]), pa.array(term), pa.array(tf)],
+                    ["example", "term", "tf"],
+                )
+
+    return vectors
+
+
+def build(term: np.ndarray, idf: np.ndarray, row: np.ndarray, col: np.ndarray, tf: np.ndarray,
+          toxic: np.ndarray) -> Index:
+    """The index of examples: term ``col`` occurs ``tf`` times in example ``row``."""
+    n = len(toxic)
+    weight = weighed(tf, idf[col])
+    weight = weight / np.sqrt(np.bincount(row, weight * weight, n))[row]
     n_blocks = max(1, -(-n // BLOCK))
     key = row // BLOCK * len(term) + col
     order = np.lexsort((row, key))
@@ -208,10 +218,11 @@ def curve(index: Index, row: np.ndarray, col: np.ndarray, weight: np.ndarray) ->
 SHAPE = "score DOUBLE, evidence ARRAY<STRUCT<example: INT, toxic: BOOLEAN, cosine: DOUBLE>>"
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Index:
-    """Index of the labelled rows outside the held-out fifth, at most MAX_EXAMPLES of either label.
+def examples_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Stored (example, toxic, text): labelled rows outside the held-out fifth, at most MAX_EXAMPLES
+    of either label. Repeated rows count once; null ids, labels and texts teach nothing.
 
-    Repeated (doc_id, label) rows count once; null ids, labels and texts teach nothing.
+    Toxic ones have the first numbers, so that blocks are of one label and bounds are tight.
     """
     told = labels.where("toxic is not null").select(
         F.col("doc_id").alias("id"), "toxic"
@@ -221,10 +232,57 @@ def fit(docs: DataFrame, labels: DataFrame) -> Index:
         told.where("toxic = 0").orderBy(draw, "id").limit(MAX_EXAMPLES)
     )
     rows = docs.where("text is not null").join(F.broadcast(few), F.col("doc_id") == F.col("id"))
-    got = rows.select("id", "text", "toxic").distinct().orderBy(draw, "id", "text").collect()
-    # Toxic ones first, so that blocks are of one label and bounds are tight.
-    got.sort(key=lambda r: -r["toxic"])
-    return build([r["text"] for r in got], np.array([r["toxic"] for r in got], np.int64))
+    rows = rows.select("id", "text", F.col("toxic").cast("long").alias("toxic")).distinct()
+    order = Window.orderBy(F.desc("toxic"), draw, "id", F.xxhash64("text"))
+    return stored(
+        rows.select((F.row_number().over(order) - 1).cast("long").alias("example"), "toxic", "text"),
+        "examples",
+    )
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Index:
+    """The index of the examples; only what it holds reaches the driver."""
+    examples = examples_of(docs, labels)
+    toxic = examples.select("example", "toxic").toPandas().sort_values("example")["toxic"].to_numpy(np.int64)
+    n_bad, n_good = int(toxic.sum()), int(len(toxic) - toxic.sum())
+    counts = examples.mapInArrow(frequencies, "term LONG, bad LONG, good LONG").groupBy("term").agg(
+        F.sum("bad").alias("bad"), F.sum("good").alias("good")
+    )
+    counts = stored(counts, "terms")
+    # So many terms are tried that only a ratio beyond their number tells something.
+    least = np.log(max(2, counts.count()))
+    found = counts.where("bad >= 3").toPandas()
+    term = found["term"].to_numpy(np.int64).view(np.uint64)
+    bad, good = found["bad"].to_numpy(np.int64), found["good"].to_numpy(np.int64)
+    gain, _ = gains(bad, good, n_bad, n_good)
+    order = np.lexsort((term, -gain))[: 2 * MAX_TERMS]
+    order = order[gain[order] > least]
+    order = order[np.argsort(term[order])]
+    term, bad, good = term[order], bad[order], good[order]
+    if len(term):
+        # Copies of a toxic document repeat all of its words; a word that is toxic itself comes
+        # after different words. So support is the number of different words before it, at most.
+        spread = examples.where("toxic = 1").select("text").mapInArrow(
+            contexts_of(term), "term LONG, last LONG"
+        ).groupBy("term").agg(F.count_distinct("last").alias("n")).toPandas()
+        at = np.searchsorted(term, spread["term"].to_numpy(np.int64).view(np.uint64))
+        wide = np.zeros(len(term), np.int64)
+        wide[at] = spread["n"].to_numpy(np.int64)
+        df, bad = bad + good, np.minimum(bad, wide)
+        gain, odds = gains(bad, good, n_bad, n_good)
+        keep = np.flatnonzero((bad >= 3) & (gain > least))
+        keep = np.sort(keep[np.argsort(-gain[keep], kind="stable")[:MAX_TERMS]])
+        term, df, odds = term[keep], df[keep], odds[keep]
+    if not len(term):
+        none = np.zeros(0, np.int64)
+        return build(none.view(np.uint64), np.zeros(0), none, none, none, toxic)
+    # Terms that good examples share as well count less by their odds.
+    idf = (np.log((len(toxic) + 1) / (df + 1)) + 1) * np.clip(odds / np.log(50), 0.05, 1)
+    rows = examples.select("example", "text").mapInArrow(
+        vectors_of(term), "example LONG, term LONG, tf LONG"
+    ).toPandas().sort_values(["example", "term"])
+    row, col, tf = (rows[c].to_numpy(np.int64) for c in ("example", "term", "tf"))
+    return build(term, idf, row, col, tf, toxic)
 
 
 def scored(docs: DataFrame, index: Index) -> DataFrame:

@@ -221,9 +221,11 @@ def test_toxicity_learns_and_ignores_held_out_labels(spark):
     assert order((r["doc_id"], r["score"]) for r in got) == order((r["doc_id"], r["score"]) for r in again)
 
 
-def test_nearest_is_exact():
-    texts_ = [text_of(i, 20) + (" foul awful" if i % 3 == 0 else "") for i in range(300)]
-    index = toxicity.build(texts_, np.array([i % 3 == 0 for i in range(300)], np.int64))
+def test_nearest_is_exact(spark):
+    rows = [(i, text_of(i, 20) + (" foul awful" if i % 3 == 0 else "")) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    marks = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id LONG, toxic INT")
+    index = toxicity.fit(docs, marks)
     draw = np.random.default_rng(0)
     for _ in range(20):
         term = np.sort(draw.choice(len(index.term), min(4, len(index.term)), replace=False))
