@@ -135,11 +135,15 @@ def shown_rows(matrix: DataFrame) -> DataFrame:
     return matrix.where("total > 0")
 
 
-def matrix_peak(matrix: DataFrame) -> Column:
-    """Scalar: the largest cell, at least 1."""
+def with_peak(matrix: DataFrame) -> DataFrame:
+    """Add ``peak``: the largest cell of the rows at hand (the view on screen), at least 1.
+
+    One window over rows that are already one per key.
+    """
     cells = [c for c in matrix.columns if c[0] == "b" and c[1:].isdigit()]
-    top = F.greatest(*[F.max(c) for c in cells], F.lit(1).cast("bigint"))
-    return matrix.agg(top.alias("peak")).scalar()
+    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    top = F.max(F.greatest(*cells, F.lit(1).cast("bigint"))).over(everything)
+    return matrix.withColumn("peak", top)
 
 
 def matrix_cells(
@@ -150,10 +154,9 @@ def matrix_cells(
         F.struct(F.lit(i).alias("bucket"), F.lit(b[0]).alias("label"), F.col(f"b{i}").alias("n"))
         for i, b in enumerate(buckets)
     ])
-    matrix = matrix.cache()  # one row per key, used for the cells and for their peak
-    return matrix.select("row_key", F.inline(cells)).withColumn(
-        "peak", matrix_peak(matrix)
-    ).withColumn("heat", periods.heat(F.col("n"), F.col("peak")))
+    return with_peak(matrix).select("row_key", "peak", F.inline(cells)).withColumn(
+        "heat", periods.heat(F.col("n"), F.col("peak"))
+    ).select("row_key", "bucket", "label", "n", "peak", "heat")
 
 
 # -- filters -----------------------------------------------------------------------------
@@ -175,6 +178,25 @@ def cell_filter(
     return rows.where(periods.overlaps(F.col("period_start"), F.col("period_end"), lo, hi))
 
 
+def cells_filter(
+    entries: DataFrame, geo: DataFrame, cells: dict[str, tuple[str, tuple | None]]
+) -> DataFrame:
+    """Entries behind several cells (id -> key, bucket), as ``cell_id`` and the entry columns.
+
+    All cells are tested in one pass over the entries.
+    """
+    start, end = F.col("period_start"), F.col("period_end")
+
+    def inside(key: str, bucket: tuple | None) -> Column:
+        here = F.array_contains("keys", key)
+        return here if bucket is None else here & periods.overlaps(start, end, *bucket[1:])
+
+    hits = [F.when(inside(*cell), F.lit(i)) for i, cell in cells.items()]
+    return keyed_entries(entries, geo).select(
+        F.explode(F.array_compact(F.array(*hits))).alias("cell_id"), *entries.columns
+    )
+
+
 # -- countries of a sub-region -------------------------------------------------------------
 
 
@@ -285,7 +307,7 @@ def home_subregions(countries: DataFrame, entries: DataFrame, geo: DataFrame,
     home = F.try_element_at(F.col("_geo")["home"], F.col("country"))
     listed = (
         subregion_countries(entries, geo, order)
-        .join(F.broadcast(dims.subregions(geo).select("subregion", "first_pos")), "subregion")
+        .join(dims.subregions(geo).select("subregion", "first_pos"), "subregion")
         .groupBy("country").agg(F.min_by("subregion", "first_pos").alias("_listed"))
     )
     return (
@@ -321,22 +343,27 @@ def plan_subregions(seen: DataFrame, geo: DataFrame, budget: int) -> DataFrame:
         "countries", "subregion"
     ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = F.count("*").over(together) + F.sum(F.col("countries") - 1).over(ascending)
-    return F.broadcast(subs).join(sizes, "subregion").withColumn(
+    return subs.join(sizes, "subregion").withColumn(
         "expanded", (F.col("countries") > 0) & (rows <= budget)
     ).select("continent", "subregion", "entries", "countries", "expanded")
 
 
 def subregion_rows(
-    entries: DataFrame, geo: DataFrame, order: list[str], budget: int = vocab.ROW_BUDGET
+    entries: DataFrame, geo: DataFrame, order: list[str], budget: int = vocab.ROW_BUDGET,
+    seen: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of every continent's view: ``continent, subregion, row_key, is_country,
-    first_seen``. Display order is sub-region, then first sighting."""
-    seen = sightings(entries, geo, order).cache()  # one row per listed name, used twice
+    first_seen``. Display order is sub-region, then first sighting.
+
+    The rows come from :func:`sightings`, one row per listed name, read several times. Who has
+    stored them gives them as ``seen``.
+    """
+    seen = sightings(entries, geo, order) if seen is None else seen
     return rows_of_subregions(seen, plan_subregions(seen, geo, budget))
 
 
 def rows_of_subregions(seen: DataFrame, plan: DataFrame) -> DataFrame:
-    opened = F.broadcast(plan.where("expanded").select("continent", "subregion"))
+    opened = plan.where("expanded").select("continent", "subregion")
     countries = countries_of(seen).join(opened, "subregion").select(
         "continent", "subregion", F.col("country").alias("row_key"),
         F.lit(True).alias("is_country"), "first_seen",
@@ -355,7 +382,7 @@ def continent_plan(
 
     The global row never expands but takes a row. One row per continent in the window.
     """
-    seen = sightings(entries, geo, order).cache()  # one row per listed name, used twice
+    seen = sightings(entries, geo, order)
     return plan_continents(
         seen, plan_subregions(seen, geo, budget), geo, budget, continent_order
     )
@@ -370,7 +397,7 @@ def plan_continents(
         F.col("subregion").alias("continent"), F.lit(1).cast("bigint").alias("rows")
     )
     listed = dims.continents(geo, continent_order).select("ord", "continent")
-    groups = F.broadcast(listed).join(sizes.unionByName(world), "continent")
+    groups = listed.join(sizes.unionByName(world), "continent")
     is_world = F.col("continent") == vocab.GLOBAL
     together = Window.partitionBy(F.lit(0))
     ascending = Window.partitionBy(is_world).orderBy("rows", "ord").rowsBetween(
@@ -384,13 +411,16 @@ def plan_continents(
 
 def continent_rows(
     entries: DataFrame, geo: DataFrame, order: list[str], budget: int = vocab.ROW_BUDGET,
-    continent_order: list[str] = vocab.CONTINENT_ORDER,
+    continent_order: list[str] = vocab.CONTINENT_ORDER, seen: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows of the world view: ``ord, continent, subregion, row_key, is_country, first_seen``."""
-    seen = sightings(entries, geo, order).cache()  # one row per listed name, used three times
+    """Rows of the world view: ``ord, continent, subregion, row_key, is_country, first_seen``.
+
+    ``seen`` as in :func:`subregion_rows`.
+    """
+    seen = sightings(entries, geo, order) if seen is None else seen
     subs = plan_subregions(seen, geo, budget)
     plan = plan_continents(seen, subs, geo, budget, continent_order)
-    opened = F.broadcast(plan.where("expanded").select("ord", "continent"))
+    opened = plan.where("expanded").select("ord", "continent")
     inner = rows_of_subregions(seen, subs).join(opened, "continent")
     closed = plan.where("NOT expanded").select(
         "ord", "continent", F.col("continent").alias("row_key"), F.lit(False).alias("is_country")

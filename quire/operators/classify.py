@@ -70,8 +70,16 @@ def score_with(
 
 
 def resolve_dois(reply_rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """Replies keyed by request id to replies keyed by DOI."""
-    return reply_rows.join(ids, "custom_id").drop("custom_id")
+    """Replies keyed by request id to replies keyed by DOI; ``custom_id`` stays.
+
+    No reply is lost: one that cannot be read keeps its reason, one with an id that nobody
+    asked for gets a reason.
+    """
+    if "reason" not in reply_rows.columns:
+        reply_rows = reply_rows.withColumn("reason", F.lit(None).cast("string"))
+    found = reply_rows.join(ids, "custom_id", "left")
+    unknown = F.when(F.col("doi").isNull(), F.lit("unknown request id"))
+    return found.withColumn("reason", F.coalesce("reason", unknown))
 
 
 def parsed_replies(reply_rows: DataFrame) -> DataFrame:

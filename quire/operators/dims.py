@@ -1,7 +1,7 @@
 """Small dimensions: journals, link sources, aliases, period buckets and geography.
 
-All are fixed tables or the geography list, which is bounded by the number of countries.
-``MAX_NAMES`` is checked at run time before a dimension is folded into a look-up map.
+All are fixed tables or the geography list. Look-ups of names are folded into one map, whose
+size follows the geography and alias tables, never the catalogue.
 """
 
 from __future__ import annotations
@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 
 from quire import vocab
 
-MAX_NAMES = 5000
-
-
 def fixed_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
     """A small table of constants. Arrow input gives Catalyst a local relation of known size."""
     import pyarrow as pa
@@ -69,35 +66,61 @@ def golden_cases(spark: SparkSession) -> DataFrame:
     )
 
 
-def bounded_map(key: Column, value: Column) -> Column:
-    """Aggregate expression: all pairs of a bounded dimension as a map."""
-    pairs = F.map_from_entries(F.collect_set(F.struct(key.alias("key"), value.alias("value"))))
-    too_big = F.raise_error(F.lit(f"dimension has more than {MAX_NAMES} names"))
-    return F.when(F.count("*") <= MAX_NAMES, pairs).otherwise(too_big.cast("map<string,string>"))
+def name_map(key: Column, value: Column) -> Column:
+    """Aggregate expression: all pairs of a dimension as a map."""
+    return F.map_from_entries(F.collect_set(F.struct(key.alias("key"), value.alias("value"))))
+
+
+SPELLING = "name STRING, target STRING"
+
+
+def spellings(geo: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """``name, target``: every alias and official name with the one name a country has here.
+
+    The geography's name is that name. An official name that the geography lists under another
+    spelling (one of its aliases, or the name shown to readers) leads there, and so do all its
+    aliases. Names outside the geography share their official name. ``aliases`` adds to the
+    built-in table and wins over it.
+    """
+    spark = geo.sparkSession
+    official = {*vocab.COUNTRY_ALIASES.values(), *vocab.DISPLAY_NAMES}
+    known_as = [(t, t, 0) for t in official]
+    known_as += [(n, t, 1) for n, t in vocab.COUNTRY_ALIASES.items() if n in vocab.DISPLAY_NAMES.values()]
+    known_as += [(n, t, 1) for t, n in vocab.DISPLAY_NAMES.items()]
+    known_as += [(n, t, 2) for n, t in vocab.COUNTRY_ALIASES.items()
+                 if n not in vocab.PARTS and n not in vocab.DISPLAY_NAMES.values()]
+    candidates = fixed_table(spark, known_as, f"{SPELLING}, rank INT")
+    listed = geo.select(F.col("name").alias("listed")).distinct()
+    home = candidates.join(listed, F.col("name") == F.col("listed")).groupBy("target").agg(
+        F.min_by("listed", F.struct("rank", "listed")).alias("home")
+    )
+    rows = [(n, t, 1) for n, t in vocab.COUNTRY_ALIASES.items()]
+    rows += [(t, t, 1) for t in official] + [(n, t, 2) for t, n in vocab.DISPLAY_NAMES.items()]
+    pairs = fixed_table(spark, rows, f"{SPELLING}, rank INT")
+    if aliases is not None:
+        pairs = pairs.unionByName(aliases.select("name", "target", F.lit(0).alias("rank")))
+    led = pairs.join(home.withColumnRenamed("target", "to"), F.col("target") == F.col("to"), "left")
+    return led.groupBy("name").agg(
+        F.min_by(F.coalesce("home", "target"), F.struct("rank", "target")).alias("target")
+    )
 
 
 def country_lookup(geo: DataFrame, aliases: DataFrame | None = None) -> Column:
     """Scalar ``struct<exact, folded>`` for :func:`quire.functions.names.country_name`.
 
-    Known names (geography names and the names aliases lead to) stay as they are and win
-    over aliases; then case-folded names and three-letter codes are tried. ``aliases``
-    (``name, target``) adds to the built-in tables.
+    Names of the geography stay as they are and win over :func:`spellings`; then case-folded
+    names and three-letter codes are tried.
     """
     spark = geo.sparkSession
-    known = geo.select(F.col("name"), F.col("name").alias("target"), F.lit(0).alias("rank"))
-    alias_rows = [(n, t, 3) for n, t in vocab.COUNTRY_ALIASES.items()]
-    alias_rows += [(t, t, 1) for t in dict.fromkeys(vocab.COUNTRY_ALIASES.values())]
-    exact = known.unionByName(
-        fixed_table(spark, alias_rows, "name STRING, target STRING, rank INT")
+    exact = geo.select("name", F.col("name").alias("target"), F.lit(0).alias("rank")).unionByName(
+        spellings(geo, aliases).withColumn("rank", F.lit(1))
     )
-    if aliases is not None:
-        exact = exact.unionByName(aliases.select("name", "target", F.lit(2).alias("rank")))
     extra_rows = [(n, t, 4) for n, t in vocab.OFFICIAL_NAMES.items()]
     folded = (
-        exact.where("rank < 2")
+        exact.where((F.col("rank") == 0) | (F.col("name").isin(sorted(vocab.COUNTRY_ALIASES.values()))))
         .unionByName(geo.select(F.col("alpha3").alias("name"), F.col("name").alias("target"),
                                 F.lit(3).alias("rank")))
-        .unionByName(fixed_table(spark, extra_rows, "name STRING, target STRING, rank INT"))
+        .unionByName(fixed_table(spark, extra_rows, f"{SPELLING}, rank INT"))
         .withColumn("name", F.lower("name"))
     )
     both = exact.withColumn("tier", F.lit("exact")).unionByName(
@@ -107,7 +130,7 @@ def country_lookup(geo: DataFrame, aliases: DataFrame | None = None) -> Column:
         both.where(F.col("name").isNotNull()).groupBy("tier", "name")
         .agg(F.min_by("target", F.struct("rank", "target")).alias("target"))
     )
-    maps = best.groupBy("tier").agg(bounded_map(F.col("name"), F.col("target")).alias("m"))
+    maps = best.groupBy("tier").agg(name_map(F.col("name"), F.col("target")).alias("m"))
     one = maps.agg(F.struct(
         F.max_by("m", F.when(F.col("tier") == "exact", 1)).alias("exact"),
         F.max_by("m", F.when(F.col("tier") == "folded", 1)).alias("folded"),
@@ -115,6 +138,28 @@ def country_lookup(geo: DataFrame, aliases: DataFrame | None = None) -> Column:
     return one.scalar()
 
 
+def unrecognised(classes: DataFrame, geo: DataFrame, aliases: DataFrame | None = None,
+                 valid: list[str] = vocab.REGIONS) -> DataFrame:
+    """``kind, name, n``: region and country names that no table knows, with their rows.
+
+    Names are exploded and joined, so there is no bound on any of the tables.
+    """
+    def used(column: str) -> DataFrame:
+        return classes.select(F.explode(F.array_distinct(column)).alias("name"))
+
+    regions = used("regions").where(~F.col("name").isin([*valid, *vocab.REGION_ALIASES]))
+    codes = geo.select(F.lower("alpha3").alias("known"))
+    known = geo.select(F.lower("name").alias("known")).union(codes).union(
+        spellings(geo, aliases).select(F.lower("name"))
+    ).union(fixed_table(geo.sparkSession, [(n.lower(),) for n in vocab.OFFICIAL_NAMES], "known STRING"))
+    countries = used("countries").join(
+        known.distinct(), F.lower("name") == F.col("known"), "left_anti"
+    )
+    return regions.select(F.lit("region").alias("kind"), "name").unionByName(
+        countries.select(F.lit("country").alias("kind"), "name")
+    ).groupBy("kind", "name").agg(F.count("*").alias("n"))
+
+
 def geography_maps(geo: DataFrame) -> Column:
     """Scalar ``struct<home, continent>``: country -> sub-region, sub-region -> continent."""
     usable = geo.where(F.col("subregion").isNotNull() & F.col("continent").isNotNull())
@@ -125,7 +170,7 @@ def geography_maps(geo: DataFrame) -> Column:
         F.max_by("continent", "pos").alias("value")
     ).withColumn("tier", F.lit("continent"))
     maps = home.unionByName(continent).groupBy("tier").agg(
-        bounded_map(F.col("key"), F.col("value")).alias("m")
+        name_map(F.col("key"), F.col("value")).alias("m")
     )
     return maps.agg(F.struct(
         F.max_by("m", F.when(F.col("tier") == "home", 1)).alias("home"),

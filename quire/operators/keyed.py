@@ -86,14 +86,17 @@ def with_columns_from(df: DataFrame, ddl: str, defaults: dict[str, Column]) -> D
     return df.select(*columns)
 
 
-def numbered(df: DataFrame, key: str, buckets: int = 1024) -> DataFrame:
+def numbered(df: DataFrame, key: str, buckets: int | None = None) -> DataFrame:
     """Add ``row_no``: 1..n over all rows, without a global sort.
 
     Rows are numbered inside hash buckets of the (unique) key. The bucket sizes, one row
-    per bucket, give each bucket's offset.
+    per bucket, give each bucket's offset. Unless given, the number of buckets follows the
+    session's shuffle partitions, so that it never holds a larger cluster back.
     """
     from pyspark.sql import Window
 
+    if buckets is None:
+        buckets = 16 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = df.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -103,13 +106,13 @@ def numbered(df: DataFrame, key: str, buckets: int = 1024) -> DataFrame:
     local = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
     return (
         spread.withColumn("_local", local)
-        .join(F.broadcast(offsets), "_bucket")  # at most ``buckets`` rows
+        .join(offsets, "_bucket")
         .withColumn("row_no", F.col("_offset") + F.col("_local"))
         .select(*df.columns, "row_no")
     )
 
 
-def chunked(df: DataFrame, key: str, size: int, buckets: int = 1024) -> DataFrame:
+def chunked(df: DataFrame, key: str, size: int, buckets: int | None = None) -> DataFrame:
     """Add ``chunk``: fixed-size request batches, all full but the last."""
     chunk = F.floor((F.col("row_no") - 1) / size).cast("bigint")
     return numbered(df, key, buckets).withColumn("chunk", chunk).drop("row_no")

@@ -96,7 +96,9 @@ def reference_link(candidates: Column, tokens: Column) -> Column:
 
 
 def last_attempt(responses: DataFrame, columns: list[str]) -> DataFrame:
-    return keyed.latest(responses.select("doi", "attempt", *columns), ["doi"], [F.col("attempt")])
+    """Of equal attempts the one with the greatest values counts, so reruns agree."""
+    order = [F.col("attempt"), *[F.col(c) for c in columns]]
+    return keyed.latest(responses.select("doi", "attempt", *columns), ["doi"], order)
 
 
 def propose_links(

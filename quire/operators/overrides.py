@@ -92,12 +92,12 @@ def usable(entries: DataFrame, which: str) -> DataFrame:
     return entries.where((F.col("list") == which) & F.col("reason").isNull())
 
 
-def effective(corrections: DataFrame) -> DataFrame:
-    """Corrections that change something: a known field, or a non-empty author list."""
+def changes_something() -> Column:
+    """Whether a correction has a known field, or a non-empty author list."""
     change = F.coalesce(F.size(people_value(at("authors"))), F.lit(0)) > 0
     for name in FIELDS:
         change = change | has(name)
-    return corrections.where(change)
+    return change
 
 
 def fold_corrections(corrections: DataFrame) -> DataFrame:
@@ -186,32 +186,38 @@ def apply_additions(
 
 
 def apply_overrides(
-    cat: Catalogue, log: DataFrame, stamp: Column | None = None, cascade: bool = False
+    cat: Catalogue, log: DataFrame, stamp: Column | None = None, cascade: bool = False,
+    entries: DataFrame | None = None,
 ) -> Catalogue:
-    """All corrections first, then all additions."""
-    entries = read_entries(log)
+    """All corrections first, then all additions.
+
+    Each of the three tables reads the parsed log. Who has stored the rows of
+    :func:`read_entries` gives them as ``entries``, and nothing is parsed again.
+    """
+    entries = read_entries(log) if entries is None else entries
     return apply_additions(apply_corrections(cat, entries), entries, stamp, cascade)
 
 
-def override_stats(cat: Catalogue, log: DataFrame) -> DataFrame:
-    """One row: corrections and additions applied, corrections of unknown DOIs, rejects."""
-    entries = read_entries(log)
-    fixes = usable(entries, CORRECTIONS)
-    applied = effective(keyed.keep_keys(fixes, cat.classifications, ["doi"]))
-    tally = (
-        applied.select(F.lit("applied").alias("what"))
-        .unionByName(keyed.drop_keys(fixes, cat.classifications, ["doi"])
-                     .select(F.lit("unknown").alias("what")))
-        .unionByName(usable(entries, ADDITIONS).select(F.lit("added").alias("what")))
-        .unionByName(entries.where(F.col("reason").isNotNull())
-                     .select(F.lit("rejected").alias("what")))
+def override_stats(
+    cat: Catalogue, log: DataFrame, entries: DataFrame | None = None
+) -> DataFrame:
+    """One row: corrections and additions applied, corrections of unknown DOIs, rejects.
+
+    One pass over the log and one join with the classified DOIs.
+    """
+    entries = read_entries(log) if entries is None else entries
+    known = cat.classifications.select(F.col("doi").alias("_known")).distinct()
+    good = F.col("reason").isNull()
+    fix = good & (F.col("list") == CORRECTIONS)
+    told = entries.join(known, F.col("doi") == F.col("_known"), "left").select(
+        (fix & F.col("_known").isNotNull() & changes_something()).alias("applied"),
+        (good & (F.col("list") == ADDITIONS)).alias("added"),
+        (fix & F.col("_known").isNull()).alias("unknown"), (~good).alias("bad"),
+    )
+    return told.agg(
+        F.count_if("applied").alias("corrections"), F.count_if("added").alias("additions"),
+        F.count_if("unknown").alias("unknown_dois"), F.count_if("bad").alias("rejected"),
     )
-    return tally.agg(*[
-        F.count_if(F.col("what") == w).alias(n) for w, n in (
-            ("applied", "corrections"), ("added", "additions"),
-            ("unknown", "unknown_dois"), ("rejected", "rejected"),
-        )
-    ])
 
 
 def append_entries(log: DataFrame, new: DataFrame) -> DataFrame:

@@ -1,12 +1,12 @@
 """End-to-end jobs over stored tables: the steps a catalogue owner runs.
 
 Each job loads the newest snapshots, builds one lazy plan, and writes the tables it
-changes. Statistics come from a single aggregated row.
+changes. Statistics of the clean-ups are observed while their table is written.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quire import vocab
@@ -24,10 +24,13 @@ def ingest(
 ) -> None:
     """Landed metadata pages to the article and author tables.
 
-    The flattened rows are stored first, so the pages are parsed once for both tables.
+    The flattened rows are stored first, so the pages are parsed once for both tables. Lines
+    that are no pages go to ``<root>/rejected_pages``.
     """
     cat = articles.empty(spark) if fresh else tables.load_catalogue(spark, root)
-    items = pages.page_items(pages.read_pages(spark, landed))
+    landed_pages = pages.read_pages(spark, landed)
+    tables.write_table(pages.page_rejects(landed_pages), f"{root}/rejected_pages")
+    items = pages.page_items(pages.good_pages(landed_pages))
     items = items.where(articles.in_scope(F.col("item"), first_year, last_year))
     order = [F.col(c) for c in pages.INGEST_ORDER]
     rows = keyed.latest(articles.article_rows(items), ["doi"], order)
@@ -44,22 +47,24 @@ def request_files(
     spark: SparkSession, root: str, out: str, model: str, system: str,
     style: str = "messages", fresh: bool = False,
 ) -> None:
-    """Model requests for the unclassified articles, and the id map to read replies with."""
+    """Model requests for the unclassified articles."""
     todo = worklists.to_classify(tables.load_catalogue(spark, root), fresh)
     build = {"messages": classify.message_requests, "chat": classify.chat_requests}[style]
     tables.write_lines(build(todo, model, system), f"{out}/requests")
-    classify.request_map(todo).write.mode("overwrite").parquet(f"{out}/ids")
 
 
 def reply_files(
     spark: SparkSession, root: str, out: str, landed: str, geo_path: str, backend: str,
     model: str, style: str = "messages", at: Column | None = None,
 ) -> None:
-    """Landed model replies to classifications; rejects go to ``<out>/rejected``."""
+    """Landed model replies to classifications; rejects go to ``<out>/rejected``.
+
+    Request ids come from the articles, so late replies of earlier requests are found, too.
+    """
     cat = tables.load_catalogue(spark, root)
     read = {"messages": responses.read_message_replies, "chat": responses.read_chat_replies}
     replies = classify.resolve_dois(
-        read[style](spark, landed), spark.read.parquet(f"{out}/ids")
+        read[style](spark, landed), classify.request_map(cat.articles)
     )
     lookup = dims.country_lookup(geography.read_geography(spark, geo_path))
     new = classify.classified(replies, lookup, backend, model, at)
@@ -97,11 +102,16 @@ def override(
     spark: SparkSession, root: str, documents: str, at: Column | None = None,
     cascade: bool = False,
 ) -> DataFrame:
-    """Apply override documents; returns the counts."""
+    """Apply override documents; returns the counts. Documents that cannot be read go to
+    ``<root>/rejected_documents``."""
     cat = tables.load_catalogue(spark, root)
-    log = override_files.read_documents(spark, documents)
-    tables.save_catalogue(overrides.apply_overrides(cat, log, at, cascade), root)
-    return overrides.override_stats(cat, log)
+    docs = override_files.read_documents(spark, documents)
+    tables.write_table(override_files.document_rejects(docs), f"{root}/rejected_documents")
+    log = override_files.document_entries(docs)
+    staged = tables.write_table(overrides.read_entries(log), f"{root}/staged_log")
+    entries = spark.read.parquet(f"{root}/staged_log/v={staged}")
+    tables.save_catalogue(overrides.apply_overrides(cat, log, at, cascade, entries), root)
+    return overrides.override_stats(cat, log, entries)
 
 
 def normalize_countries(spark: SparkSession, root: str, geo_path: str) -> DataFrame:
@@ -131,10 +141,16 @@ def fix_many_countries(
 
 def rewrite_classifications(spark: SparkSession, root: str, change) -> DataFrame:
     cat = tables.load_catalogue(spark, root)
-    changed = change(cat.classifications)
+    told = Observation("changes")
+    changed = change(cat.classifications).observe(
+        told, F.count_if("changed").alias("updated"), F.count(F.lit(1)).alias("total")
+    )
     new = cat._replace(classifications=changed.drop("changed"))
     tables.save_catalogue(new, root, ("classifications",))
-    return normalize.changes(changed)
+    counts = told.get
+    return spark.createDataFrame(
+        [(counts["updated"], counts["total"])], "updated BIGINT, total BIGINT"
+    )
 
 
 def export(spark: SparkSession, root: str, out: str) -> None:

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quire import vocab
 from quire.functions import names, periods
 from quire.operators import browse, dims
 from quire.plans.tables.shapes import (
     BUCKETS, CONTINENTS, ENTRIES_SQL, ENTRY_ORDER, GEO_SQL, entries, geography,
     joined, load, text,
 )
+from quire.sources import tables
 
 BUDGET = 9
 WORLD_BUDGET = 24
@@ -35,7 +37,10 @@ def heatmap_matrix(spark, d):
 
 def heatmap_cells(spark, d):
     cells = browse.matrix_cells(heatmap_matrix(spark, d), BUCKETS)
-    return cells.select("row_key", F.col("bucket").cast("bigint").alias("bucket"), "n", "peak")
+    return cells.select(
+        "row_key", F.col("bucket").cast("bigint").alias("bucket"), "n", "peak",
+        F.round("heat", 6).alias("heat"),
+    )
 
 
 def fixed_rows_matrix(spark, d):
@@ -48,16 +53,13 @@ def fixed_rows_matrix(spark, d):
 
 def cell_entries(spark, d):
     """Entries behind one cell, for a continent, a sub-region, a country and the world."""
-    geo, data = geography(spark, d), entries(spark, d)
-    parts = [
-        browse.cell_filter(data, geo, key, bucket).select("doi", F.lit(key).alias("row_key"))
-        for key, bucket in (("ASIA", BUCKETS[3]), ("EUROPE-1", BUCKETS[5]),
-                            ("NATION_7", BUCKETS[4]), ("Global/Comparative", None))
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    cells = {key: (key, bucket) for key, bucket in (
+        ("ASIA", BUCKETS[3]), ("EUROPE-1", BUCKETS[5]), ("NATION_7", BUCKETS[4]),
+        ("Global/Comparative", None),
+    )}
+    return browse.cells_filter(entries(spark, d), geography(spark, d), cells).select(
+        "doi", F.col("cell_id").alias("row_key")
+    )
 
 
 def period_labels(spark, d):
@@ -107,14 +109,24 @@ def subregion_plan(spark, d):
     return browse.subregion_plan(entries(spark, d), geography(spark, d), ENTRY_ORDER, BUDGET)
 
 
+def seen_names(spark, d):
+    """What the drill-down has to show, stored: a few rows that the plans read repeatedly."""
+    return tables.staged(
+        browse.sightings(entries(spark, d), geography(spark, d), ENTRY_ORDER), "sightings"
+    )
+
+
 def subregion_rows(spark, d):
-    rows = browse.subregion_rows(entries(spark, d), geography(spark, d), ENTRY_ORDER, BUDGET)
+    rows = browse.subregion_rows(
+        entries(spark, d), geography(spark, d), ENTRY_ORDER, BUDGET, seen_names(spark, d)
+    )
     return rows.select("continent", "subregion", "row_key", "is_country")
 
 
 def world_rows(spark, d):
     rows = browse.continent_rows(
-        entries(spark, d), geography(spark, d), ENTRY_ORDER, WORLD_BUDGET, CONTINENTS
+        entries(spark, d), geography(spark, d), ENTRY_ORDER, WORLD_BUDGET, CONTINENTS,
+        seen_names(spark, d),
     )
     return rows.select(F.col("ord").cast("bigint").alias("ord"), "continent", "row_key", "is_country")
 
@@ -232,7 +244,8 @@ SQL = {
     "heatmap_matrix": f"{MATRIX_SQL} SELECT *, {_TOTAL} AS total FROM matrix",
     "heatmap_cells": f"""{MATRIX_SQL}
         SELECT row_key, CAST(substr(b, 2) AS BIGINT) AS bucket, n,
-               greatest(1, max(n) OVER ()) AS peak
+               greatest(1, max(n) OVER ()) AS peak,
+               round(pow(n / greatest(1, max(n) OVER ()), {vocab.HEAT_EXPONENT}), 6) AS heat
         FROM (UNPIVOT matrix ON {_CELLS} INTO NAME b VALUE n)""",
     "fixed_rows_matrix": f"""{MATRIX_SQL},
         wanted AS (SELECT DISTINCT unnest([subregion, 'No ' || name]) AS row_key FROM geo)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quire.operators import articles, overrides
 from quire.operators.articles import Catalogue
 from quire.operators.publish import ordered_text
-from quire.plans.tables.shapes import joined, load, load_wide, text
+from quire.plans.tables.shapes import joined, load, text
 from quire.sources import issues, tables
 from quire.streaming import jobs as streams
 
@@ -36,7 +36,7 @@ def customers(spark, d) -> Catalogue:
 
 
 def events(spark, d):
-    return load_wide(spark, d, "events").select(
+    return load(spark, d, "events").select(
         "event_id", text("user_id").alias("doi"), "event_type", "value",
         F.get_json_object("props", "$.k").cast("int").alias("k"),
     )
@@ -108,15 +108,20 @@ def flat(cat: Catalogue):
     )
 
 
+def parsed(log):
+    """The log parsed once and stored, as the override job does it."""
+    return tables.staged(overrides.read_entries(log), "entries")
+
+
 def override_corrections(spark, d):
-    cat = customers(spark, d)
-    return flat(overrides.apply_overrides(cat, correction_log(spark, d)))
+    cat, log = customers(spark, d), correction_log(spark, d)
+    return flat(overrides.apply_overrides(cat, log, entries=parsed(log)))
 
 
 def override_additions(spark, d):
     at = F.lit(None).cast("timestamp")
-    cat = customers(spark, d)
-    return flat(overrides.apply_overrides(cat, addition_log(spark, d), at, cascade=False))
+    cat, log = customers(spark, d), addition_log(spark, d)
+    return flat(overrides.apply_overrides(cat, log, at, cascade=False, entries=parsed(log)))
 
 
 def override_stats(spark, d):

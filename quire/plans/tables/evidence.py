@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quire.functions import names
 from quire.functions import text as texts
 from quire.operators import browse, classify, dims, links
-from quire.plans.tables.shapes import GEO_SQL, SUBREGIONS, geography, joined, load, load_wide, text
+from quire.plans.tables.shapes import GEO_SQL, SUBREGIONS, geography, joined, load, text
 from quire.sources import responses
 
 SEARCHES = {
@@ -19,14 +19,14 @@ PAGE_PATTERN = r"""(?i)href=["'][^"']*/[a-z]{2}/[0-9]+["']"""
 
 def clean_text(spark, d):
     """Whole pages reduced to plain text."""
-    return load_wide(spark, d, "pages").select("page_id", texts.plain_text(F.col("html")).alias("t")).select(
+    return load(spark, d, "pages").select("page_id", texts.plain_text(F.col("html")).alias("t")).select(
         "page_id", F.length("t").cast("bigint").alias("n_chars"),
         F.md5(F.col("t").cast("binary")).alias("text_md5"),
     )
 
 
 def document_entries(spark, d):
-    return load_wide(spark, d, "documents").select(
+    return load(spark, d, "documents").select(
         F.concat(F.lit("doc/"), text("doc_id")).alias("doi"), F.col("source").alias("title"),
         F.col("text").alias("abstract"), F.array("lang").alias("regions"), "n_chars",
     )
@@ -45,7 +45,7 @@ def result_count(spark, d):
 
 
 def page_links(spark, d):
-    pages = load_wide(spark, d, "pages").select(
+    pages = load(spark, d, "pages").select(
         text("page_id").alias("doi"), F.lit(200).alias("status"),
         F.lit(0).cast("bigint").alias("attempt"), "url", "html",
     )
@@ -54,7 +54,6 @@ def page_links(spark, d):
 
 def reference_links(spark, d):
     """One or two repository references per document; the title decides between two."""
-    line = F.split(F.col("text"), "\n")[0]
     refs = F.array(
         F.col("text"),
         F.concat(F.lit("Data 10.7910/ DVN/X"), text("doc_id"), F.lit(".,")),
@@ -62,9 +61,9 @@ def reference_links(spark, d):
             F.col("text"), F.lit(" 10.5281/Zenodo."), text("doc_id"), F.lit("; end")
         )).otherwise(F.lit("")),
     )
-    return load_wide(spark, d, "documents").select(
+    return load(spark, d, "documents").select(
         text("doc_id").alias("doi"), links.reference_candidates(refs).alias("c"),
-        texts.long_tokens(line).alias("tokens"),
+        texts.long_tokens(F.col("text")).alias("tokens"),
     ).select(
         "doi", F.size("c").cast("bigint").alias("candidates"),
         links.reference_link(F.col("c"), F.col("tokens")).alias("link"),
@@ -140,7 +139,7 @@ def reply_rows(spark, d):
         .when(kind == "signup", F.concat(F.lit('```json\n{"is_hpe" '), body, F.lit("\n```")))
         .when(kind == "purchase", F.concat(F.lit("[1, "), k, F.lit("]"))).otherwise(body)
     )
-    return load_wide(spark, d, "events").select(text("event_id").alias("doi"), raw.alias("raw"))
+    return load(spark, d, "events").select(text("event_id").alias("doi"), raw.alias("raw"))
 
 
 def reply_parse(spark, d):
@@ -229,7 +228,7 @@ SQL = {
     "reference_links": """
         WITH doc AS (
           SELECT CAST(doc_id AS VARCHAR) AS doi, lang, lower(text) AS body,
-                 list_filter(regexp_split_to_array(string_split(text, chr(10))[1],
+                 list_filter(regexp_split_to_array(text,
                    '[^\\p{L}\\p{N}_]+'), lambda w: length(w) >= 6) AS tokens FROM documents)
         SELECT doi, CASE WHEN lang IN ('fr', 'en') THEN 2 ELSE 1 END AS candidates,
           CASE WHEN lang NOT IN ('fr', 'en') THEN 'https://doi.org/10.7910/DVN/X' || doi

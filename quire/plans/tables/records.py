@@ -10,7 +10,7 @@ from quire.operators import (
 )
 from quire.operators.articles import Catalogue
 from quire.plans.tables.shapes import (
-    ENTRIES_SQL, SUBREGIONS, entries, geography, joined, load, load_wide, text,
+    ENTRIES_SQL, SUBREGIONS, entries, geography, joined, load, text,
 )
 from quire.sources import pages, responses
 
@@ -30,15 +30,16 @@ def journal():
 
 def catalogue(spark, d) -> Catalogue:
     """Documents as articles, conversation turns as authors, labels as classifications."""
-    docs = load_wide(spark, d, "documents")
-    line = F.split(F.col("text"), "\n")[0]
-    title = F.when(F.col("lang") == "de", F.concat(F.lit("Erratum: "), line)).otherwise(line)
+    docs = load(spark, d, "documents")
+    title = F.when(
+        F.col("lang") == "de", F.concat(F.lit("Erratum: "), "text")
+    ).otherwise(F.col("text"))
     arts = docs.select(
         text("doc_id").alias("doi"), journal().alias("journal"), title.alias("title"),
         (F.length("lang") + F.length("source") + 1990).alias("year"),
         F.lit(None).cast("int").alias("month"),
         *[F.lit(None).cast("string").alias(c) for c in ("volume", "issue", "pages")],
-        F.when(F.col("lang") != "en", F.col("text")).alias("abstract"),
+        F.when(F.col("lang") != "es", F.col("text")).alias("abstract"),
     )
     people = load(spark, d, "conversations").select(
         text("conv_id").alias("doi"), F.col("turn").cast("int").alias("sequence"),
@@ -60,9 +61,8 @@ def catalogue(spark, d) -> Catalogue:
 ARTICLE_SQL = f"""
 article AS (
   SELECT CAST(doc_id AS VARCHAR) AS doi, {JOURNAL_SQL} AS journal,
-         CASE WHEN lang = 'de' THEN 'Erratum: ' ELSE '' END || string_split(text, chr(10))[1]
-           AS title, CAST(length(lang) + length(source) + 1990 AS INT) AS year,
-         CASE WHEN lang <> 'en' THEN text END AS abstract, text, lang, n_chars
+         CASE WHEN lang = 'de' THEN 'Erratum: ' ELSE '' END || text AS title, CAST(length(lang) + length(source) + 1990 AS INT) AS year,
+         CASE WHEN lang <> 'es' THEN text END AS abstract, text, lang, n_chars
   FROM documents
 ),
 cls AS (
@@ -74,7 +74,7 @@ cls AS (
 
 def flatten_items(spark, d):
     """Conversation turns as landed metadata pages, parsed and flattened."""
-    turns = load_wide(spark, d, "conversations")
+    turns = load(spark, d, "conversations")
     item = F.struct(
         F.concat(F.lit("10.1/CONV-"), text("conv_id"), F.lit("-"), text("turn")).alias("DOI"),
         F.when(F.col("role") == "system", F.array(F.lit("<i>Review</i>")))
@@ -363,7 +363,7 @@ def reclassify(spark, d):
     result = F.struct(
         status.alias("type"), F.struct(F.array(block).alias("content")).alias("message")
     )
-    lines = load_wide(spark, d, "documents").select(F.to_json(F.struct(
+    lines = load(spark, d, "documents").select(F.to_json(F.struct(
         classify.request_id(text("doc_id")).alias("custom_id"), result.alias("result")
     )).alias("value"))
     replies = classify.resolve_dois(
@@ -461,7 +461,7 @@ SQL = {
         SELECT doi, journal FROM article WHERE doi IN (SELECT doi FROM cls)""",
     "worklist_chunks": """
         SELECT (r - 1) // 50 AS chunk, count(*) AS n
-        FROM (SELECT row_number() OVER (ORDER BY doc_id) AS r FROM documents WHERE lang = 'en')
+        FROM (SELECT row_number() OVER (ORDER BY doc_id) AS r FROM documents WHERE lang = 'es')
         GROUP BY 1""",
     "link_worklist": f"""{TODO_SQL}
         SELECT doi, journal, configured, journal = 'APSR' AS dv_enabled,

@@ -7,11 +7,8 @@ geography, with a middle level made from the nation key.
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from quire import vocab
 
@@ -29,27 +26,8 @@ ENTRY_ORDER = ["-year", "title", "doi"]
 TEXTS = "array<string>"
 
 
-@cache
-def schema_of(spark: SparkSession, path: str) -> StructType:
-    """Schema of a table, read from its footers once per session."""
-    return spark.read.parquet(path).schema
-
-
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    path = f"{folder}/{name}.parquet"
-    return spark.read.schema(schema_of(spark, path)).parquet(path)
-
-
-def load_wide(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
-    """A table for costly row-by-row work, spread over the cores.
-
-    A file with one row group is a single task, however costly its rows. Input that already
-    comes in as many partitions as there are cores, as it does at scale, is not shuffled.
-    """
-    rows = load(spark, folder, name)
-    rows = rows.select(*columns) if columns else rows
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def text(column: str | Column) -> Column:
@@ -77,45 +55,24 @@ def geography(spark: SparkSession, folder: str) -> DataFrame:
 def order_tags(spark: SparkSession, folder: str) -> DataFrame:
     """Per order: distinct countries and sub-regions, first and last ship year.
 
-    The nations (25, keys below 63) are gathered as bits, so the aggregation is a hash
-    aggregation that combines on the map side: an order or a supplier with very many lines
-    costs one small row per task. The bits turn into names after the shuffle.
+    Sets are gathered on the map side first, so an order or a supplier with very many lines
+    costs one small row per task, whatever the number of nations.
     """
     geo = geography(spark, folder)
-    nations = geo.select("pos")
+    old = F.when(F.col("s_acctbal") < 0, F.concat(F.lit("Old "), "name")).otherwise(F.col("name"))
     supplier = load(spark, folder, "supplier").join(
-        nations, F.col("s_nationkey") == F.col("pos")
-    ).select("s_suppkey", "s_nationkey", (F.col("s_acctbal") < 0).alias("past"))
+        geo, F.col("s_nationkey") == F.col("pos")
+    ).select("s_suppkey", old.alias("country"), "subregion")
     lines = load(spark, folder, "lineitem").select(
         "l_orderkey", "l_suppkey", F.year("l_shipdate").alias("y")
     )
-    fits = F.assert_true(F.col("s_nationkey") < 63)
-    bit = F.when(fits.isNull(), F.expr("shiftleft(1L, s_nationkey)"))
-    none = F.lit(0).cast("bigint")
-    marked = lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).groupBy(
+    return lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).groupBy(
         "l_orderkey"
     ).agg(
-        F.bit_or(F.when(F.col("past"), none).otherwise(bit)).alias("now"),
-        F.bit_or(F.when(F.col("past"), bit).otherwise(none)).alias("old"),
+        F.array_sort(F.collect_set("country")).alias("countries"),
+        F.array_sort(F.collect_set("subregion")).alias("regions"),
         F.min("y").alias("first"), F.max("y").alias("last"),
     )
-    places = geo.agg(F.collect_list(F.struct("pos", "name", "subregion"))).scalar()
-
-    def those(bits: str, value) -> Column:
-        among = F.filter("places", lambda p: F.getbit(F.col(bits), p["pos"]) == 1)
-        return F.transform(among, value)
-
-    names = F.concat(
-        those("now", lambda p: p["name"]),
-        those("old", lambda p: F.concat(F.lit("Old "), p["name"])),
-    )
-    subs = F.concat(
-        those("now", lambda p: p["subregion"]), those("old", lambda p: p["subregion"])
-    )
-    return marked.withColumn("places", places).select(
-        "l_orderkey", F.array_sort(names).alias("countries"),
-        F.array_sort(F.array_distinct(subs)).alias("regions"), "first", "last",
-    )
 
 
 def entries(spark: SparkSession, folder: str) -> DataFrame:

@@ -44,8 +44,15 @@ def forms_doi(fields: Column) -> Column:
     return forms.strip(forms.field(fields, "DOI"))
 
 
-def accepted_entries(issues: DataFrame) -> DataFrame:
+def accepted(parsed: DataFrame) -> DataFrame:
     """Log entries of the issues that parse."""
-    return parsed_issues(issues).where(F.col("reason").isNull()).select(
-        *schemas.names(schemas.LOG_ENTRY)
-    )
+    return parsed.where(F.col("reason").isNull()).select(*schemas.names(schemas.LOG_ENTRY))
+
+
+def rejected(parsed: DataFrame) -> DataFrame:
+    """Issues that give no entry, with the reason."""
+    return parsed.where(F.col("reason").isNotNull()).select("list", "pos", "issue", "doi", "reason")
+
+
+def accepted_entries(issues: DataFrame) -> DataFrame:
+    return accepted(parsed_issues(issues))

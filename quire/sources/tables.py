@@ -93,6 +93,13 @@ def read_entries(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ddl).json(path)
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Rows written to the shared folder and read back, for plans that use them several times."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder path for stream checkpoints and sinks.
 

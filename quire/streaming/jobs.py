@@ -1,6 +1,6 @@
 """Structured Streaming forms of the two jobs that run again and again.
 
-Both append what each micro-batch brings, under the batch number, so a batch that is
+Both append what each micro-batch brings, under the query and the batch, so a batch that is
 retried after a lost executor overwrites itself. Cost follows the batch, not the table:
 the tables are brought up to date by a batch job over the appended rows.
 """
@@ -15,63 +15,90 @@ from quire import schemas
 from quire.operators import articles, keyed
 from quire.operators.articles import Catalogue
 from quire.operators.overrides import append_entries
-from quire.sources import pages, tables
-from quire.sources.issues import accepted_entries
+from quire.sources import issues, pages, tables
 
 
 def page_stream(spark: SparkSession, path: str) -> DataFrame:
     """Landed page files as a stream."""
-    return pages.with_files(spark.readStream.schema(pages.COLUMNS).json(path))
+    return pages.with_files(spark.readStream.schema(pages.LINES).text(path))
 
 
-def flatten_stream(page_rows: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Append flattened articles of every micro-batch to ``out/batch=<n>``."""
+def part(batch: DataFrame, folder: str, number: int) -> str:
+    """Folder of a micro-batch: of the query, whose id lies in its checkpoint, and the batch.
+
+    A retried batch overwrites itself; a query with a new checkpoint never touches what an
+    earlier one wrote.
+    """
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{folder}/run={query}/batch={number}"
+
+
+def started(rows: DataFrame, write, checkpoint: str, trigger: dict | None) -> StreamingQuery:
+    """By default all that has landed is taken and the query ends."""
+    stream = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return stream.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def flatten_stream(
+    page_rows: DataFrame, out: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Append flattened articles of every micro-batch to ``out``, broken lines to
+    ``<out>-rejected``."""
     def write(batch: DataFrame, number: int) -> None:
+        if pages.BROKEN in batch.columns:
+            pages.page_rejects(batch).write.mode("overwrite").parquet(
+                part(batch, f"{out}-rejected", number)
+            )
+            batch = pages.good_pages(batch)
         rows = articles.article_rows(pages.page_items(pages.with_lines(batch)))
         newest = keyed.latest(rows, ["doi"], [F.col(c) for c in pages.INGEST_ORDER])
-        newest.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        newest.write.mode("overwrite").parquet(part(batch, out, number))
 
-    return (
-        page_rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
+    return started(page_rows, write, checkpoint, trigger)
 
 
 def merge_flattened(
     cat: Catalogue, spark: SparkSession, out: str, cascade: bool = False
 ) -> Catalogue:
-    """Bring the tables up to date with the appended rows; later batches win."""
+    """Bring the tables up to date with the appended rows; what landed later wins."""
     rows = spark.read.parquet(out)
-    order = [F.col(c) for c in ("batch", *pages.INGEST_ORDER)]
+    order = [F.col(c) for c in (*pages.INGEST_ORDER, "run", "batch")]
     return articles.put_articles(cat, rows, order, cascade)
 
 
-def issue_stream(issues: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
-    """Append approved issue forms to the override log, each issue once.
+def issue_stream(
+    issue_rows: DataFrame, log: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Append approved issue forms to the override log, each issue once; forms that cannot be
+    used go to ``<log>-rejected`` with the reason.
 
-    ``issues`` streams ``issue_id, type, body, pos``. A form can be approved again at any
+    ``issue_rows`` streams ``issue_id, type, body, pos``. A form can be approved again at any
     time, so the memory of what was applied never expires. The log itself is that memory:
     each batch is reduced to the first entry per key, with map-side combine, and checked
-    against the key columns of earlier batches. A state store would hold the same keys a
-    second time and send all repeats of one issue to one task.
+    against the key columns of what was written before. A state store would hold the same
+    keys a second time and send all repeats of one issue to one task.
     """
-    entries = accepted_entries(issues)
-
     def write(batch: DataFrame, number: int) -> None:
-        old = read_log(batch.sparkSession, log, before=number)
-        append_entries(old, batch).write.mode("overwrite").parquet(f"{log}/batch={number}")
+        own = part(batch, log, number)
+        issues.rejected(batch).write.mode("overwrite").parquet(part(batch, f"{log}-rejected", number))
+        old = read_log(batch.sparkSession, log, without=own)
+        append_entries(old, issues.accepted(batch)).write.mode("overwrite").parquet(own)
 
-    return (
-        entries.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
+    return started(issues.parsed_issues(issue_rows), write, checkpoint, trigger)
 
 
-def read_log(spark: SparkSession, log: str, before: int | None = None) -> DataFrame:
-    """The appended log, or the part from before a batch."""
+def read_log(spark: SparkSession, log: str, without: str | None = None) -> DataFrame:
+    """The appended log, or the log as if one batch and those after it had not been written."""
     if not tables.exists(spark, log):
         return spark.createDataFrame([], schemas.LOG_ENTRY)
-    rows = spark.read.schema(f"{schemas.LOG_ENTRY}, batch INT").parquet(log)
-    if before is not None:
-        rows = rows.where(F.col("batch") < before)
+    rows = spark.read.schema(f"{schemas.LOG_ENTRY}, run STRING, batch INT").parquet(log)
+    if without is not None:
+        run, number = without.rsplit("/", 2)[1:]
+        later = F.col("batch") >= int(number.removeprefix("batch="))
+        rows = rows.where(~((F.col("run") == run.removeprefix("run=")) & later))
     return rows.select(*schemas.names(schemas.LOG_ENTRY))
+
+
+def read_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """What a stream could not use: ``<log>-rejected`` or ``<out>-rejected``."""
+    return spark.read.parquet(f"{folder}-rejected").drop("run", "batch")

@@ -77,6 +77,9 @@ OFFICIAL_NAMES = {
     "United States of America": "United States",
 }
 
+# Aliases that are parts of a country, not other spellings of it.
+PARTS = ["England", "Scotland", "Wales", "Northern Ireland"]
+
 # Catalogue name -> name shown to readers.
 DISPLAY_NAMES = {
     "Congo, The Democratic Republic of the": "DR Congo",

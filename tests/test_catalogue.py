@@ -540,11 +540,33 @@ def test_scope_ends_this_year(spark):
     assert rows.count() == 4
 
 
-def test_oversized_dimension_is_refused(spark):
-    rows = spark.range(dims.MAX_NAMES + 1).select(
+def test_dimensions_have_no_bound(spark):
+    rows = spark.range(300).select(
         F.col("id").alias("pos"), F.concat(F.lit("c"), "id").alias("name"),
         F.concat(F.lit("a"), "id").alias("alpha3"), F.lit("Europe").alias("continent"),
         F.lit("Western Europe").alias("subregion"),
     )
-    with pytest.raises(Exception, match="more than"):
-        spark.range(1).select(dims.geography_maps(rows)).collect()
+    aliases = spark.range(10_000).select(
+        F.concat(F.lit("n"), "id").alias("name"), F.concat(F.lit("c"), F.col("id") % 300).alias("target")
+    )
+    df = spark.createDataFrame([(["n9999", "c299", "A7"],)], "countries ARRAY<STRING>")
+    out = normalize.normalized_countries(df, dims.country_lookup(rows, aliases)).first()
+    assert out["countries"] == ["c99", "c299", "c7"]
+    assert spark.range(1).select(F.size(dims.geography_maps(rows)["home"])).first()[0] == 300
+
+
+def test_one_name_per_country(spark):
+    names = ["Iran", "Vietnam", "South Korea", "DR Congo", "Russian Federation", "United Kingdom"]
+    geo = spark.createDataFrame(
+        [(i, n, n[:3].upper(), "Asia", "x") for i, n in enumerate(names)],
+        "pos INT, name STRING, alpha3 STRING, continent STRING, subregion STRING",
+    )
+    said = ["Iran, Islamic Republic of", "Viet Nam", "Korea, Republic of", "DRC",
+            "Congo, The Democratic Republic of the", "Russia", "Scotland", "North Korea", "Atlantis"]
+    df = spark.createDataFrame([(said,)], "countries ARRAY<STRING>")
+    out = normalize.normalized_countries(df, dims.country_lookup(geo)).first()["countries"]
+    assert out == ["Iran", "Vietnam", "South Korea", "DR Congo", "DR Congo", "Russian Federation",
+                   "United Kingdom", "Korea, Democratic People's Republic of", "Atlantis"]
+    rows = spark.createDataFrame([(["Europe 9"], ["Iran", "Atlantis"])], "regions ARRAY<STRING>, countries ARRAY<STRING>")
+    assert {(r["kind"], r["name"]) for r in dims.unrecognised(rows, geo).collect()} == {
+        ("region", "Europe 9"), ("country", "Atlantis")}

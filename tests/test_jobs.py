@@ -5,10 +5,10 @@ from conftest import GEO
 from pyspark.sql import functions as F
 
 from quire import schemas
-from quire.operators import articles
+from quire.operators import articles, classify
 from quire.operators.overrides import append_entries
 from quire.plans import jobs
-from quire.sources import geography, issues, overrides, tables
+from quire.sources import geography, issues, overrides, pages, tables
 from quire.streaming import jobs as streams
 
 
@@ -57,13 +57,18 @@ def test_pipeline(spark, tmp_path, landed, geo_path):
     for style in ("messages", "chat"):
         jobs.request_files(spark, root, out, "m", "sys", style)
         assert spark.read.text(f"{out}/requests").count() == 4
-    ids = {r["doi"]: r["custom_id"] for r in spark.read.parquet(f"{out}/ids").collect()}
+    ids = {r["doi"]: r["custom_id"] for r in classify.request_map(
+        tables.load_catalogue(spark, root).articles).collect()}
     good = '{"is_hpe": true, "countries": ["Russia", "France"], "regions": ["Caribbean"], "period_start": 1800}'
     lines = [{"custom_id": i, "result": {"type": "succeeded", "message": {"content": [
         {"type": "text", "text": "broken" if d == "10.2/y" else good}]}}} for d, i in ids.items()]
+    lines += [{"custom_id": "nobody", "result": lines[0]["result"]}]
     replies = write(tmp_path / "replies", lines)
+    with open(tmp_path / "replies" / "cut.json", "w") as f:
+        f.write(json.dumps(lines[0])[:30])
     jobs.reply_files(spark, root, out, replies, geo_path, "b", "m")
-    assert spark.read.parquet(f"{out}/rejected").count() == 1
+    assert sorted(r["reason"] for r in spark.read.parquet(f"{out}/rejected").collect()) == [
+        "not a JSON object", "unknown request id", "unreadable line"]
     jobs.request_files(spark, root, out, "m", "sys")
     assert spark.read.text(f"{out}/requests").count() == 1
 
@@ -116,7 +121,12 @@ def test_document_entries_keep_nulls_and_order(spark):
         ('{"corrections": [{"doi": "a"}, {"doi": "c", "_issue": "5"}], "additions": [{"title": "t"}]}', "1"),
         ("{}", "3"),
     ], "value STRING, path STRING")
+    broken = spark.createDataFrame([("{", "0"), ('{"additions": 1}', "4"), ("[]", "5")], docs.schema)
+    docs = docs.union(broken)
+    assert {r["path"]: r["reason"] for r in overrides.document_rejects(docs).collect()} == {
+        "0": "not JSON", "4": "additions is not a list", "5": "not a JSON object"}
     rows = overrides.document_entries(docs).orderBy("list", "pos").collect()
+    assert [r["pos"] for r in rows] == [0, 0, 1, 2]
     assert [(r["list"], r["doi"], r["issue"]) for r in rows] == [
         ("additions", None, None), ("corrections", "a", None), ("corrections", "c", "5"),
         ("corrections", "b", None)]
@@ -136,6 +146,21 @@ def test_page_stream_equals_batch(spark, tmp_path, landed):
     assert len(tables.versions(spark, str(tmp_path / "db") + "/articles")) == 1
 
 
+def test_broken_pages_are_kept_apart(spark, tmp_path, landed):
+    folder = tmp_path / "pages" / "journal=JOP"
+    folder.mkdir(exist_ok=True)
+    (folder / "bad.json").write_text('{"message": {"items": [{"DOI": \n{"message": {"items": [{"DOI": '
+                                     '"10.1/q", "published": {"date-parts": [["soon"]]}}]}}')
+    root, out = str(tmp_path / "db"), str(tmp_path / "flat")
+    jobs.ingest(spark, root, landed, 0, 3000)
+    rejects = tables.read_table(spark, f"{root}/rejected_pages", "line_text STRING")
+    assert rejects.count() == 2
+    every = pages.read_pages(spark, landed)
+    assert every.count() == pages.good_pages(every).count() + 2
+    streams.flatten_stream(streams.page_stream(spark, landed), out, str(tmp_path / "c")).awaitTermination()
+    assert streams.read_rejects(spark, out).count() == 2
+
+
 def test_issue_stream_equals_batch(spark, tmp_path):
     body = "### DOI\n\n{}\n"
     rows = [("1", "correction", body.format("10.1/a"), 0), ("1", "correction", body.format("10.1/a"), 1),
@@ -159,6 +184,11 @@ def test_issue_stream_equals_batch(spark, tmp_path):
     empty = spark.createDataFrame([], schemas.LOG_ENTRY)
     batch = append_entries(empty, issues.accepted_entries(spark.createDataFrame(rows, ddl)))
     assert streamed == sorted(r["pos"] for r in batch.collect()) == [0, 3, 5]
+    assert {r["pos"] for r in streams.read_rejects(spark, log).collect()} == {4}
+    # A new checkpoint reads everything again and loses nothing of what was written.
+    check = str(tmp_path / "other")
+    run()
+    assert sorted(r["pos"] for r in streams.read_log(spark, log).collect()) == [0, 3, 5]
 
 
 def test_skewed_anti_join_is_split(spark):
