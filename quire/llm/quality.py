@@ -35,9 +35,7 @@ RULES = {
     "long_words": 0.1, "short_words": 0.005, "lines": 0.005, "digits": 0.005,
 }
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-SHAPE = StructType.fromDDL(
-    ", ".join([*(f"{c} LONG" for c in COUNTS), *(f"{r} DOUBLE" for r in RULES)])
-)
+SHAPE = ", ".join([*(f"{c} LONG" for c in COUNTS), *(f"{r} DOUBLE" for r in RULES)])
 
 SYMBOL = np.zeros(256, bool)
 SYMBOL[list(b"#*$%&|<>")] = True
@@ -111,14 +109,15 @@ def measures(column: pa.Array) -> pa.StructArray:
     return pa.StructArray.from_arrays(arrays, names)
 
 
-@F.arrow_udf(SHAPE)
-def _statistics(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for part in column:
-        yield measures(part)
+def statistics(text: str) -> Column:
+    """Counts and rule statistics of a text column, as a struct."""
+    @F.arrow_udf(StructType.fromDDL(SHAPE))
+    def measured_parts(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in column:
+            yield measures(part)
 
-
-# Not repeated by the optimizer in filters.
-statistics = _statistics.asNondeterministic()
+    # So the optimizer doesn't repeat it in filters.
+    return measured_parts.asNondeterministic()(text)
 
 
 def base_failed(m: str = "m") -> Column:

@@ -20,8 +20,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from quire.llm import texts
 from quire.llm.shared import components, stored
@@ -52,16 +53,20 @@ def fingerprint(text: bytes) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.int64)[0])
 
 
-@F.arrow_udf("long")
-def fingerprints(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    # bytes.split() splits at the same six white-space bytes as the words' definition, and
-    # bytes.lower() changes A-Z only.
-    for part in column:
-        out = []
-        for piece in range(0, len(part), 256):
-            data = part.slice(piece, 256).cast(pa.large_binary()).to_pylist()
-            out += [fingerprint((t or b"").lower()) for t in data]
-        yield pa.array(out, pa.int64())
+def fingerprints(text: str) -> Column:
+    """Fingerprints of a text column as signed longs."""
+    @F.arrow_udf(LongType())
+    def prints(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        # bytes.split() splits at the same six white-space bytes as the words' definition, and
+        # bytes.lower() changes A-Z only.
+        for part in column:
+            out = []
+            for piece in range(0, len(part), 256):
+                data = part.slice(piece, 256).cast(pa.large_binary()).to_pylist()
+                out += [fingerprint((t or b"").lower()) for t in data]
+            yield pa.array(out, pa.int64())
+
+    return prints(text)
 
 
 MASKS = [
