@@ -1,6 +1,8 @@
 """Every registered query against its SQL on the smallest driver tables."""
 
 import os
+import subprocess
+import sys
 
 import oracle
 import pytest
@@ -34,3 +36,13 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_names_are_known_without_a_session():
+    root = os.path.dirname(contract.__file__)
+    told = subprocess.run(
+        [sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()))"],
+        cwd=root, capture_output=True, text=True, timeout=120,
+    )
+    assert told.returncode == 0, told.stderr
+    assert int(told.stdout) == len(QUERIES)
