@@ -36,8 +36,8 @@ LONG = 200
 CORE = 32
 #: Batches that the documents of a table are added in.
 BATCHES = 3
-#: Bits of a bit table (16 MB).
-BITS = 1 << 27
+#: Bits of a bit table: BITS_PER_KEY for every key, up to MOST_BITS (16 MB).
+BITS_PER_KEY, MOST_BITS = 16, 1 << 27
 #: Spans of a core that are compared in one task, at most.
 SPANS = 20_000
 U = np.uint64
@@ -171,18 +171,19 @@ class Family:
 
 
 def bit_table(keys: DataFrame, key: str) -> np.ndarray:
-    """Bit table of the hashes in a column; its size is fixed."""
-    bit = F.pmod(F.col(key), F.lit(BITS))
-    words = keys.groupBy(F.shiftright(bit, 6).alias("word")).agg(
+    """Bit table of the hashes in a column; its size is bounded at any number of keys."""
+    wanted = max(64, BITS_PER_KEY * keys.count())
+    bits = min(MOST_BITS, 1 << int(wanted - 1).bit_length())
+    words = keys.groupBy(F.shiftright(F.pmod(F.col(key), F.lit(bits)), 6).alias("word")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, cast(pmod({key}, 64) as int))")).alias("bits")
-    ).toPandas()
-    out = np.zeros(BITS // 64, np.int64)
-    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    ).toArrow()
+    out = np.zeros(bits // 64, np.int64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy()
     return out
 
 
 def has(table: np.ndarray, key: np.ndarray) -> np.ndarray:
-    at = key.view(np.int64) % BITS
+    at = key.view(np.int64) % (64 * len(table))
     return (table[at >> 6] >> (at & 63)) & 1 == 1
 
 
@@ -232,6 +233,8 @@ def spans_of(rows: DataFrame, table: np.ndarray) -> DataFrame:
                 of = np.searchsorted(chunk.starts, r.first, "right") - 1
                 k1 = np.asarray(batch.column("k1"))[chunk.first + of]
                 hit = np.flatnonzero(has(known, r.span.view(np.int64) ^ k1))
+                # A text may hold a span very often.
+                hit = hit[np.unique(r.span[hit], return_index=True)[1]]
                 raw = chunk.data.tobytes()
                 cells = [raw[a:b] for a, b in zip(r.first[hit].tolist(), (r.last[hit] + LONG).tolist())]
                 yield pa.RecordBatch.from_arrays([
@@ -355,18 +358,52 @@ def removed(rows: DataFrame, batches: int = BATCHES) -> DataFrame:
         "span", "n", F.when(F.col("c").isNotNull(), F.col("span").bitwiseXOR(F.col("k1"))).alias("sender")
     ), "spans")
     senders = bit_table(held.where("sender is not null"), "sender")
-    parts = repeated_parts(spans_of(rows, senders)).withColumn("whole", F.lit(False))
-    # A span that occurs twice repeats as a whole; others by their windows.
+    # A span that occurs twice repeats as a whole; others by their windows, each named once.
     whole = held.where("n > 1").select("span", F.lit(0), F.lit(0), F.lit(True))
-    parts = parts.union(whole).withColumnRenamed("span", "s")
+    parts = repeated_parts(spans_of(rows, senders)).distinct().join(whole, "span", "left_anti")
+    parts = parts.withColumn("whole", F.lit(False)).union(whole).withColumnRenamed("span", "s")
     low = F.when(F.col("whole"), F.col("first")).otherwise(F.col("first") + F.col("low"))
     high = F.when(F.col("whole"), F.col("last")).otherwise(F.col("first") + F.col("high"))
-    return found.join(parts, F.col("span") == F.col("s")).groupBy("k1", "k2").agg(
-        F.collect_set(F.struct(low.alias("lo"), (high + LONG).alias("hi"))).alias("parts")
+    lost = found.join(parts, F.col("span") == F.col("s")).select(
+        "k1", "k2", low.cast("int").alias("lo"), (high + LONG).cast("int").alias("hi")
     )
+    dealt = lost.repartition("k1", "k2").sortWithinPartitions("k1", "k2", "lo")
+    return dealt.mapInArrow(united, "k1 LONG, k2 LONG, parts ARRAY<INT>")
 
 
-def joined(parts: list[tuple[int, int]]) -> list[list[int]]:
+def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows (k1, k2, lo, hi) to one row of disjoint ranges (lo, hi, lo, hi, ...) per text."""
+    held: list[np.ndarray] | None = None
+
+    def rows(k1, k2, lo, hi) -> pa.RecordBatch:
+        first = np.flatnonzero(np.append(True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])))
+        ends = np.append(first[1:], len(k1)).tolist()
+        parts = [
+            [x for g in joined(zip(lo[a:b].tolist(), hi[a:b].tolist())) for x in g]
+            for a, b in zip(first.tolist(), ends)
+        ]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(k1[first]), pa.array(k2[first]), pa.array(parts, pa.list_(pa.int32()))],
+            ["k1", "k2", "parts"],
+        )
+
+    for batch in batches:
+        part = [np.asarray(batch.column(i)) for i in range(4)]
+        if held is not None:
+            part = [np.concatenate(x) for x in zip(held, part)]
+        if not len(part[0]):
+            continue
+        k1, k2 = part[0], part[1]
+        last = np.flatnonzero((k1 != k1[-1]) | (k2 != k2[-1]))
+        cut = int(last[-1]) + 1 if len(last) else 0
+        if cut:
+            yield rows(*(x[:cut] for x in part))
+        held = [x[cut:] for x in part]
+    if held is not None:
+        yield rows(*held)
+
+
+def joined(parts) -> list[list[int]]:
     """Sorted maximal runs of the union of byte ranges."""
     out: list[list[int]] = []
     for lo, hi in sorted(parts):
@@ -384,10 +421,10 @@ def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = []
             for text, parts in zip(part.column("text").to_pylist(), part.column("parts").to_pylist()):
                 data = text.encode()
-                gone = joined([(p["lo"], p["hi"]) for p in parts or ()])
-                keep = [0, *(x for g in gone for x in g), len(data)]
+                gone = parts or []
+                keep = [0, *gone, len(data)]
                 left = b"".join(data[a:b] for a, b in zip(keep[::2], keep[1::2]))
-                rows.append((len(data), len(data) - len(left), len(gone),
+                rows.append((len(data), len(data) - len(left), len(gone) // 2,
                              hashlib.sha256(left).hexdigest(), left))
             n, lost, spans, digest, left = zip(*rows)
             yield pa.RecordBatch.from_arrays([
