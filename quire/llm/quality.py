@@ -2,10 +2,11 @@
 
 Every rule rejects a document whose statistic exceeds a cutoff. Labelled documents decide the
 cutoffs, for each stratum of documents on its own: a cutoff may be used if an exact binomial
-test shows, at a level divided by the number of all (stratum, rule, cutoff) tests, that it
-rejects less than its share of the good documents. Of those, the strictest is used. So, with
-probability 1 - DELTA, no stratum loses more than ALPHA of its good documents to all rules
-together.
+test shows that it rejects less than its share of the good documents. The level is divided by
+the number of strata and rules; the cutoffs of one rule are tested from lenient to strict up to
+the first failure, which needs no further correction. Of those that pass, the one is used that
+tells bad from good documents best. So, with probability 1 - DELTA, no stratum loses more than
+ALPHA of its good documents to all rules together.
 """
 
 from __future__ import annotations
@@ -22,7 +23,9 @@ from pyspark.sql.types import StructType
 from quire.llm import texts
 
 #: Largest share of good documents that may be rejected in a stratum, and the error level.
-ALPHA, DELTA = 0.02, 0.05
+ALPHA, DELTA = 0.05, 0.05
+#: A good document lost weighs as much as so many bad ones caught, by shares.
+DEAR = 5
 #: Cutoffs are multiples of one step, up to STEPS of them.
 STEPS = 200
 #: The strata are the most frequent labelled values; all others form one more stratum.
@@ -173,7 +176,7 @@ def fit(measured: DataFrame, labels: DataFrame) -> Cutoffs:
     for r in found:
         t = tables.setdefault((r["stratum"], r["rule"]), np.zeros((2, STEPS + 1), np.int64))
         t[int(r["good"]), r["bin"]] += r["count"]
-    tests = max(1, len({s for s, _ in tables})) * len(RULES) * STEPS
+    tests = max(1, len({s for s, _ in tables})) * len(RULES)
     cutoffs: Cutoffs = {}
     for (name, rule), (bad, good) in tables.items():
         n = int(good.sum())
@@ -181,9 +184,13 @@ def fit(measured: DataFrame, labels: DataFrame) -> Cutoffs:
         # Rejected by cutoff c * step: the documents in bins above c.
         lost = n - np.cumsum(good)
         caught = bad.sum() - np.cumsum(bad)
-        proven = np.flatnonzero((lost[:-1] <= most) & (caught[:-1] > 0))
+        worth = caught / max(1, bad.sum()) - DEAR * lost / max(1, n)
+        # Losses fall with the cutoff, so those that pass are the ones before the first failure.
+        proven = np.flatnonzero((lost[:-1] <= most) & (worth[:-1] > 0))
         if len(proven):
-            cutoffs.setdefault(name, {})[rule] = float(proven[0] * RULES[rule])
+            # Of equal ones the most lenient.
+            best = proven[::-1][np.argmax(worth[proven[::-1]])]
+            cutoffs.setdefault(name, {})[rule] = float(best * RULES[rule])
     return cutoffs
 
 
