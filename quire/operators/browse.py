@@ -78,6 +78,29 @@ def search_many(entries: DataFrame, queries: dict[str, str]) -> DataFrame:
     return entries.select(F.explode(hits).alias("query_id"), *entries.columns)
 
 
+def search_table(entries: DataFrame, queries: DataFrame) -> DataFrame:
+    """:func:`search_many` for a table of queries (``query_id, query``).
+
+    Every distinct term is looked for once per entry, however many queries share it; a query
+    matches if none of its terms is missing. The queries, not the entries, are gathered.
+    """
+    none = F.array().cast(NONE)
+    terms = F.filter(F.split(F.lower("query"), text.WEB_SPACE), lambda t: t != "")
+    asked = queries.select("query_id", F.array_distinct(F.coalesce(terms, none)).alias("terms"))
+    one = asked.agg(F.struct(
+        F.collect_list(F.struct("query_id", "terms")).alias("queries"),
+        F.array_distinct(F.flatten(F.collect_list("terms"))).alias("terms"),
+    )).scalar()
+    rows = text.once(entries.withColumn("_asked", one), "_hay", haystack(entries.columns))
+    there = F.filter(F.col("_asked")["terms"], lambda t: F.col("_hay").contains(t))
+    hits = F.filter(
+        F.col("_asked")["queries"], lambda q: F.size(F.array_except(q["terms"], "_there")) == 0
+    )
+    return text.once(rows, "_there", there).select(
+        F.explode(F.transform(hits, lambda q: q["query_id"])).alias("query_id"), *entries.columns
+    )
+
+
 # -- row keys and counts -----------------------------------------------------------------
 
 

@@ -36,6 +36,12 @@ def search_documents(spark, d):
     return browse.search_many(document_entries(spark, d), SEARCHES).select("query_id", "doi")
 
 
+def search_table(spark, d):
+    """The same queries from a table."""
+    asked = dims.fixed_table(spark, list(SEARCHES.items()), "query_id STRING, query STRING")
+    return browse.search_table(document_entries(spark, d), asked).select("query_id", "doi")
+
+
 def search_candidates(spark, d):
     return browse.search(document_entries(spark, d), "the of").select("doi", "n_chars")
 
@@ -192,7 +198,7 @@ def region_lists(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    clean_text, search_documents, search_candidates, result_count, page_links, reference_links,
+    clean_text, search_documents, search_table, search_candidates, result_count, page_links, reference_links,
     single_hits, link_cascade, reply_parse, reply_rejects, chat_replies, region_lists,
 )}
 
@@ -294,3 +300,4 @@ SQL = {
                  AS encoded,
                'https://doi.org/' || o_orderkey AS link FROM orders""",
 }
+SQL["search_table"] = SQL["search_documents"]
