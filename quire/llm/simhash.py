@@ -182,9 +182,9 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
 
 
 def groups(printed: DataFrame) -> DataFrame:
-    """(fp, component_id) for every distinct fingerprint: the smallest doc_id of its component.
+    """(fp, root, component_id) for every distinct fingerprint: the smallest doc_id of its component.
 
-    Null ids never name a component unless it has no other; then its id is null.
+    Components that have the same id, or none, still differ by ``root``. Null ids never name a component unless it has no other; then its id is null.
     """
     fps = stored(printed.groupBy("fp").agg(F.min("doc_id").alias("first")), "fps")
     roots = components(links(fps.select("fp")), "simhash")
@@ -192,7 +192,7 @@ def groups(printed: DataFrame) -> DataFrame:
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     least = named.groupBy(F.col("root").alias("head")).agg(F.min("first").alias("component_id"))
-    return named.join(least, F.col("root") == F.col("head")).select("fp", "component_id")
+    return named.join(least, F.col("root") == F.col("head")).select("fp", "root", "component_id")
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -211,13 +211,17 @@ def report(docs: DataFrame) -> DataFrame:
 def representatives(docs: DataFrame) -> DataFrame:
     """One document of each group, the one with its smallest id, with all columns it came with.
 
-    Of repeated rows with that id one stays; rows with a null id stay only if their group has
-    no other, and then one of them does.
+    Of several rows with that id one stays; rows with a null id stay only if their group has
+    no other, and then one of them does. Groups are told apart by their fingerprints, so groups
+    without ids, or headed by the same id, keep one row each.
     """
-    printed = fingerprinted(docs)
-    keep = groups(printed).groupBy("component_id").agg(F.min("fp").alias("any")).select(
-        F.col("component_id").alias("keep")
-    )
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"))
-    kept = rows.join(keep, F.col("id").eqNullSafe(F.col("keep")))
-    return kept.groupBy("id").agg(F.first("row").alias("row")).select("row.*")
+    marked = stored(docs.select(
+        F.struct("*").alias("row"), "doc_id", F.monotonically_increasing_id().alias("key"),
+        fingerprints("text").alias("fp"),
+    ), "fingerprinted")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "key")
+    best = marked.groupBy(F.col("fp").alias("of")).agg(F.min(rank).alias("best"))
+    heads = best.join(groups(marked), F.col("of") == F.col("fp")).groupBy("root").agg(
+        F.min("best").alias("best")
+    ).select(F.col("best.key").alias("head"))
+    return marked.join(heads, F.col("key") == F.col("head"), "left_semi").select("row.*")

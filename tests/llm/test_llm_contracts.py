@@ -288,6 +288,17 @@ def test_simhash_odd(odd, none):
     assert order((r["doc_id"],) for r in stay.collect()) == order((h,) for h in heads)
 
 
+def test_simhash_keeps_a_row_of_each_group(spark):
+    rows = [
+        (None, text_of(500, 40)), (None, text_of(501, 40)), (None, text_of(501, 40)),  # no ids
+        (7, text_of(502, 40)), (7, text_of(503, 40)), (7, text_of(503, 40)),           # one id
+        (None, text_of(504, 40)), (9, text_of(504, 40)), (8, text_of(504, 40)),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    want = [rows[0], rows[1], rows[3], rows[4], rows[8]]
+    assert order(simhash.representatives(docs).collect()) == order(want)
+
+
 def test_simhash_query(spark, known):
     got = order(queries.op7_simhash(spark, FOLDER).collect())
     assert got == order(plain.op7([(d, t) for d, t, _ in known]))
