@@ -2,8 +2,9 @@
 
 Every rule rejects a document whose statistic exceeds a cutoff. Labelled documents decide the
 cutoffs, for each stratum of documents on its own: a cutoff may be used if an exact binomial
-test shows that it rejects less than its share of the good documents. The level is divided by
-the number of strata and rules; the cutoffs of one rule are tested from lenient to strict up to
+test shows that it rejects less than its share of the good documents. A stratum is every value that
+has labelled documents, null too; one without a proof, or without labels, rejects nothing. The
+level is divided by the number of strata and rules; the cutoffs of one rule are tested from lenient to strict up to
 the first failure, which needs no further correction. Of those that pass, the one is used that
 tells bad from good documents best. So, with probability 1 - DELTA, no stratum loses more than
 ALPHA of its good documents to all rules together.
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quire.llm import texts
+from quire.llm.shared import stored
 
 #: Largest share of good documents that may be rejected in a stratum, and the error level.
 ALPHA, DELTA = 0.05, 0.05
@@ -28,9 +30,6 @@ ALPHA, DELTA = 0.05, 0.05
 DEAR = 5
 #: Cutoffs are multiples of one step, up to STEPS of them.
 STEPS = 200
-#: The strata are the most frequent labelled values; all others form one more stratum.
-MAX_STRATA = 64
-OTHER = ""
 
 #: Statistics of rules and the step of their cutoffs.
 RULES = {
@@ -145,16 +144,30 @@ def fewest_errors(n: int, rate: float, level: float) -> int:
     return k
 
 
-Cutoffs = dict[str, dict[str, float]]
-
-
-def fit(measured: DataFrame, labels: DataFrame) -> Cutoffs:
-    """Cutoffs of each stratum from rows (doc_id, stratum, m) and labels (doc_id, quality).
-
-    All labelled documents that pass the base rules count, as counts by stratum, rule and bin, so
-    the table that reaches the driver has at most (MAX_STRATA + 1) * rules * (STEPS + 1) rows.
-    Null ids match no label; a null stratum is in the one of all others; repeated labels count once.
-    Without labels no cutoff is proven and no rule rejects.
+def proven(bins: list[dict], level: float) -> int | None:
+    """Bin of the best cutoff of a rule in a stratum from its counts (good, bin, n), if one is proven."""
+    bad, good = np.zeros((2, STEPS + 1), np.int64)
+    for x in bins:
+        (good if x["good"] else bad)[x["bin"]] += x["n"]
+    n = int(good.sum())
+    most = fewest_errors(n, ALPHA / len(RULES), level)
+    # Rejected by cutoff c * step: the documents in bins above c.
+    lost = n - np.cumsum(good)
+    caught = bad.sum() - np.cumsum(bad)
+    worth = caught / max(1, bad.sum()) - DEAR * lost / max(1, n)
+    # Losses fall with the cutoff, so those that pass are the ones before the first failure.
+    passed = np.flatnonzero((lost[:-1] <= most) & (worth[:-1] > 0))
+    # Of equal ones the most lenient.
+    return int(passed[::-1][np.argmax(worth[passed[::-1]])]) if len(passed) else None
+
+
+def fit(measured: DataFrame, labels: DataFrame) -> DataFrame:
+    """(of, cutoffs): the bin of each rule's cutoff for every stratum that has a proven one.
+
+    Takes rows (doc_id, stratum, m) and labels (doc_id, quality). All labelled documents that pass
+    the base rules count, as counts by stratum, rule and bin, of which the tests read those of one
+    stratum and rule at a time; only the number of strata reaches the driver. Null ids match no
+    label; repeated labels count once. A rule without proof has a null cutoff.
     """
     told = labels.where("quality is not null").select(
         F.col("doc_id").alias("id"), (F.col("quality") == 1).alias("good")
@@ -166,50 +179,46 @@ def fit(measured: DataFrame, labels: DataFrame) -> Cutoffs:
             F.least(F.ceil(F.col(f"m.{rule}") / step), F.lit(STEPS)).cast("int").alias("bin"),
         ) for rule, step in RULES.items()
     ])
-    sized = rows.groupBy("stratum").count().where("stratum is not null and stratum <> ''")
-    top = [r[0] for r in sized.orderBy(F.desc("count"), "stratum").limit(MAX_STRATA).collect()]
-    stratum = F.when(F.col("stratum").isin(top), F.col("stratum")).otherwise(OTHER)
-    found = rows.select(stratum.alias("stratum"), "good", F.explode(bins).alias("x")).groupBy(
-        "stratum", "good", "x.rule", "x.bin"
-    ).count().collect()
-    tables: dict[tuple[str, str], np.ndarray] = {}
-    for r in found:
-        t = tables.setdefault((r["stratum"], r["rule"]), np.zeros((2, STEPS + 1), np.int64))
-        t[int(r["good"]), r["bin"]] += r["count"]
-    tests = max(1, len({s for s, _ in tables})) * len(RULES)
-    cutoffs: Cutoffs = {}
-    for (name, rule), (bad, good) in tables.items():
-        n = int(good.sum())
-        most = fewest_errors(n, ALPHA / len(RULES), DELTA / tests)
-        # Rejected by cutoff c * step: the documents in bins above c.
-        lost = n - np.cumsum(good)
-        caught = bad.sum() - np.cumsum(bad)
-        worth = caught / max(1, bad.sum()) - DEAR * lost / max(1, n)
-        # Losses fall with the cutoff, so those that pass are the ones before the first failure.
-        proven = np.flatnonzero((lost[:-1] <= most) & (worth[:-1] > 0))
-        if len(proven):
-            # Of equal ones the most lenient.
-            best = proven[::-1][np.argmax(worth[proven[::-1]])]
-            cutoffs.setdefault(name, {})[rule] = float(best * RULES[rule])
-    return cutoffs
-
-
-def passes(cutoffs: Cutoffs, stratum: str, m: str = "m") -> Column:
+    found = stored(
+        rows.select("stratum", "good", F.explode(bins).alias("x")).groupBy(
+            "stratum", "good", "x.rule", "x.bin"
+        ).agg(F.count("*").alias("n")),
+        "bins",
+    )
+    strata = found.select("stratum").distinct().count()
+    level = DELTA / (max(1, strata) * len(RULES))
+    kind = found.schema["stratum"].dataType.simpleString()
+
+    def prove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            best = [proven(x, level) for x in batch.column("bins").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("stratum"), batch.column("rule"), pa.array(best, pa.int32())],
+                ["of", "rule", "best"],
+            )
+
+    each = found.groupBy("stratum", "rule").agg(
+        F.collect_list(F.struct("good", "bin", "n")).alias("bins")
+    )
+    best = each.mapInArrow(prove, f"of {kind}, rule STRING, best INT").where("best is not null")
+    return best.groupBy("of").agg(F.struct(*[
+        F.max(F.when(F.col("rule") == rule, F.col("best"))).alias(rule) for rule in RULES
+    ]).alias("cutoffs"))
+
+
+def with_cutoffs(rows: DataFrame, stratum: str, cutoffs: DataFrame) -> DataFrame:
+    """Rows with the cutoffs of their stratum, null where none is proven."""
+    # A proof takes 900 good labelled documents, so the table is at most a 900th of the labels.
+    return rows.join(F.broadcast(cutoffs), F.col(stratum).eqNullSafe(F.col("of")), "left")
+
+
+def passes(m: str = "m") -> Column:
     """Whether no rule of the row's stratum rejects it."""
-    def rejects(of: dict[str, float]) -> Column:
-        out = F.lit(False)
-        for rule, cutoff in of.items():
-            step = RULES[rule]
-            level = F.least(F.ceil(F.col(f"{m}.{rule}") / step), F.lit(STEPS))
-            out = out | (level > round(cutoff / step))
-        return out
-
-    verdict = rejects(cutoffs.get(OTHER, {}))
-    known = F.coalesce(F.col(stratum), F.lit(OTHER))
-    for name, of in cutoffs.items():
-        if name != OTHER:
-            verdict = F.when(known == name, rejects(of)).otherwise(verdict)
-    return ~verdict
+    rejected = F.lit(False)
+    for rule, step in RULES.items():
+        level = F.least(F.ceil(F.col(f"{m}.{rule}") / step), F.lit(STEPS))
+        rejected = rejected | F.coalesce(level > F.col(f"cutoffs.{rule}"), F.lit(False))
+    return ~rejected
 
 
 def measured(docs: DataFrame, stratum: str = "lang") -> DataFrame:
@@ -222,11 +231,11 @@ def judged(measured_rows: DataFrame, labels: DataFrame) -> DataFrame:
 
     A null or empty text has no words and so fails the base rules; an empty table gives no rows.
     """
-    cutoffs = fit(measured_rows, labels)
     failed = base_failed()
-    return measured_rows.select(
+    rows = with_cutoffs(measured_rows, "stratum", fit(measured_rows, labels))
+    return rows.select(
         "doc_id", *[f"m.{c}" for c in COUNTS], failed.alias("base_failed"),
-        (~failed & passes(cutoffs, "stratum")).alias("kept"),
+        (~failed & passes()).alias("kept"),
     )
 
 
@@ -234,4 +243,5 @@ def keep(docs: DataFrame, measured_rows: DataFrame, labels: DataFrame, stratum:
     """The documents that no rule rejects, with all columns they came with."""
     cutoffs = fit(measured_rows, labels)
     rows = docs.select(F.struct("*").alias("row"), statistics("text").alias("m"))
-    return rows.where(~base_failed() & passes(cutoffs, f"row.{stratum}")).select("row.*")
+    rows = with_cutoffs(rows.where(~base_failed()), f"row.{stratum}", cutoffs)
+    return rows.where(passes()).select("row.*")

@@ -278,6 +278,25 @@ def test_quality_cutoffs_hold_their_promise(spark):
     assert lost <= quality.ALPHA and caught > 0.9
 
 
+def test_quality_strata_are_judged_by_their_own_labels(spark):
+    def noisy(i):
+        return text_of(i, 40) + "".join(f" {j}##$$" for j in range(20))
+
+    # In null and in "l00" noise is bad; in 70 more languages labels are too few for a proof.
+    rows = [(i, noisy(i) if i % 3 == 0 else text_of(i, 40), [None, "l00"][i % 2], int(i % 3 > 0)) for i in range(6000)]
+    rows += [(6000 + i, noisy(i), f"l{i % 70 + 1:02}", 1) for i in range(140)]
+    rows += [(7000 + i, noisy(i), "unlabelled", None) for i in range(20)]
+    rows += [(8000 + i, noisy(i), "", None) for i in range(20)]
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id LONG, text STRING, lang STRING")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id LONG, quality INT")
+    out = quality.judged(stored(quality.measured(docs), "strata"), labels).where("not base_failed").collect()
+    kept = {r["doc_id"]: r["kept"] for r in out}
+    assert all(k for d, k in kept.items() if d >= 6000)
+    for of in (0, 1):
+        assert np.mean([k for d, k in kept.items() if d < 6000 and d % 2 == of and d % 3]) >= 0.95
+        assert np.mean([k for d, k in kept.items() if d < 6000 and d % 2 == of and d % 3 == 0]) < 0.1
+
+
 # 7. SimHash
 def test_simhash_odd(odd, none):
     assert order(simhash.report(odd).collect()) == order(plain.op7(TEXTS))
