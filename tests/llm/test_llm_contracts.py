@@ -431,6 +431,12 @@ def test_language(spark, none):
     assert [r["lang"] for r in langid.identify(pages, none).collect()] == [None] * len(rows)
 
 
+def test_declared_language_after_a_long_comment():
+    page = "<!--" + " note" * 2000 + "-->" + "\n" * 300 + "<html class='x' lang='fr-CA'><p>mot</p></html>"
+    assert langid.read_page(page)[0] == "fr"
+    assert langid.read_page("<html><p lang=de>" + page)[0] == "fr"
+
+
 def test_language_query(spark, known):
     rows = queries.op9_language(spark, FOLDER).collect()
     told = [r for r in rows if r["declared"]]
