@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm import (
-    decontaminate, langid, language_model, mixing, quality, simhash, suffixes, tokens, toxicity,
-    url_filter,
+    decontaminate, langid, language_model, mixing, quality, simhash, suffixes, token_counts, tokens,
+    toxicity, url_filter,
 )
 from quire.llm.shared import stored
 
@@ -70,6 +70,13 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(pages, RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    file = token_counts.read_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return token_counts.report(table(spark, folder, "documents"), file)
+
+
 QUERIES = {
     "op1_language_model": op1_language_model,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -81,6 +88,7 @@ QUERIES = {
     "op8_tokens": op8_tokens,
     "op9_language": op9_language,
     "op10_url_filter": op10_url_filter,
+    "op13_token_counts": op13_token_counts,
 }
 
 SQL = {
