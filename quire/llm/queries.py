@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm import (
     decontaminate, langid, language_model, mixing, quality, simhash, suffixes, token_counts, tokens,
-    toxicity, url_filter,
+    toxicity, url_filter, vector_codes,
 )
 from quire.llm.shared import stored
 
@@ -70,6 +70,10 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(pages, RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.report(table(spark, folder, "embeddings"))
+
+
 def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -88,10 +92,49 @@ QUERIES = {
     "op8_tokens": op8_tokens,
     "op9_language": op9_language,
     "op10_url_filter": op10_url_filter,
+    "op11_vector_codes": op11_vector_codes,
     "op13_token_counts": op13_token_counts,
 }
 
+ROUNDS = range(vector_codes.ROUNDS)
+NEAREST = """near{i} AS MATERIALIZED (
+  SELECT rid, part, entry, sum((x.value - b.value) * (x.value - b.value))::BIGINT AS square
+  FROM x JOIN book{i} b USING (part, place) GROUP BY rid, part, entry
+  QUALIFY row_number() OVER (PARTITION BY rid, part ORDER BY square, entry) = 1
+)"""
+MOVED = """book{j} AS MATERIALIZED (
+  SELECT part, entry, place, coalesce(mean, value) AS value
+  FROM book{i} LEFT JOIN (
+    SELECT part, entry, place, (total - ((total % n) + n) % n) // n AS mean FROM (
+      SELECT part, entry, place, sum(value) AS total, count(*) AS n
+      FROM near{i} JOIN x USING (rid, part) GROUP BY part, entry, place
+    )
+  ) USING (part, entry, place)
+)"""
+
 SQL = {
+    "op11_vector_codes": """
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda v: floor(4096 * v::DOUBLE)::BIGINT) AS ints
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+),
+v AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY vec_id, ints) - 1 AS rid FROM kept),
+cell AS (SELECT rid, unnest(range(len(ints))) AS i, unnest(ints) AS value, len(ints) // 8 AS size FROM v),
+x AS MATERIALIZED (SELECT rid, i // size AS part, i % size AS place, value FROM cell),
+book0 AS MATERIALIZED (SELECT part, rid AS entry, place, value FROM x WHERE rid < 16),
+""" + ",\n".join(
+        f"{NEAREST.format(i=i)},\n{MOVED.format(i=i, j=i + 1)}" for i in ROUNDS
+    ) + f",\n{NEAREST.format(i=vector_codes.ROUNDS)}," + f"""
+coded AS (
+  SELECT rid, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(square)::BIGINT AS error
+  FROM near{vector_codes.ROUNDS} GROUP BY rid
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(value::VARCHAR, ',' ORDER BY part, entry, place))
+        FROM book{vector_codes.ROUNDS}) AS codebooks_sha256
+FROM v JOIN coded USING (rid)
+""",
     "op4_mix": """
 WITH sized AS (
   SELECT doc_id, source,
