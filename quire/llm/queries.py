@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm import (
-    decontaminate, langid, language_model, mixing, quality, simhash, suffixes, token_counts, tokens,
-    toxicity, url_filter, vector_codes,
+    decontaminate, divergence, langid, language_model, mixing, quality, simhash, suffixes,
+    token_counts, tokens, toxicity, url_filter, vector_codes,
 )
 from quire.llm.shared import stored
 
@@ -74,6 +74,10 @@ def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_codes.report(table(spark, folder, "embeddings"))
 
 
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.report(table(spark, folder, "documents").select("lang", "source", "text"))
+
+
 def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -93,6 +97,7 @@ QUERIES = {
     "op9_language": op9_language,
     "op10_url_filter": op10_url_filter,
     "op11_vector_codes": op11_vector_codes,
+    "op12_divergence": op12_divergence,
     "op13_token_counts": op13_token_counts,
 }
 
@@ -134,6 +139,48 @@ SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS la
        (SELECT sha256(string_agg(value::VARCHAR, ',' ORDER BY part, entry, place))
         FROM book{vector_codes.ROUNDS}) AS codebooks_sha256
 FROM v JOIN coded USING (rid)
+""",
+    "op12_divergence": """
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         coalesce(text, '') AS text FROM documents
+),
+w AS (
+  SELECT id, lang, source,
+         translate(term, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM d, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS u(term)
+),
+kept AS (
+  SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT id) >= 3
+),
+whole AS (SELECT lang, sum(n) + count(*) AS m FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+size AS (
+  SELECT lang, source, coalesce(sum(c.n), 0) + (SELECT count(*) FROM kept k WHERE k.lang = g.lang) AS m
+  FROM groups g LEFT JOIN c USING (lang, source) GROUP BY lang, source
+),
+p AS MATERIALIZED (
+  SELECT lang, source, term, coalesce(c.n, 0) AS n,
+         1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // size.m AS p,
+         1 + 1000000000::HUGEINT * (kept.n + 1) // whole.m AS q
+  FROM groups JOIN size USING (lang, source) JOIN kept USING (lang) JOIN whole USING (lang)
+  LEFT JOIN c USING (lang, source, term)
+),
+value AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL
+),
+report AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(v.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN value v ON v.lang = a.lang AND v.source = a.source AND v.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM p WHERE n > 0 AND p > q
+)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INT AS rank
+FROM report QUALIFY part = 'pair' OR rank <= 200
 """,
     "op4_mix": """
 WITH sized AS (
