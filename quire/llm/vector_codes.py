@@ -291,7 +291,7 @@ def coded(rows: DataFrame, books: np.ndarray, width: int) -> DataFrame:
     rest = rows.where(~fits).select(
         "row", F.lit(None).cast("string").alias("code"), F.lit(None).cast("long").alias("error")
     )
-    return known.unionByName(rest)
+    return known.unionByName(rest) if books.size else rest
 
 
 def compress(
