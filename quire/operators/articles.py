@@ -107,6 +107,26 @@ def put_articles(
     return Catalogue(articles, authors, classes)
 
 
+def landed_rows(rows: DataFrame) -> DataFrame:
+    """What the table ``landed`` remembers of flattened articles; rows that no stream appended have
+    no run."""
+    blank = {"run": F.lit(None).cast("string"), "batch": F.lit(None).cast("int")}
+    rows = rows.withColumns({c: v for c, v in blank.items() if c not in rows.columns})
+    return keyed.with_columns_from(rows, schemas.LANDED, {})
+
+
+def newer(rows: DataFrame, landed: DataFrame) -> DataFrame:
+    """Flattened articles that landed after what ``landed`` holds of the same DOI, or that it
+    doesn't hold."""
+    order = [c for c in schemas.names(schemas.LANDED) if c != "doi"]
+    old = landed.select(F.col("doi").alias("_doi"), F.struct(*order).alias("_old"))
+    now = landed_rows(rows).select(F.col("doi").alias("_of"), F.struct(*order).alias("_now"))
+    won = now.join(old, F.col("_of") == F.col("_doi"), "left").where(
+        F.col("_old").isNull() | (F.col("_now") > F.col("_old"))
+    )
+    return keyed.keep_keys(rows, won.select(F.col("_of").alias("doi")), ["doi"])
+
+
 def put_classifications(
     cat: Catalogue, new: DataFrame, order: list[Column] | None = None
 ) -> Catalogue:

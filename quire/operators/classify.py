@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quire import vocab
 from quire.functions import replies, text
+from quire.operators import dims
 
 
 def request_id(doi: Column) -> Column:
@@ -83,7 +84,12 @@ def resolve_dois(reply_rows: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def parsed_replies(reply_rows: DataFrame) -> DataFrame:
-    """Add ``parsed`` (VARIANT object or null) and a reject ``reason``."""
+    """Add ``parsed`` (VARIANT object or null) and a reject ``reason``.
+
+    Rows that have been parsed, and perhaps stored, stay as they are.
+    """
+    if "parsed" in reply_rows.columns:
+        return reply_rows
     if "reason" not in reply_rows.columns:
         reply_rows = reply_rows.withColumn("reason", F.lit(None).cast("string"))
     reason = F.when(F.col("parsed").isNull(), F.lit("not a JSON object"))
@@ -113,3 +119,25 @@ def classified(
 def rejected(reply_rows: DataFrame) -> DataFrame:
     """Replies that gave no record, with the reason."""
     return parsed_replies(reply_rows).where(F.col("reason").isNotNull()).drop("parsed")
+
+
+def unknown_names(
+    reply_rows: DataFrame, geo: DataFrame, aliases: DataFrame | None = None,
+    valid: list[str] = vocab.REGIONS,
+) -> DataFrame:
+    """``doi, kind, name``: region and country names of good replies that no table knows, each once
+    for a reply."""
+    good = parsed_replies(reply_rows).where(F.col("reason").isNull())
+    listed = F.array(*[
+        F.struct(F.lit(kind).alias("kind"), F.array_distinct(
+            replies.string_items(replies.field(F.col("parsed"), field))
+        ).alias("names"))
+        for kind, field in (("region", "regions"), ("country", "countries"))
+    ])
+    each = good.select("doi", F.inline(listed)).select("doi", "kind", F.explode("names").alias("name"))
+    strange = (F.col("kind") == "country") | ~F.col("name").isin([*valid, *vocab.REGION_ALIASES])
+    known = dims.known_countries(geo, aliases).select(
+        F.lit("country").alias("kind"), F.col("known").alias("_known")
+    )
+    same = (each["kind"] == known["kind"]) & (F.lower(each["name"]) == known["_known"])
+    return each.where((F.col("name") != "") & strange).join(known, same, "left_anti")

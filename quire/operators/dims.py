@@ -138,6 +138,15 @@ def country_lookup(geo: DataFrame, aliases: DataFrame | None = None) -> Column:
     return one.scalar()
 
 
+def known_countries(geo: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """``known``: every lower-cased spelling of a country that a look-up finds."""
+    codes = geo.select(F.lower("alpha3").alias("known"))
+    official = [(n.lower(),) for n in vocab.OFFICIAL_NAMES]
+    return geo.select(F.lower("name").alias("known")).union(codes).union(
+        spellings(geo, aliases).select(F.lower("name"))
+    ).union(fixed_table(geo.sparkSession, official, "known STRING")).distinct()
+
+
 def unrecognised(classes: DataFrame, geo: DataFrame, aliases: DataFrame | None = None,
                  valid: list[str] = vocab.REGIONS) -> DataFrame:
     """``kind, name, n``: region and country names that no table knows, with their rows.
@@ -148,12 +157,8 @@ def unrecognised(classes: DataFrame, geo: DataFrame, aliases: DataFrame | None =
         return classes.select(F.explode(F.array_distinct(column)).alias("name"))
 
     regions = used("regions").where(~F.col("name").isin([*valid, *vocab.REGION_ALIASES]))
-    codes = geo.select(F.lower("alpha3").alias("known"))
-    known = geo.select(F.lower("name").alias("known")).union(codes).union(
-        spellings(geo, aliases).select(F.lower("name"))
-    ).union(fixed_table(geo.sparkSession, [(n.lower(),) for n in vocab.OFFICIAL_NAMES], "known STRING"))
     countries = used("countries").join(
-        known.distinct(), F.lower("name") == F.col("known"), "left_anti"
+        known_countries(geo, aliases), F.lower("name") == F.col("known"), "left_anti"
     )
     return regions.select(F.lit("region").alias("kind"), "name").unionByName(
         countries.select(F.lit("country").alias("kind"), "name")

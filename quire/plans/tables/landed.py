@@ -6,14 +6,15 @@ from pyspark.sql import functions as F
 
 from quire import schemas, vocab
 from quire.operators import classify, dims, keyed, normalize, publish
-from quire.plans.tables import records
+from quire.plans import jobs
+from quire.plans.tables import edits, records
 from quire.plans.tables.shapes import (
     ENTRIES_SQL, GEO_SQL, SUBREGIONS, entries, geography, joined, load, text,
 )
 from quire.sources import geography as geography_file
 from quire.sources import overrides, pages, responses, tables
 from quire.streaming import jobs as streams
-from quire.plans.tables.edits import _forms_of, event_stream
+from quire.plans.tables.edits import _forms_of, event_pages, event_stream
 
 
 def as_files(spark, rows, name):
@@ -137,6 +138,113 @@ def stored_customers(spark, d):
     return tables.read_table(spark, root, schemas.ARTICLE).select("doi", "title", "year")
 
 
+def _customer_articles(rows, title):
+    blank = {c: F.lit(None).cast("string") for c in ("volume", "issue", "pages", "abstract")}
+    return rows.select(text("c_custkey").alias("doi"), title.alias("title")).withColumns({
+        **blank, "journal": F.lit("JOP"), "year": F.lit(1990), "month": F.lit(None).cast("int"),
+    }).select(*schemas.names(schemas.ARTICLE))
+
+
+def bucketed_customers(spark, d):
+    """A bucketed table changed twice: customers with orders get a new title and one child row each,
+    in one step; then customers in debt lose their title. Read back as of the last manifest."""
+    cust = load(spark, d, "customer")
+    store = tables.catalogue_store(spark, tables.scratch(spark, "bucketed"))
+    store = store.commit({"articles": _customer_articles(cust, F.col("c_name"))})
+    buyers = cust.join(load(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")),
+                       "c_custkey", "left_semi")
+    busy = _customer_articles(buyers, F.concat(F.lit("busy "), "c_name"))
+    only = store.buckets_of(busy, "articles")
+    people = busy.select("doi", F.lit(0).alias("sequence"), F.lit("G").alias("given"),
+                         F.col("title").alias("family"))
+    store = store.commit({
+        "articles": keyed.upsert(store.read("articles", only), busy, ["doi"]),
+        "authors": keyed.replace_children(store.read("authors", only), people, busy, "doi"),
+    }, only)
+    debt = _customer_articles(cust.where("c_acctbal < -900"), F.lit(None).cast("string"))
+    only = store.buckets_of(debt, "articles")
+    store = store.commit(
+        {"articles": keyed.upsert(store.read("articles", only), debt, ["doi"])}, only
+    )
+    return store.read("articles").select("doi", "title", "year").join(
+        store.read("authors").select("doi", "family"), "doi", "left"
+    )
+
+
+def merged_pages(spark, d):
+    """Events streamed as pages by two runs, the later half of the day first, and merged after each:
+    whatever is merged last, the page that landed last counts."""
+    out, root = tables.scratch(spark, "pages"), tables.scratch(spark, "merged")
+    stream = event_stream(spark, d)
+    for when in (F.hour("ts") >= 12, F.hour("ts") < 12):
+        check = tables.scratch(spark, "pages-checkpoint")
+        rows = event_pages(stream.where(when))
+        streams.flatten_stream(rows, out, check).awaitTermination()
+        jobs.merge_landed(spark, root, out)
+    cat = tables.load_catalogue(spark, root)
+    people = cat.authors.select("doi", F.col("family").alias("author"))
+    return cat.articles.select("doi", "title", "year", "month", "pages", "abstract").join(people, "doi")
+
+
+def response_rejects(spark, d):
+    """Events as landed response lines, some cut off, some without a key, of all four kinds."""
+    kind = F.col("event_type")
+    doi = F.when(kind != "signup", F.concat(F.lit("10.1/"), text("event_id")))
+
+    def lines(key, *rest):
+        row = F.struct(key, *rest)
+        whole = F.to_json(row)
+        return load(spark, d, "events").select(
+            F.when(kind == "error", F.substring(whole, 1, 9)).otherwise(whole).alias("value")
+        )
+
+    status = F.lit(200).alias("status")
+    answers = {
+        "abstracts": lambda p: responses.read_abstracts(spark, p),
+        "dataverse": lambda p: responses.read_dataverse(spark, p),
+        "zenodo": lambda p: responses.read_zenodo(spark, p),
+        "references": lambda p: responses.read_references(spark, p),
+    }
+    out = None
+    for name, read in answers.items():
+        key = F.when(kind != "signup", F.array(doi)).alias("dois") if name == "abstracts" else doi.alias("doi")
+        answer = tables.staged(read(as_files(spark, lines(key, status), name)), name)
+        told = responses.rejects(answer).groupBy("reason").agg(F.count("*").alias("n")).unionByName(
+            responses.good(answer).agg(F.lit("good").alias("reason"), F.count("*").alias("n"))
+        ).select(F.lit(name).alias("kind"), "reason", "n")
+        out = told if out is None else out.unionByName(told)
+    return out
+
+
+def landed_records(spark, d):
+    """Events as landed search responses of the second repository."""
+    hit = F.struct(
+        F.struct(F.concat(F.lit("z:"), text("event_id")).alias("html")).alias("links"),
+        F.struct(F.col("event_type").alias("title")).alias("metadata"),
+    )
+    hits = F.when(F.col("value") > 50, F.array(hit, hit)).when(F.col("value") > 20, F.array(hit))
+    row = F.struct(
+        text("event_id").alias("doi"), F.lit("field").alias("step"),
+        F.when(F.col("event_type") == "error", 500).otherwise(200).alias("status"),
+        F.struct(F.struct(hits.alias("hits")).alias("hits")).alias("body"),
+    )
+    lines = load(spark, d, "events").select(F.to_json(row).alias("value"))
+    return responses.good(responses.read_zenodo(spark, as_files(spark, lines, "records"))).select(
+        "doi", "ok", F.col("n_hits").cast("bigint").alias("n_hits"), "url"
+    )
+
+
+def reply_unknown_names(spark, d):
+    """Documents as replies that name their source as a region and their language as a country: what
+    the geography of nations doesn't know, reported for each reply."""
+    reply = F.to_json(F.struct(
+        F.array("source", F.lit(SUBREGIONS[1])).alias("regions"),
+        F.array("lang", F.lit("NATION_1"), "lang").alias("countries"),
+    ))
+    replies = load(spark, d, "documents").select(text("doc_id").alias("doi"), reply.alias("raw"))
+    return classify.unknown_names(replies, geography(spark, d), valid=SUBREGIONS[1:])
+
+
 def published_file(spark, d):
     """The published entries as a file of JSON lines in catalogue order, read for browsing."""
     folder = tables.scratch(spark, "entries")
@@ -207,7 +315,8 @@ def migrated(spark, d):
 QUERIES = {f.__name__: f for f in (
     page_rejects, reply_join_rejects, document_rejects, document_entries, stream_rejects,
     unrecognised_names, mixed_spellings, stored_customers, published_file, geography_document,
-    journal_issns, landed_hits, landed_references, migrated,
+    journal_issns, landed_hits, landed_references, migrated, bucketed_customers, merged_pages,
+    response_rejects, landed_records, reply_unknown_names,
 )}
 
 _JOURNALS = ", ".join(f"('{k}', '{v}')" for k, v in vocab.JOURNALS.items())
@@ -265,6 +374,30 @@ SQL = {
         SELECT journal, issn, count(*) AS n
         FROM (SELECT {records.JOURNAL_SQL} AS journal FROM documents)
         LEFT JOIN (VALUES {_JOURNALS}) t(journal, issn) USING (journal) GROUP BY ALL""",
+    "bucketed_customers": """
+        WITH busy AS (SELECT DISTINCT o_custkey AS c_custkey, true AS busy FROM orders)
+        SELECT CAST(c_custkey AS VARCHAR) AS doi, 1990 AS year,
+               CASE WHEN c_acctbal < -900 THEN NULL WHEN busy THEN 'busy ' || c_name ELSE c_name END AS title,
+               CASE WHEN busy THEN 'busy ' || c_name END AS family
+        FROM customer LEFT JOIN busy USING (c_custkey)""",
+    "merged_pages": edits.SQL["stream_pages"],
+    "response_rejects": """
+        SELECT kind, reason, count(*) AS n FROM (
+          SELECT CASE WHEN event_type = 'error' THEN 'unreadable line'
+                      WHEN event_type <> 'signup' THEN 'good'
+                      WHEN kind = 'abstracts' THEN 'no dois' ELSE 'no doi' END AS reason, kind
+          FROM events, (VALUES ('abstracts'), ('dataverse'), ('zenodo'), ('references')) t(kind))
+        GROUP BY ALL""",
+    "landed_records": """
+        SELECT CAST(event_id AS VARCHAR) AS doi, event_type <> 'error' AS ok,
+               CAST(CASE WHEN value > 50 THEN 2 WHEN value > 20 THEN 1 ELSE 0 END AS BIGINT) AS n_hits,
+               CASE WHEN value > 20 THEN 'z:' || event_id END AS url FROM events""",
+    "reply_unknown_names": f"""
+        SELECT CAST(doc_id AS VARCHAR) AS doi, 'region' AS kind, source AS name FROM documents
+        WHERE source <> '' AND source NOT IN ({", ".join(f"'{s}'" for s in SUBREGIONS[1:])})
+        UNION ALL
+        SELECT CAST(doc_id AS VARCHAR), 'country', lang FROM documents
+        WHERE lang <> '' AND lower(lang) NOT IN (SELECT lower(n_name) FROM nation)""",
     "landed_hits": """
         SELECT CAST(event_id AS VARCHAR) AS doi, event_type <> 'error' AS ok,
                CAST(CASE WHEN value > 20 THEN 1 ELSE 0 END AS BIGINT) AS n_hits,

@@ -10,6 +10,11 @@ CLASSIFICATION = (
     "regions ARRAY<STRING>, countries ARRAY<STRING>, backend STRING, model STRING, "
     "classified_at TIMESTAMP, replication_url STRING"
 )
+#: Which landed page last gave each article.
+LANDED = (
+    "doi STRING, landed STRUCT<time: TIMESTAMP, path: STRING, start: BIGINT>, line BIGINT, "
+    "item_pos INT, run STRING, batch INT"
+)
 LOG_ENTRY = "list STRING, pos BIGINT, issue STRING, doi STRING, raw STRING"
 
 ITEM = (

@@ -1,6 +1,7 @@
 """Landed responses of other services, one JSON line per response.
 
-Every reader gives a flat table; ``attempt`` orders repeated responses for one key.
+Every reader gives a flat table; ``attempt`` orders repeated responses for one key. A line that cannot
+be used is a row with its text and a reason: :func:`good` and :func:`rejects` tell them apart.
 """
 
 from __future__ import annotations
@@ -10,17 +11,53 @@ from pyspark.sql import functions as F
 
 from quire import schemas, vocab
 from quire.functions import replies
+from quire.functions.text import once
 from quire.operators.links import page_link, reference_candidates
 
 
+#: Columns that tell what a response line could not be used for; null in good rows.
+REJECT = ["line_text", "reason"]
+BROKEN = "_broken"
+
+
+def read_lines(spark: SparkSession, path: str, ddl: str, key: str) -> DataFrame:
+    """Response lines, blank ones skipped, with ``line_text`` and ``reason`` where a line is cut off,
+    holds a value of another type, or lacks its ``key``."""
+    broken = {"columnNameOfCorruptRecord": BROKEN}
+    parsed = F.from_json("value", f"{ddl}, {BROKEN} STRING", broken)
+    rows = once(spark.read.text(path).where(F.trim("value") != ""), "_line", parsed)
+    line = F.col("_line")
+    reason = F.when(
+        line.isNull() | line[BROKEN].isNotNull(), F.lit("unreadable line")
+    ).when(line[key].isNull(), F.lit(f"no {key}"))
+    return rows.select(
+        *[line[c].alias(c) for c in schemas.names(ddl)],
+        F.when(reason.isNotNull(), F.col("value")).alias("line_text"), reason.alias("reason"),
+    )
+
+
+def carried(responses: DataFrame) -> list[str]:
+    return [c for c in REJECT if c in responses.columns]
+
+
+def good(responses: DataFrame) -> DataFrame:
+    """The responses that can be used."""
+    return responses.where(F.col("reason").isNull()).drop(*REJECT)
+
+
+def rejects(responses: DataFrame) -> DataFrame:
+    """``line_text, reason`` of the lines that cannot."""
+    return responses.where(F.col("reason").isNotNull()).select(*REJECT)
+
+
 def read_abstracts(spark: SparkSession, path: str) -> DataFrame:
-    """Abstract batches: requested ``dois`` and answers aligned by position."""
+    """Abstract batches: requested ``dois`` and answers aligned by position, and rejects."""
     ddl = f"{schemas.ABSTRACT_RESPONSE}, attempt BIGINT"
-    return spark.read.schema(ddl).json(path).fillna(0, ["attempt"])
+    return read_lines(spark, path, ddl, "dois").fillna(0, ["attempt"])
 
 
 def read_dataverse(spark: SparkSession, path: str) -> DataFrame:
-    return dataverse_hits(spark.read.schema(schemas.DATAVERSE_RESPONSE).json(path))
+    return dataverse_hits(read_lines(spark, path, schemas.DATAVERSE_RESPONSE, "doi"))
 
 
 def dataverse_hits(responses: DataFrame) -> DataFrame:
@@ -33,7 +70,7 @@ def dataverse_hits(responses: DataFrame) -> DataFrame:
 
 
 def read_zenodo(spark: SparkSession, path: str) -> DataFrame:
-    return zenodo_hits(spark.read.schema(schemas.ZENODO_RESPONSE).json(path))
+    return zenodo_hits(read_lines(spark, path, schemas.ZENODO_RESPONSE, "doi"))
 
 
 def zenodo_hits(responses: DataFrame) -> DataFrame:
@@ -46,12 +83,12 @@ def search_hits(responses: DataFrame, n_hits, url) -> DataFrame:
     return responses.select(
         "doi", "step", F.coalesce("attempt", F.lit(0)).alias("attempt"),
         (F.coalesce("status", F.lit(0)) == 200).alias("ok"),
-        F.coalesce(n_hits, F.lit(0)).alias("n_hits"), url.alias("url"),
+        F.coalesce(n_hits, F.lit(0)).alias("n_hits"), url.alias("url"), *carried(responses),
     )
 
 
 def read_references(spark: SparkSession, path: str) -> DataFrame:
-    return references(spark.read.schema(schemas.REFERENCE_RESPONSE).json(path))
+    return references(read_lines(spark, path, schemas.REFERENCE_RESPONSE, "doi"))
 
 
 def references(responses: DataFrame) -> DataFrame:
@@ -59,10 +96,10 @@ def references(responses: DataFrame) -> DataFrame:
     listed = F.transform(
         "body.message.reference", lambda r: F.coalesce(r["unstructured"], F.lit(""))
     )
-    good = F.coalesce("status", F.lit(0)) == 200
+    answered = F.coalesce("status", F.lit(0)) == 200
     return responses.select(
         "doi", F.coalesce("attempt", F.lit(0)).alias("attempt"),
-        F.when(good, reference_candidates(listed)).alias("candidates"),
+        F.when(answered, reference_candidates(listed)).alias("candidates"), *carried(responses),
     )
 
 

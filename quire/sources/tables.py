@@ -1,8 +1,9 @@
 """Stored tables and published files.
 
-A table is a directory of complete, numbered parquet snapshots. A job reads the newest one
-and writes the next, so it never overwrites what it is reading and a lost executor or a
-failed job leaves the last complete version in place.
+The catalogue's tables are bucketed and change together (:mod:`quire.sources.buckets`). Other
+tables, such as rejects and staged rows, are directories of complete, numbered parquet snapshots: a
+job reads the newest one and writes the next, so it never overwrites what it is reading and a
+lost executor or a failed job leaves the last complete version in place.
 """
 
 from __future__ import annotations
@@ -12,6 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from quire import schemas
 from quire.operators.articles import Catalogue, current_classifications
 from quire.operators.publish import in_catalogue_order
+from quire.sources.buckets import BUCKETS, Kind, Store
+
+KINDS = {
+    "articles": Kind(schemas.ARTICLE), "authors": Kind(schemas.AUTHOR),
+    "classifications": Kind(schemas.CLASSIFICATION), "landed": Kind(schemas.LANDED),
+}
+CORE = ("authors", "classifications", "articles")
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -20,18 +28,16 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
-    """Complete snapshot numbers of a table, oldest first."""
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    if not exists(spark, path):
-        return []
+    """Complete snapshot numbers of a table, oldest first; of a bucketed table those of the
+    manifests with which it changed."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = []
-    for status in fs.listStatus(folder):
-        name = status.getPath().getName()
-        done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.startswith("v=") and fs.exists(done):
-            found.append(int(name[2:]))
+    done = spark._jvm.org.apache.hadoop.fs.Path(path, "v=*/{_SUCCESS,job=*/_SUCCESS}")
+    found = {
+        int(part[2:]) for s in fs.globStatus(done) or []
+        for part in s.getPath().toString().removeprefix(folder.toString()).split("/")
+        if part.startswith("v=")
+    }
     return sorted(found)
 
 
@@ -51,27 +57,40 @@ def write_table(df: DataFrame, path: str) -> int:
     return number
 
 
-def load_catalogue(spark: SparkSession, root: str) -> Catalogue:
+def catalogue_store(spark: SparkSession, root: str, buckets: int = BUCKETS) -> Store:
+    """The stored catalogue; ``buckets`` counts only for a new one."""
+    return Store.open(spark, root, KINDS, buckets)
+
+
+def load_catalogue(
+    spark: SparkSession, root: str, store: Store | None = None, only: list[int] | None = None
+) -> Catalogue:
+    """The three tables, or the given buckets of them. Before the first manifest these are the
+    newest snapshots of older data."""
+    store = catalogue_store(spark, root) if store is None else store
+
+    def read(name: str) -> DataFrame:
+        if store.is_new:
+            return read_table(spark, f"{root}/{name}", KINDS[name].ddl)
+        return store.read(name, only)
+
     return Catalogue(
-        read_table(spark, f"{root}/articles", schemas.ARTICLE),
-        read_table(spark, f"{root}/authors", schemas.AUTHOR),
-        current_classifications(
-            read_table(spark, f"{root}/classifications", schemas.CLASSIFICATION)
-        ),
+        read("articles"), read("authors"), current_classifications(read("classifications"))
     )
 
 
 def save_catalogue(
-    cat: Catalogue, root: str,
-    tables: tuple[str, ...] = ("authors", "classifications", "articles"),
-) -> None:
-    """Write the next snapshot of the tables a job changed.
+    store: Store, cat: Catalogue, names: tuple[str, ...] = CORE, only: list[int] | None = None,
+    landed: DataFrame | None = None, ledger: dict | None = None,
+) -> Store:
+    """Write the tables a job changed, or their buckets ``only``, and switch to them at once.
 
-    All of them read the previous snapshots, so their order does not matter, and a job
-    that stopped half-way is simply run again.
+    The first manifest takes in all tables. A job that stopped half-way has changed nothing.
     """
-    for name in tables:
-        write_table(getattr(cat, name), f"{root}/{name}")
+    frames = {name: getattr(cat, name) for name in (CORE if store.is_new else names)}
+    if landed is not None:
+        frames["landed"] = landed
+    return store.commit(frames, only, ledger)
 
 
 def write_lines(rows: DataFrame, path: str) -> None:
