@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quire import vocab
 from quire.functions import names, periods, text
-from quire.operators import dims
+from quire.operators import dims, postings
 
 NONE = "array<string>"
 
@@ -79,26 +79,8 @@ def search_many(entries: DataFrame, queries: dict[str, str]) -> DataFrame:
 
 
 def search_table(entries: DataFrame, queries: DataFrame) -> DataFrame:
-    """:func:`search_many` for a table of queries (``query_id, query``).
-
-    Every distinct term is looked for once per entry, however many queries share it; a query
-    matches if none of its terms is missing. The queries, not the entries, are gathered.
-    """
-    none = F.array().cast(NONE)
-    terms = F.filter(F.split(F.lower("query"), text.WEB_SPACE), lambda t: t != "")
-    asked = queries.select("query_id", F.array_distinct(F.coalesce(terms, none)).alias("terms"))
-    one = asked.agg(F.struct(
-        F.collect_list(F.struct("query_id", "terms")).alias("queries"),
-        F.array_distinct(F.flatten(F.collect_list("terms"))).alias("terms"),
-    )).scalar()
-    rows = text.once(entries.withColumn("_asked", one), "_hay", haystack(entries.columns))
-    there = F.filter(F.col("_asked")["terms"], lambda t: F.col("_hay").contains(t))
-    hits = F.filter(
-        F.col("_asked")["queries"], lambda q: F.size(F.array_except(q["terms"], "_there")) == 0
-    )
-    return text.once(rows, "_there", there).select(
-        F.explode(F.transform(hits, lambda q: q["query_id"])).alias("query_id"), *entries.columns
-    )
+    """:func:`search_many` for a table of queries (``query_id, query``) of any size."""
+    return postings.search_texts(entries, haystack(entries.columns), queries)
 
 
 # -- row keys and counts -----------------------------------------------------------------
@@ -130,23 +112,78 @@ def keyed_entries(entries: DataFrame, geo: DataFrame) -> DataFrame:
     ).drop("_geo")
 
 
+def ascending(buckets: list[tuple]) -> bool:
+    """Do the bounds of ``(label, low, high)`` ascend? None is open."""
+    lows = [float("-inf") if b[1] is None else b[1] for b in buckets]
+    highs = [float("inf") if b[2] is None else b[2] for b in buckets]
+    return lows == sorted(lows) and highs == sorted(highs)
+
+
+def bucket_span(start: Column, end: Column, buckets: list[tuple]) -> tuple[Column, Column]:
+    """First and last bucket that a period touches; where it touches none, the last is one less
+    than the first."""
+    first, last = F.coalesce(start, end), F.coalesce(end, start)
+    low, high = F.lit(len(buckets)), F.lit(-1)
+    for i, (_, _, hi) in reversed(list(enumerate(buckets))):
+        low = F.lit(i) if hi is None else F.when(first <= hi, F.lit(i)).otherwise(low)
+    for i, (_, lo, _) in enumerate(buckets):
+        high = F.lit(i) if lo is None else F.when(last >= lo, F.lit(i)).otherwise(high)
+    return low, F.greatest(high, low - 1)
+
+
+def span_counts(entries: DataFrame, buckets: list[tuple]) -> DataFrame:
+    """``regions, country, low, high, n``: entries by their set of regions (country null), and by
+    each of their countries (regions null), for every span of buckets.
+
+    The one pass over the entries, without a look-up and with map-side combine. The result follows
+    the names in use, not the entries.
+    """
+    none = F.array().cast(NONE)
+    low, high = bucket_span(F.col("period_start"), F.col("period_end"), buckets)
+    regions = F.sort_array(F.array_distinct(F.coalesce("regions", none)))
+    countries = F.array_compact(F.array_distinct(F.coalesce("countries", none)))
+    dated = F.col("period_start").isNotNull() | F.col("period_end").isNotNull()
+    spread = entries.where(dated).select(
+        regions.alias("_set"), low.alias("low"), high.alias("high"),
+        F.posexplode(F.concat(F.array(F.lit(None).cast("string")), countries)).alias("_at", "country"),
+    )
+    whole = F.when(F.col("_at") == 0, F.col("_set")).alias("regions")
+    return spread.groupBy(whole, "country", "low", "high").agg(F.count("*").alias("n"))
+
+
+def key_counts(spans: DataFrame, geo: DataFrame) -> DataFrame:
+    """``row_key, low, high, n`` of :func:`span_counts`. Names are looked up here, once for each
+    set of regions and each country in use, however many entries share them."""
+    none = F.array().cast(NONE)
+    countries = F.when(F.col("country").isNotNull(), F.array("country")).otherwise(none)
+    keys = row_keys(F.coalesce("regions", none), countries, F.col("_geo")["continent"])
+    return spans.withColumn("_geo", dims.geography_maps(geo)).select(
+        F.explode(keys).alias("row_key"), "low", "high", "n"
+    )
+
+
 def count_matrix(
     entries: DataFrame, geo: DataFrame, buckets: list[tuple] = vocab.BUCKETS,
     rows: DataFrame | None = None,
 ) -> DataFrame:
     """``row_key, b0, b1, ..., total``: entries per row and period bucket.
 
-    Without ``rows`` every key with a count is a row. With ``rows`` (a ``row_key`` column)
-    exactly those are, zero-filled.
+    Without ``rows`` every key with a dated entry is a row. With ``rows`` (a ``row_key`` column)
+    exactly those are, zero-filled. The bounds of ``buckets`` must ascend, so that a period touches a
+    span of them: an entry counts +1 at the first and -1 after the last, and a cell is the
+    sum of all steps up to it. The cost of an entry follows neither the buckets nor the geography.
     """
-    start, end = F.col("period_start"), F.col("period_end")
-    flags = [periods.overlaps(start, end, lo, hi) for _, lo, hi in buckets]
+    if not ascending(buckets):
+        raise ValueError("the bounds of the buckets must ascend")
     cells = [f"b{i}" for i in range(len(buckets))]
-    spread = (
-        keyed_entries(entries.where(start.isNotNull() | end.isNotNull()), geo)
-        .select(F.explode("keys").alias("row_key"), *[f.alias(c) for f, c in zip(flags, cells)])
-    )
-    counts = spread.groupBy("row_key").agg(*[F.count_if(c).alias(c) for c in cells])
+    steps = key_counts(span_counts(entries, buckets), geo).select("row_key", F.inline(F.array(
+        F.struct(F.col("low").alias("at"), F.col("n").alias("step")),
+        F.struct((F.col("high") + 1).alias("at"), (-F.col("n")).alias("step")),
+    )))
+    counts = steps.groupBy("row_key").agg(*[
+        F.sum(F.when(F.col("at") <= i, F.col("step")).otherwise(F.lit(0).cast("bigint"))).alias(c)
+        for i, c in enumerate(cells)
+    ])
     if rows is not None:
         counts = rows.select("row_key").join(counts, "row_key", "left").fillna(0, cells)
     total = sum((F.col(c) for c in cells[1:]), F.col(cells[0]))
@@ -169,6 +206,13 @@ def with_peak(matrix: DataFrame) -> DataFrame:
     return matrix.withColumn("peak", top)
 
 
+def with_heat(matrix: DataFrame) -> DataFrame:
+    """Add ``peak`` and ``heat``, the intensities of the cells in order."""
+    cells = [c for c in matrix.columns if c[0] == "b" and c[1:].isdigit()]
+    heat = F.array(*[periods.heat(F.col(c), F.col("peak")) for c in cells])
+    return with_peak(matrix).withColumn("heat", heat)
+
+
 def matrix_cells(
     matrix: DataFrame, buckets: list[tuple] = vocab.BUCKETS
 ) -> DataFrame:

@@ -238,7 +238,8 @@ def heatmap(
 ) -> DataFrame:
     """Counts of the view on screen: the world, one continent, or one sub-region.
 
-    Row columns of the level, then the period cells; rows without entries are left out.
+    Row columns of the level, then the period cells, the view's peak and the heat of each cell;
+    rows without entries are left out.
     """
     data = browse.search(browse.with_continents(entries, geo), query)
     if subregion is not None:
@@ -251,4 +252,6 @@ def heatmap(
         )
     else:
         rows = browse.continent_rows(data, geo, CATALOGUE_ORDER, budget, continent_order)
-    return browse.shown_rows(rows.join(browse.count_matrix(data, geo), "row_key"))
+    return browse.with_heat(
+        browse.shown_rows(rows.join(browse.count_matrix(data, geo), "row_key"))
+    )

@@ -42,6 +42,16 @@ def search_table(spark, d):
     return browse.search_table(document_entries(spark, d), asked).select("query_id", "doi")
 
 
+def search_own_words(spark, d):
+    """A query for every document: its source, its name and its first word."""
+    docs = load(spark, d, "documents")
+    query = F.concat_ws(
+        " ", "source", F.concat(F.lit("DOC/"), text("doc_id")), F.get(F.split("text", " "), 0),
+    )
+    asked = docs.select(text("doc_id").alias("query_id"), query.alias("query"))
+    return browse.search_table(document_entries(spark, d), asked).select("query_id", "doi")
+
+
 def search_candidates(spark, d):
     return browse.search(document_entries(spark, d), "the of").select("doi", "n_chars")
 
@@ -198,7 +208,7 @@ def region_lists(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    clean_text, search_documents, search_table, search_candidates, result_count, page_links, reference_links,
+    clean_text, search_documents, search_table, search_own_words, search_candidates, result_count, page_links, reference_links,
     single_hits, link_cascade, reply_parse, reply_rejects, chat_replies, region_lists,
 )}
 
@@ -224,6 +234,14 @@ SQL = {
     "search_documents": f"WITH {HAY_SQL} " + " UNION ALL ".join(
         f"SELECT '{i}' AS query_id, doi FROM entry WHERE {_search_sql(q)}"
         for i, q in SEARCHES.items()),
+    "search_own_words": f"""WITH {HAY_SQL},
+        asked AS (
+          SELECT doc_id, lower(coalesce(source, '')) AS a, 'doc/' || doc_id AS b,
+                 regexp_split_to_array(lower(coalesce(split_part(text, ' ', 1), '')), '{RE_SPACE}+') AS c
+          FROM documents)
+        SELECT CAST(doc_id AS VARCHAR) AS query_id, doi FROM asked JOIN entry
+          ON contains(hay, a) AND contains(hay, b)
+         AND len(list_filter(c, lambda t: NOT contains(hay, t))) = 0""",
     "search_candidates": f"""WITH {HAY_SQL}
         SELECT doi, n_chars FROM entry WHERE {_search_sql('the of')}""",
     "result_count": f"WITH {HAY_SQL} SELECT count(*) AS n FROM entry WHERE {_search_sql('src1 en')}",

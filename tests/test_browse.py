@@ -119,6 +119,42 @@ def test_brute_force_matrix(make, geo, spark):
         assert got.get(key, [0] * 9) == want, key
 
 
+def test_matrix_of_many_buckets_and_odd_entries(make, geo):
+    """Spans that miss every bucket, turned periods, gaps between buckets, null and repeated names."""
+    buckets = [(str(y), y, y + 5) for y in range(1500, 1990, 10)]
+    rows = [entry(f"{i}", ["Caribbean", "Caribbean", None, "Central America"], [None, "Cuba", "Cuba", ""], s, t)
+            for i, (s, t) in enumerate([(1500, 1500), (1516, 1519), (1600, 1550), (1700, None), (1400, 2500),
+                                        (2000, 2010), (1526, 1525)])]
+    got = {r["row_key"]: r for r in browse.count_matrix(make(*rows), geo, buckets).collect()}
+    assert sorted(got) == ["Americas", "Caribbean", "Central America", "Cuba"]
+    spans = [(r[7], r[8] if r[8] is not None else r[7]) for r in rows]
+    want = [sum(s <= hi and t >= lo for s, t in spans) for _, lo, hi in buckets]
+    assert sum(want) > len(buckets) and all(
+        [r[f"b{i}"] for i in range(len(buckets))] == want and r["total"] == sum(want) for r in got.values())
+    missed = browse.count_matrix(make(entry("x", [], ["Cuba"], 2000, 2010)), geo, buckets).collect()
+    assert [(r["row_key"], r["total"]) for r in missed] == [("Cuba", 0)]
+    with pytest.raises(ValueError):
+        browse.count_matrix(make(*rows), geo, buckets[::-1])
+
+
+def test_matrix_looks_names_up_after_the_shuffle(entries, geo):
+    """Entries are only counted by their own names; the geography meets the counts."""
+    import re
+    plan = browse.count_matrix(entries, geo)._jdf.queryExecution().optimizedPlan().toString()
+    scan = max(i for i, line in enumerate(plan.splitlines()) if "Aggregate" in line)
+    below = "\n".join(plan.splitlines()[scan + 1:])
+    assert "subquery" not in below and len(re.findall("posexplode", below)) == 1
+
+
+def test_view_carries_peak_and_heat(entries, geo):
+    rows = jobs.heatmap(entries, geo).collect()
+    cells = [[r[f"b{i}"] for i in range(9)] for r in rows]
+    top = max(max(c) for c in cells)
+    assert {r["peak"] for r in rows} == {top}
+    assert all(r["heat"] == pytest.approx([(n / top) ** vocab.HEAT_EXPONENT if n else 0 for n in c])
+               for r, c in zip(rows, cells))
+
+
 ORDER = ["-year", "title", "doi"]
 
 
