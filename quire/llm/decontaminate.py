@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -243,24 +244,27 @@ def matched(
 
 
 def postings(docs: DataFrame) -> DataFrame:
-    """The stored index: one row per shard with its ids, term lists and numbers of words."""
+    """The stored index: one row per shard with its number, ids, term lists and numbers of words."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     shape = (
-        f"ids ARRAY<{kind}>, n_words ARRAY<LONG>, terms BINARY, list_at BINARY, places BINARY"
+        f"shard LONG, ids ARRAY<{kind}>, n_words ARRAY<LONG>, terms BINARY, list_at BINARY, places BINARY"
     )
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Written with the shard, so that equal shards stay apart however often they are read.
+        number = TaskContext.get().partitionId() << 33
         for batch in batches:
             for chunk in texts.chunks(batch.column("text"), SHARD):
-                s = index(chunk)
+                s, number = index(chunk), number + 1
                 ids = batch.column("doc_id").slice(chunk.first, len(chunk))
                 yield pa.RecordBatch.from_arrays([
+                    pa.array([number], pa.int64()),
                     pa.array([ids.to_pylist()], pa.list_(ids.type)),
                     pa.array([s.n_words], pa.list_(pa.int64())),
                     *[pa.array([x.tobytes()], pa.binary()) for x in (
                         s.terms, s.list_at.astype(np.int64), s.places.astype(np.int32)
                     )],
-                ], ["ids", "n_words", "terms", "list_at", "places"])
+                ], ["shard", "ids", "n_words", "terms", "list_at", "places"])
 
     return stored(docs.select("doc_id", "text").mapInArrow(build, shape), "postings")
 
@@ -294,8 +298,7 @@ def lookup(index_rows: DataFrame, windows, slop: int = 0) -> DataFrame:
                     pa.array(where, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string())),
                 ], ["shard", "nth", "doc_id", "n_words", "places", "items"])
 
-    named = index_rows.withColumn("shard", F.xxhash64("terms", "places", "ids", "n_words"))
-    return named.mapInArrow(find, shape)
+    return index_rows.mapInArrow(find, shape)
 
 
 def report(

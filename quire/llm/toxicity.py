@@ -3,7 +3,7 @@
 Labelled documents are examples: TF-IDF vectors over words and their beginnings. Examples that
 score a document are found by exact cosine over an inverted index whose postings lie in blocks of
 examples, each with its largest weight (block-max): blocks are scored in the order of their upper
-bounds until no further block can reach the K nearest. The votes of the K nearest count with
+bounds, some at a time, until no further block can reach the K nearest. The votes of the K nearest count with
 their cosines, and the vote is turned into a probability by a logistic curve fitted to examples
 that score each other (each without itself).
 
@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 from quire.llm import texts
@@ -31,6 +32,10 @@ MAX_EXAMPLES = 3000
 MAX_TERMS = 20_000
 K = 15
 BLOCK = 128
+#: Blocks scored at first, and how many times more each time after.
+FIRST, MORE = 4, 4
+#: Tasks of the leave-one-out votes.
+TASKS = 32
 #: Lengths in bytes of the word beginnings that are terms besides whole words.
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 TRIM = ~texts.table((0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E))
@@ -54,17 +59,18 @@ def terms(chunk: texts.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class Index(NamedTuple):
-    """Terms in order with idf; postings by (block, term) with the largest weight of each."""
+    """Terms in order with idf; postings by (term, block) with the largest weight of each."""
 
     term: np.ndarray
     idf: np.ndarray
     n_docs: int
-    post_at: np.ndarray     # by block * terms + term
-    example: np.ndarray     # in its block
+    post_at: np.ndarray     # by term * blocks + block
+    example: np.ndarray
     weight: np.ndarray
-    best: np.ndarray        # block, term
+    best: np.ndarray        # term, block
     toxic: np.ndarray
     curve: np.ndarray       # of the calibration: slope, offset, and the rate without neighbours
+    ids: list               # doc_id of each example
 
 
 def bags(known: np.ndarray, chunk: texts.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -83,20 +89,31 @@ def weighed(tf: np.ndarray, idf: np.ndarray) -> np.ndarray:
 def nearest(index: Index, term: np.ndarray, weight: np.ndarray, without: int = -1,
             k: int = K) -> tuple[np.ndarray, np.ndarray]:
     """The k examples of greatest cosine above 0 with a unit vector, and the cosines."""
-    n_terms = len(index.term)
-    bound = index.best[:, term] @ weight
+    n_blocks = index.best.shape[1]
+    bound = weight @ index.best[term]
+    order = np.argsort(-bound, kind="stable")
+    order = order[bound[order] > 0]
     found, score = np.zeros(0, np.int64), np.zeros(0)
-    for b in np.argsort(-bound, kind="stable"):
-        if bound[b] <= 0 or len(score) == k and score[-1] >= bound[b] + 1e-9:
-            break
-        lo = index.post_at[b * n_terms + term]
-        size = index.post_at[b * n_terms + term + 1] - lo
-        at = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
-        dots = np.bincount(index.example[at], index.weight[at] * np.repeat(weight, size), BLOCK)
-        if without // BLOCK == b and without >= 0:
-            dots[without % BLOCK] = 0
+    at, group = 0, FIRST
+    while at < len(order):
+        some = order[at: at + group]
+        if len(score) == k:
+            some = some[score[-1] < bound[some] + 1e-9]
+            if not len(some):
+                break
+        at, group = at + group, group * MORE
+        run = (term[:, None] * n_blocks + some).ravel()
+        lo = index.post_at[run]
+        size = index.post_at[run + 1] - lo
+        places = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
+        dots = np.bincount(
+            index.example[places],
+            index.weight[places] * np.repeat(np.repeat(weight, len(some)), size), index.n_docs,
+        )
+        if without >= 0:
+            dots[without] = 0
         new = np.flatnonzero(dots > 0)
-        found, score = np.append(found, new + b * BLOCK), np.append(score, dots[new])
+        found, score = np.append(found, new), np.append(score, dots[new])
         top = np.lexsort((found, -score))[:k]
         found, score = found[top], score[top]
     return found, score
@@ -113,14 +130,17 @@ def calibrated(index: Index, votes: np.ndarray) -> np.ndarray:
     return np.where(np.isnan(votes), bare, p)
 
 
-def scores(index: Index, chunk: texts.Chunk) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
-    """Vote, nearest examples and cosines of each text."""
+def scores(
+    index: Index, chunk: texts.Chunk, without: np.ndarray | None = None
+) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
+    """Vote, nearest examples and cosines of each text, perhaps without an example each."""
     text, term, tf = bags(index.term, chunk)
     weight = weighed(tf, index.idf[term])
     at = np.searchsorted(text, np.arange(len(chunk) + 1))
     for i in range(len(chunk)):
         t, w = term[at[i]: at[i + 1]], weight[at[i]: at[i + 1]]
-        found, score = nearest(index, t, w / max(np.sqrt((w * w).sum()), 1e-12))
+        unit = w / max(np.sqrt((w * w).sum()), 1e-12)
+        found, score = nearest(index, t, unit, -1 if without is None else int(without[i]))
         yield vote(index, found, score), found, score
 
 
@@ -183,24 +203,41 @@ def build(term: np.ndarray, idf: np.ndarray, row: np.ndarray, col: np.ndarray, t
     weight = weighed(tf, idf[col])
     weight = weight / np.sqrt(np.bincount(row, weight * weight, n))[row]
     n_blocks = max(1, -(-n // BLOCK))
-    key = row // BLOCK * len(term) + col
+    key = col * n_blocks + row // BLOCK
     order = np.lexsort((row, key))
     post_at = np.searchsorted(key[order], np.arange(n_blocks * len(term) + 1))
     best = np.zeros(n_blocks * len(term))
     np.maximum.at(best, key, weight)
-    index = Index(term, idf, n, post_at, (row % BLOCK)[order], weight[order],
-                  best.reshape(n_blocks, len(term)), toxic.astype(float), np.zeros(3))
-    return index._replace(curve=curve(index, row, col, weight))
+    return Index(term, idf, n, post_at, row[order], weight[order],
+                 best.reshape(len(term), n_blocks), toxic.astype(float), np.zeros(3), [])
 
 
-def curve(index: Index, row: np.ndarray, col: np.ndarray, weight: np.ndarray) -> np.ndarray:
+def own_votes(examples: DataFrame, index: Index) -> np.ndarray:
+    """The vote for each example by the others, counted in tasks; one number comes back for each."""
+    sent = examples.sparkSession.sparkContext.broadcast(tuple(index))
+
+    def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Index(*sent.value)
+        for batch in batches:
+            number = np.asarray(batch.column("example"))
+            told = [
+                v for chunk in texts.chunks(batch.column("text"))
+                for v, _, _ in scores(known, chunk, number[chunk.first:])
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(number), pa.array(np.array(told, float))], ["example", "vote"]
+            )
+
+    rows = examples.select("example", "text").repartition(TASKS, "example").mapInArrow(
+        votes, "example LONG, vote DOUBLE"
+    ).toPandas()
+    out = np.full(index.n_docs, np.nan)
+    out[rows["example"].to_numpy(np.int64)] = rows["vote"].to_numpy(float)
+    return out
+
+
+def curve(index: Index, votes: np.ndarray) -> np.ndarray:
     """Logistic fit of labels on leave-one-out votes, and the rate among rows without neighbours."""
-    order = np.argsort(row, kind="stable")
-    at = np.searchsorted(row[order], np.arange(index.n_docs + 1))
-    votes = np.full(index.n_docs, np.nan)
-    for i in range(index.n_docs):
-        own = order[at[i]: at[i + 1]]
-        votes[i] = vote(index, *nearest(index, col[own], weight[own], without=i))
     bare = np.isnan(votes)
     rate = (index.toxic[bare].sum() + 0.5) / (bare.sum() + 1) if bare.any() else 0.5
     x, y = votes[~bare], index.toxic[~bare]
@@ -215,11 +252,12 @@ def curve(index: Index, row: np.ndarray, col: np.ndarray, weight: np.ndarray) ->
     return np.array([slope, offset, rate])
 
 
-SHAPE = "score DOUBLE, evidence ARRAY<STRUCT<example: INT, toxic: BOOLEAN, cosine: DOUBLE>>"
+def shape_of(kind: str) -> str:
+    return f"score DOUBLE, evidence ARRAY<STRUCT<doc_id: {kind}, toxic: BOOLEAN, cosine: DOUBLE>>"
 
 
 def examples_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Stored (example, toxic, text): labelled rows outside the held-out fifth, at most MAX_EXAMPLES
+    """Stored (example, id, toxic, text): labelled rows outside the held-out fifth, at most MAX_EXAMPLES
     of either label. Repeated rows count once; null ids, labels and texts teach nothing.
 
     Toxic ones have the first numbers, so that blocks are of one label and bounds are tight.
@@ -235,7 +273,7 @@ def examples_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = rows.select("id", "text", F.col("toxic").cast("long").alias("toxic")).distinct()
     order = Window.orderBy(F.desc("toxic"), draw, "id", F.xxhash64("text"))
     return stored(
-        rows.select((F.row_number().over(order) - 1).cast("long").alias("example"), "toxic", "text"),
+        rows.select((F.row_number().over(order) - 1).cast("long").alias("example"), "id", "toxic", "text"),
         "examples",
     )
 
@@ -243,7 +281,8 @@ def examples_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame) -> Index:
     """The index of the examples; only what it holds reaches the driver."""
     examples = examples_of(docs, labels)
-    toxic = examples.select("example", "toxic").toPandas().sort_values("example")["toxic"].to_numpy(np.int64)
+    told = examples.select("example", "id", "toxic").orderBy("example").collect()
+    toxic, ids = np.array([r["toxic"] for r in told], np.int64), [r["id"] for r in told]
     n_bad, n_good = int(toxic.sum()), int(len(toxic) - toxic.sum())
     counts = examples.mapInArrow(frequencies, "term LONG, bad LONG, good LONG").groupBy("term").agg(
         F.sum("bad").alias("bad"), F.sum("good").alias("good")
@@ -275,31 +314,34 @@ def fit(docs: DataFrame, labels: DataFrame) -> Index:
         term, df, odds = term[keep], df[keep], odds[keep]
     if not len(term):
         none = np.zeros(0, np.int64)
-        return build(none.view(np.uint64), np.zeros(0), none, none, none, toxic)
+        index = build(none.view(np.uint64), np.zeros(0), none, none, none, toxic)
+        return index._replace(curve=curve(index, np.full(len(toxic), np.nan)), ids=ids)
     # Terms that good examples share as well count less by their odds.
     idf = (np.log((len(toxic) + 1) / (df + 1)) + 1) * np.clip(odds / np.log(50), 0.05, 1)
     rows = examples.select("example", "text").mapInArrow(
         vectors_of(term), "example LONG, term LONG, tf LONG"
     ).toPandas().sort_values(["example", "term"])
     row, col, tf = (rows[c].to_numpy(np.int64) for c in ("example", "term", "tf"))
-    return build(term, idf, row, col, tf, toxic)
+    index = build(term, idf, row, col, tf, toxic)
+    return index._replace(curve=curve(index, own_votes(examples, index)), ids=ids)
 
 
 def scored(docs: DataFrame, index: Index) -> DataFrame:
     """``docs`` with a struct column ``tox``: score and the nearest examples as evidence."""
     sent = docs.sparkSession.sparkContext.broadcast(tuple(index))
+    shape = StructType.fromDDL(shape_of(docs.schema["doc_id"].dataType.simpleString()))
+    kind = to_arrow_type(shape["evidence"].dataType)
 
-    @F.arrow_udf(StructType.fromDDL(SHAPE))
+    @F.arrow_udf(shape)
     def score(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = Index(*sent.value)
-        kind = pa.list_(pa.struct([("example", pa.int32()), ("toxic", pa.bool_()), ("cosine", pa.float64())]))
         for part in column:
             votes, evidence = [], []
             for chunk in texts.chunks(part):
                 for v, found, cosine in scores(known, chunk):
                     votes.append(v)
                     evidence.append([
-                        {"example": int(e), "toxic": bool(known.toxic[e]), "cosine": float(c)}
+                        {"doc_id": known.ids[e], "toxic": bool(known.toxic[e]), "cosine": float(c)}
                         for e, c in zip(found[:3], cosine[:3])
                     ])
             p = calibrated(known, np.array(votes, float))

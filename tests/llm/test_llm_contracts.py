@@ -5,11 +5,12 @@ import random
 
 import numpy as np
 import plain
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from quire.llm import (
-    decontaminate, langid, language_model, mixing, quality, queries, simhash, suffixes, tokens,
+    decontaminate, langid, language_model, mixing, quality, queries, simhash, suffixes, texts, tokens,
     toxicity, url_filter,
 )
 from quire.llm.shared import stored
@@ -230,16 +231,45 @@ def test_nearest_is_exact(spark):
     for _ in range(20):
         term = np.sort(draw.choice(len(index.term), min(4, len(index.term)), replace=False))
         weight = np.full(len(term), len(term) ** -0.5)
-        every = np.zeros(index.best.shape[0] * toxicity.BLOCK)
-        for b in range(index.best.shape[0]):
-            for t, w in zip(term, weight):
-                lo, hi = index.post_at[b * len(index.term) + t: b * len(index.term) + t + 2]
-                np.add.at(every, b * toxicity.BLOCK + index.example[lo:hi], w * index.weight[lo:hi])
+        every, n_blocks = np.zeros(index.n_docs), index.best.shape[1]
+        for t, w in zip(term, weight):
+            lo, hi = index.post_at[t * n_blocks], index.post_at[(t + 1) * n_blocks]
+            np.add.at(every, index.example[lo:hi], w * index.weight[lo:hi])
         _, score = toxicity.nearest(index, term, weight, k=5)
         top = -np.sort(-every[every > 0])[:5]
         assert np.allclose(score, top)
 
 
+def test_toxicity_evidence_names_documents_and_votes_leave_themselves_out(spark):
+    rows = [(1000 + i, text_of(i, 12) + (f" vile foul {text_of(9 * i, 2)}" if i % 3 == 0 else "")) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    marks = spark.createDataFrame([(1000 + i, int(i % 3 == 0)) for i in range(120)], "doc_id LONG, toxic INT")
+    index = toxicity.fit(docs, marks)
+    for r in toxicity.scored(docs, index).collect():
+        for e in r["tox"]["evidence"]:
+            assert plain.rest(e["doc_id"], 5) != 0 and e["toxic"] == ((e["doc_id"] - 1000) % 3 == 0)
+    # Each example's vote is that of an index without it, as no two texts are equal.
+    votes = toxicity.own_votes(toxicity.examples_of(docs, marks), index)
+    by_id = dict(rows)
+    for n, i in list(enumerate(index.ids))[::7]:
+        chunk = next(texts.chunks(pa.array([by_id[i]])))
+        text, term, tf = toxicity.bags(index.term, chunk)
+        weight = toxicity.weighed(tf, index.idf[term])
+        found, score = toxicity.nearest(index, term, weight / max(np.sqrt((weight ** 2).sum()), 1e-12), k=toxicity.K + 1)
+        keep = found != n
+        want = toxicity.vote(index, found[keep][: toxicity.K], score[keep][: toxicity.K])
+        assert np.isnan(want) == np.isnan(votes[n]) and (np.isnan(want) or abs(want - votes[n]) < 1e-9)
+
+
+def test_equal_shards_of_several_window_blocks_stay_apart(spark, bench):
+    docs = spark.createDataFrame([(1, PASSAGE), (2, "word"), (3, None)], "doc_id LONG, text STRING").coalesce(1)
+    twice = docs.union(docs).union(docs)
+    one = order(decontaminate.report(twice, bench).collect())
+    assert len(one) == 9
+    for block in (1, 2, 3):
+        assert order(decontaminate.report(twice, bench, block=block).collect()) == one
+
+
 # 6. Quality
 def test_quality_odd(odd, none, labels):
     rows = stored(quality.measured(odd), "odd")
