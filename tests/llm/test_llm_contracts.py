@@ -473,6 +473,22 @@ def test_language_query(spark, known):
     assert np.mean([r["lang"] == r["declared"] for r in told]) > 0.9
 
 
+def test_visible_text_takes_linear_time_and_equals_the_plain_rule():
+    import re
+    import time
+    rule = re.compile(r"<!--.*?-->|<(script|style|nav|head|noscript)\b.*?</\1\s*>|<[^>]*>", re.S | re.I)
+    bits = ["<script", "<script>", "</script>", "</SCRIPT >", "<!--", "-->", "<nav a='1'>", "</nav>", "<p>", "text",
+            "<", ">", "<head>", "</head\n>", "<header>", "<style/>", "</style", "--->", "<!-->", "<noscript>", "</noscript>"]
+    draw = random.Random(1)
+    for _ in range(5000):
+        html = "".join(draw.choice(bits) for _ in range(draw.randrange(14)))
+        assert langid.visible(html) == rule.sub(" ", html)
+    for unit in ("<script ", "<nav>", "<!--", "<", "<p ", "</script", "<script></script", "<html lang"):
+        began = time.time()
+        langid.read_page(unit * (1_000_000 // len(unit)))
+        assert time.time() - began < 2, unit
+
+
 # 10. URLs
 URLS = [
     "http://www.Example.COM/en/x?q#f", "https://a.example.com/en/", "https://example.com/en", "x://com", "com://net",
