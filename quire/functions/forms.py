@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quire import vocab
-from quire.functions.periods import parse_period, whole_number
+from quire.functions.periods import bare_number, bare_years
 from quire.functions.text import blank_to_null, first_part, let, second_part, strip
 
 # Headings of an addition form that must be filled in.
@@ -14,7 +14,8 @@ REQUIRED_HEADINGS = ["Title (paper or dataset)", "Authors", "DOI", "Data link"]
 
 
 def sections(body: Column) -> Column:
-    """Form body as ``map<heading, value>``; a repeated heading keeps its last value."""
+    """Form body as ``map<heading, value>``, without space at the ends of either; a repeated heading
+    keeps its last value."""
     blocks = F.filter(F.split(body, r"(?dm)^### "), lambda b: strip(b) != "")
     pairs = F.transform(blocks, lambda b: F.struct(
         strip(first_part(b, "\n")).alias("key"), strip(second_part(b, "\n")).alias("value"),
@@ -67,22 +68,21 @@ def correction_entry(fields: Column) -> Column:
     def at(name: str) -> Column:
         return field(fields, name)
 
-    doi = blank_to_null(strip(at("DOI")))
-    period = parse_period(at("Corrected time period"))
+    doi = blank_to_null(at("DOI"))
+    start, end = bare_years(at("Corrected time period"))
     exclude = at("Should this paper be excluded from the database?")
-    title = strip(at("Corrected title"))
     entry = json_entry(
         doi.alias("doi"),
-        blank_to_null(title).alias("title"),
-        whole_number(at("Corrected publication year")).alias("year"),
+        blank_to_null(at("Corrected title")).alias("title"),
+        bare_number(at("Corrected publication year")).alias("year"),
         blank_to_null(at("Corrected abstract")).alias("abstract"),
         given(at("Corrected authors"), author_list(at("Corrected authors"))).alias("authors"),
         given(
             at("Corrected geographic coverage"), comma_list(at("Corrected geographic coverage"))
         ).alias("regions"),
         given(at("Corrected countries"), comma_list(at("Corrected countries"))).alias("countries"),
-        period["start"].alias("period_start"),
-        period["end"].alias("period_end"),
+        start.alias("period_start"),
+        end.alias("period_end"),
         blank_to_null(at("Corrected data link")).alias("replication_url"),
         F.when(exclude.startswith("Yes"), F.lit(False)).alias("is_hpe"),
         blank_to_null(at("Source / justification")).alias("note"),
@@ -92,10 +92,9 @@ def correction_entry(fields: Column) -> Column:
 
 def missing_headings(fields: Column) -> Column:
     """Required addition headings that are absent or blank, in form order."""
-    return F.filter(
-        F.array(*[F.lit(h) for h in REQUIRED_HEADINGS]),
-        lambda h: strip(F.coalesce(F.try_element_at(fields, h), F.lit(""))) == "",
-    )
+    return F.array_compact(F.array(*[
+        F.when(field(fields, h) == "", F.lit(h)) for h in REQUIRED_HEADINGS
+    ]))
 
 
 def addition_entry(fields: Column) -> Column:
@@ -103,20 +102,22 @@ def addition_entry(fields: Column) -> Column:
     def at(name: str) -> Column:
         return field(fields, name)
 
-    coverage = strip(at("Geographic coverage"))
     entry = json_entry(
         F.lit(True).alias("is_hpe"),
-        strip(at("Title (paper or dataset)")).alias("title"),
-        strip(at("DOI")).alias("doi"),
-        strip(at("Data link")).alias("replication_url"),
+        at("Title (paper or dataset)").alias("title"),
+        at("DOI").alias("doi"),
+        at("Data link").alias("replication_url"),
         comma_list(at("Countries")).alias("countries"),
-        blank_to_null(strip(at("Journal"))).alias("journal"),
-        whole_number(at("Publication year")).alias("year"),
-        given(coverage, comma_list(coverage)).alias("regions"),
+        blank_to_null(at("Journal")).alias("journal"),
+        bare_number(at("Publication year")).alias("year"),
+        given(at("Geographic coverage"), comma_list(at("Geographic coverage"))).alias("regions"),
         blank_to_null(at("Abstract / Short Description")).alias("abstract"),
         given(at("Authors"), author_list(at("Authors"))).alias("authors"),
-        whole_number(at("Period start (year)")).alias("period_start"),
-        whole_number(at("Period end (year)")).alias("period_end"),
+        bare_number(at("Period start (year)")).alias("period_start"),
+        bare_number(at("Period end (year)")).alias("period_end"),
         blank_to_null(at("Notes")).alias("note"),
     )
-    return F.when(F.size(missing_headings(fields)) == 0, entry)
+    complete = F.lit(True)
+    for h in REQUIRED_HEADINGS:
+        complete = complete & (at(h) != "")
+    return F.when(complete, entry)

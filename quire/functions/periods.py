@@ -13,19 +13,29 @@ YEAR = r"[+-]?[0-9]+(?:_[0-9]+)*"
 
 def whole_number(text: Column) -> Column:
     """Integer written in a form field, null when it is not one."""
-    bare = strip(text)
+    return bare_number(strip(text))
+
+
+def bare_number(bare: Column) -> Column:
+    """:func:`whole_number` of a text without space at its ends."""
     digits = F.when(bare.rlike(f"^{YEAR}\\z"), F.replace(bare, F.lit("_"), F.lit("")))
     return digits.try_cast("int")
 
 
+SPAN = f"^(-?[0-9]+)(?:{SPACE}*[–-]{SPACE}*(-?[0-9]+))?\\z"
+
+
+def bare_years(bare: Column) -> tuple[Column, Column]:
+    """Start and end of a period written in a text without space at its ends."""
+    start, end = F.regexp_extract(bare, SPAN, 1), F.regexp_extract(bare, SPAN, 2)
+    return start.try_cast("int"), F.when(end == "", start).otherwise(end).try_cast("int")
+
+
 def parse_period(text: Column) -> Column:
     """``a-b``, ``a–b`` or ``a`` as ``struct<start, end>``; anything else gives nulls."""
-    span = f"^(-?[0-9]+)(?:{SPACE}*[–-]{SPACE}*(-?[0-9]+))?\\z"
-
     def years(bare: Column) -> Column:
-        start, end = F.regexp_extract(bare, span, 1), F.regexp_extract(bare, span, 2)
-        end = F.when(end == "", start).otherwise(end)
-        return F.struct(start.try_cast("int").alias("start"), end.try_cast("int").alias("end"))
+        start, end = bare_years(bare)
+        return F.struct(start.alias("start"), end.alias("end"))
 
     return let(strip(text), years)
 

@@ -82,14 +82,14 @@ def prompt(title: Column, abstract: Column) -> Column:
 
 
 def long_tokens(title: Column, least: int = 6) -> Column:
-    """Words of at least ``least`` characters."""
-    return F.filter(F.split(title, r"[^\p{L}\p{N}_]+"), lambda w: F.length(w) >= least)
+    """Words of at least ``least`` characters, in one pass over the text."""
+    return F.regexp_extract_all(title, F.lit(rf"[\p{{L}}\p{{N}}_]{{{least},}}+"), F.lit(0))
 
 
 def repository_doi(reference: Column) -> Column:
     """First repository DOI in a reference string, null when there is none."""
     packed = F.replace(reference, F.lit(" "), F.lit(""))
-    found = F.regexp_extract(packed, vocab.REPOSITORY_DOI, 0)
+    found = F.when(packed.contains("10."), F.regexp_extract(packed, vocab.REPOSITORY_DOI, 0))
     return blank_to_null(F.regexp_replace(found, r"[.,;]+\z", ""))
 
 

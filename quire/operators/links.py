@@ -80,19 +80,29 @@ def page_link(status: Column, url: Column, html: Column, site: str = vocab.PAGE_
 def reference_candidates(references: Column) -> Column:
     """Reference strings to ``array<struct<repo, ref>>``, those with a repository DOI."""
     found = F.transform(references, lambda r: F.struct(
-        text.repository_doi(r).alias("repo"), F.lower(r).alias("ref")
+        text.repository_doi(r).alias("repo"), r.alias("ref")
+    ))
+    # Only what is kept is lower-cased.
+    return F.transform(F.filter(found, lambda c: c["repo"].isNotNull()), lambda c: F.struct(
+        c["repo"].alias("repo"), F.lower(c["ref"]).alias("ref")
     ))
-    return F.filter(found, lambda c: c["repo"].isNotNull())
 
 
 def reference_link(candidates: Column, tokens: Column) -> Column:
-    """The only candidate, else the first whose reference shares a long title word."""
-    shared = F.filter(candidates, lambda c: F.exists(
-        F.coalesce(tokens, F.array().cast("array<string>")),
-        lambda t: c["ref"].contains(F.lower(t)),
-    ))
-    chosen = F.when(F.size(candidates) == 1, F.get(candidates, 0)).otherwise(F.get(shared, 0))
-    return F.when(chosen["repo"].isNotNull(), text.doi_link(chosen["repo"]))
+    """The only candidate, else the first whose reference shares a long title word.
+
+    Words are looked at only where they decide, each different one once.
+    """
+    none = F.array().cast("array<string>")
+    words = F.array_distinct(F.transform(F.coalesce(tokens, none), lambda t: F.lower(t)))
+    first = text.let(words, lambda known: F.get(F.filter(
+        candidates, lambda c: F.exists(known, lambda t: c["ref"].contains(t))
+    ), 0))
+    chosen = F.when(F.size(candidates) == 1, F.get(candidates, 0)).otherwise(
+        F.when(F.size(candidates) > 1, first)
+    )
+    repo = chosen["repo"]
+    return F.when(repo.isNotNull(), text.doi_link(repo))
 
 
 def last_attempt(responses: DataFrame, columns: list[str]) -> DataFrame:

@@ -41,7 +41,7 @@ def parsed_issues(issues: DataFrame) -> DataFrame:
 
 
 def forms_doi(fields: Column) -> Column:
-    return forms.strip(forms.field(fields, "DOI"))
+    return forms.field(fields, "DOI")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
