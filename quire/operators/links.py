@@ -1,6 +1,6 @@
 """Dataset links: cascading evidence from landed search responses and reference lists.
 
-Every response table is reduced to one row per DOI with a single grouped aggregation that
+All response tables together are reduced to one row per DOI with a single grouped aggregation that
 combines on the map side, so the cascade itself is plain column logic over one wide row.
 """
 
@@ -22,23 +22,6 @@ def one_hit(candidates: DataFrame, keys: list[str], url: str = "url") -> DataFra
     ).select(*keys, "n_hits", F.when(F.col("n_hits") == 1, F.col("_url")).alias(url))
 
 
-def search_steps(responses: DataFrame, steps: list[str]) -> DataFrame:
-    """One row per DOI with a ``struct<ok, n, url>`` column for each search step.
-
-    ``responses`` has ``doi, step, attempt, ok, n_hits, url``; the last attempt counts.
-    A step that was never run is null.
-    """
-    def last(step: str) -> Column:
-        outcome = F.struct(
-            F.col("ok").alias("ok"), F.col("n_hits").cast("bigint").alias("n"),
-            F.col("url").alias("url"),
-        )
-        order = F.when(F.col("step") == step, F.struct("attempt", "n_hits", "url"))
-        return F.max_by(outcome, order).alias(step)
-
-    return responses.groupBy("doi").agg(*[last(s) for s in steps])
-
-
 def hits(step: Column) -> Column:
     """Hits of a later search step: an error, or a step not run, counts as none."""
     return F.when(step["ok"], step["n"]).otherwise(F.lit(0))
@@ -105,10 +88,49 @@ def reference_link(candidates: Column, tokens: Column) -> Column:
     return F.when(repo.isNotNull(), text.doi_link(repo))
 
 
-def last_attempt(responses: DataFrame, columns: list[str]) -> DataFrame:
-    """Of equal attempts the one with the greatest values counts, so reruns agree."""
-    order = [F.col("attempt"), *[F.col(c) for c in columns]]
-    return keyed.latest(responses.select("doi", "attempt", *columns), ["doi"], order)
+#: Search steps of the two repositories.
+DATAVERSE_STEPS = ("field", "full_text", "title")
+ZENODO_STEPS = ("field", "full_text")
+
+
+def evidence(
+    dataverse: DataFrame, zenodo: DataFrame, pages: DataFrame, references: DataFrame
+) -> DataFrame:
+    """One row per DOI with all that was found: ``dataverse`` and ``zenodo`` (a struct of steps each),
+    ``page_url`` and ``candidates``.
+
+    The responses of all sources are one tagged union, and one aggregation with map-side combine
+    takes each step's last attempt; of equal attempts the one with the greatest values counts,
+    so reruns agree.
+    """
+    def tagged(rows: DataFrame, kind: Column, *columns: str) -> DataFrame:
+        return rows.select("doi", kind.alias("kind"), "attempt", *columns)
+
+    def step(rows: DataFrame, source: str) -> DataFrame:
+        kind = F.concat(F.lit(f"{source} "), F.col("step"))
+        rows = rows.withColumn("n", F.col("n_hits").cast("bigint"))
+        return tagged(rows, kind, "ok", "n", "url")
+
+    def last(kind: str, *columns: str) -> Column:
+        mine = F.when(F.col("kind") == kind, F.struct("attempt", *columns))
+        return F.max_by(F.struct(*columns), mine)
+
+    def outcome(source: str, name: str) -> Column:
+        mine = F.when(F.col("kind") == f"{source} {name}", F.struct("attempt", "n", "url"))
+        return F.max_by(F.struct("ok", "n", "url"), mine).alias(name)
+
+    every = step(dataverse, "dataverse")
+    for rows in (
+        step(zenodo, "zenodo"), tagged(pages, F.lit("page"), "page_url"),
+        tagged(references, F.lit("references"), "candidates"),
+    ):
+        every = every.unionByName(rows, allowMissingColumns=True)
+    return every.groupBy("doi").agg(
+        F.struct(*[outcome("dataverse", s) for s in DATAVERSE_STEPS]).alias("dataverse"),
+        F.struct(*[outcome("zenodo", s) for s in ZENODO_STEPS]).alias("zenodo"),
+        last("page", "page_url")["page_url"].alias("page_url"),
+        last("references", "candidates")["candidates"].alias("candidates"),
+    )
 
 
 def propose_links(
@@ -118,26 +140,18 @@ def propose_links(
     """``doi, replication_url`` proposals for a worklist; null where nothing was found.
 
     The four inputs come from :mod:`quire.sources.responses`. A dry run is this DataFrame;
-    applying it is :func:`apply_links`.
+    applying it is :func:`apply_links`. The worklist meets :func:`evidence` in one join.
     """
     todo = worklist.where("configured").withColumn("title", text.blank_to_null(F.col("title")))
-    steps = ["field", "full_text", "title"]
-    a = search_steps(dataverse, steps).select("doi", F.struct(*steps).alias("_a"))
-    b = search_steps(zenodo, steps[:2]).select("doi", F.struct(*steps[:2]).alias("_b"))
-    page = last_attempt(pages, ["page_url"]).select("doi", "page_url")
-    refs = last_attempt(references, ["candidates"]).select("doi", "candidates")
-    wide = (
-        todo.join(a, "doi", "left").join(b, "doi", "left")
-        .join(page, "doi", "left").join(refs, "doi", "left")
-        .withColumn("_tokens", text.long_tokens(F.col("title")))
-    )
+    found = evidence(dataverse, zenodo, pages, references)
+    wide = todo.join(found, "doi", "left").withColumn("_tokens", text.long_tokens(F.col("title")))
     col = F.col
     url = F.coalesce(
         F.when(col("dv_enabled"), dataverse_link(
-            col("_a.field"), col("_a.full_text"), col("_a.title"),
+            col("dataverse.field"), col("dataverse.full_text"), col("dataverse.title"),
             col("dv_subtree"), col("title").isNotNull(),
         )),
-        F.when(col("zen_enabled"), zenodo_link(col("_b.field"), col("_b.full_text"))),
+        F.when(col("zen_enabled"), zenodo_link(col("zenodo.field"), col("zenodo.full_text"))),
         F.when(col("page_enabled"), col("page_url")),
         reference_link(col("candidates"), col("_tokens")),
     )

@@ -8,7 +8,7 @@ from quire.functions import names
 from quire.functions import text as texts
 from quire.operators import browse, classify, dims, links
 from quire.plans.tables.shapes import GEO_SQL, SUBREGIONS, geography, joined, load, text
-from quire.sources import responses
+from quire.sources import responses, tables
 
 SEARCHES = {
     "one": "the", "two": "that  And", "french": "éon LA", "all": "", "none": "zebra-crossing",
@@ -112,6 +112,8 @@ def link_cascade(spark, d):
         F.max("user_id").alias("user_id"),
         *[F.count_if(F.col("event_type") == k).alias(k) for k in kinds],
     )
+    # Stands for what has landed, so it is stored like it.
+    per_day = tables.staged(per_day, "days")
     journal = names.renamed(F.col("lead"), JOURNALS)
     todo = per_day.select("doi", journal.alias("journal"), F.when(
         F.col("lead") != "signup", F.concat(F.lit("About prices "), "lead")).alias("title"))
