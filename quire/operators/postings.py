@@ -4,7 +4,8 @@ A search term holds no white space, so each place it occurs in lies within one t
 index has two levels: trigrams lead to distinct tokens, tokens lead to entries. A term looks its
 tokens up under its rarest trigram and verifies them; a query takes its rarest term's entries and
 verifies its other terms on their texts. The entries' texts never meet the queries but for these
-candidates, and no table is gathered on one machine.
+candidates. What is looked up goes to all tasks while it measures at most ``SENT`` bytes, so that the
+index is not shuffled for a few queries; beyond that both sides are.
 """
 
 from __future__ import annotations
@@ -17,6 +18,15 @@ from quire.sources.tables import staged
 
 #: Length of the grams; a shorter term is a gram of its own length.
 GRAM = 3
+#: Text that is sent to all tasks at most.
+SENT = 16 << 20
+
+
+def sent(rows: DataFrame, *texts: Column | str) -> DataFrame:
+    """Stored rows, to be broadcast if ``texts`` and 64 bytes a row measure at most ``SENT``."""
+    sizes = [F.coalesce(F.octet_length(F.col(t) if isinstance(t, str) else t), F.lit(0)) for t in texts]
+    measured = rows.agg(F.sum(sum(sizes, F.lit(64)).cast("long"))).first()[0] or 0
+    return F.broadcast(rows) if measured <= SENT else rows
 
 
 def overlapping(value: Column, size: int) -> Column:
@@ -69,13 +79,15 @@ def tokens_of_terms(dictionary: DataFrame, terms: DataFrame) -> DataFrame:
         "token", "n", F.explode(token_grams(F.col("token"), F.col("_sizes"))).alias("gram")
     )
     wanted = terms.select("term", F.explode(term_grams(F.col("term"))).alias("gram"))
-    common = grams.join(wanted.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(
+    asked_for = sent(staged(wanted.select("gram").distinct(), "wanted"), "gram")
+    common = grams.join(asked_for, "gram", "left_semi").groupBy("gram").agg(
         F.count("*").alias("df")
     )
     # A gram that no token has is the rarest of all: its term is nowhere.
     rarest = wanted.join(common, "gram", "left").groupBy("term").agg(
         F.min_by("gram", F.struct(F.coalesce("df", F.lit(0)).alias("df"), "gram")).alias("gram")
     )
+    rarest = sent(staged(rarest, "grams"), "term", "gram")
     return grams.join(rarest, "gram").where(F.col("token").contains(F.col("term"))).select(
         "term", "token", "n"
     )
@@ -108,10 +120,12 @@ def search_texts(entries: DataFrame, hay: Column, queries: DataFrame) -> DataFra
     term_tokens = staged(tokens_of_terms(dictionary, terms), "term-tokens")
     rarest = staged(rarest_terms(asked, term_tokens), "rarest")
     lead = term_tokens.join(rarest.select("term").distinct(), "term", "left_semi")
+    lead = sent(staged(lead.select("token", "term"), "lead"), "token", "term")
     # An entry may hold a term in several tokens.
-    met = places.join(lead.select("token", "term"), "token").select("_id", "term").distinct()
-    candidates = met.join(rarest, "term").select("_id", "query_id", "terms")
-    found = candidates.join(held, "_id").where(
+    met = places.join(lead, "token").select("_id", "term").distinct()
+    candidates = staged(met.join(rarest, "term").select("_id", "query_id", "terms"), "candidates")
+    candidates = sent(candidates, F.col("query_id").cast("string"), F.array_join("terms", " "))
+    found = held.join(candidates, "_id").where(
         F.forall("terms", lambda t: F.col("_hay").contains(t))
     )
     return found.select("query_id", *entries.columns)
