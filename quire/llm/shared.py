@@ -12,9 +12,12 @@ KEY = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``; a local one only where that is unset."""
+    """A fresh folder below ``spark.checkpoint.dir``; a local one only where that is unset and there
+    is one machine."""
     base = spark.conf.get(KEY, None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {KEY} to a folder that all machines share")
         base = tempfile.mkdtemp(prefix="quire-")
         spark.conf.set(KEY, base)
     return f"{base}/{name}-{uuid.uuid4().hex}"
