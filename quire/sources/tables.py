@@ -122,13 +122,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder path for stream checkpoints and sinks.
 
-    Lies in the shared folder of ``spark.checkpoint.dir``; only where that is unset, as in
-    tests, a local one is made.
+    Lies in the shared folder of ``spark.checkpoint.dir``. Where that is unset, a local one is made, as in
+    tests; on more than one machine this fails, as they wouldn't see each other's files.
     """
     import tempfile
     import uuid
 
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         base = tempfile.mkdtemp(prefix="quire-")
     return f"{base}/{name}-{uuid.uuid4().hex}"
