@@ -87,8 +87,11 @@ def tokens_of_terms(dictionary: DataFrame, terms: DataFrame) -> DataFrame:
     rarest = wanted.join(common, "gram", "left").groupBy("term").agg(
         F.min_by("gram", F.struct(F.coalesce("df", F.lit(0)).alias("df"), "gram")).alias("gram")
     )
-    rarest = sent(staged(rarest, "grams"), "term", "gram")
-    return grams.join(rarest, "gram").where(F.col("token").contains(F.col("term"))).select(
+    rarest = staged(rarest, "grams")
+    # Far fewer grams lead to terms than tokens have, so most rows go before any shuffle.
+    leading = sent(staged(rarest.select("gram").distinct(), "leading"), "gram")
+    met = grams.join(leading, "gram", "left_semi")
+    return met.join(sent(rarest, "term", "gram"), "gram").where(F.col("token").contains(F.col("term"))).select(
         "term", "token", "n"
     )
 
