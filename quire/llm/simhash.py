@@ -10,19 +10,26 @@ Lists hold distinct fingerprints. Within a list, links are found by a walk that
 per reached fingerprint, never all pairs. A list beyond LIST members is not worked on: its members
 are dealt anew by more bits (of the bits left open, cut in five parts, two linked fingerprints
 share one part), until all lists are short or all bits are fixed.
+
+``representatives`` removes near-duplicates of texts: five-word shingles that are alike by 0.8. So far
+apart, fingerprints differ in about ten bits, which share no byte for certain. A text therefore has WIDE
+fingerprints; lists are keyed by drawn sets of their positions, as many that all but MISS of the pairs at
+0.8 meet in one. What meets within RADIUS is joined by a minimum spanning forest of the list, whose links
+connect the same texts at every smaller radius, and links are verified on the texts' shingles.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import ArrayType, LongType
 
 from quire.llm import texts
 from quire.llm.shared import components, stored
@@ -208,20 +215,290 @@ def report(docs: DataFrame) -> DataFrame:
     )
 
 
+#: Near-duplicate texts: words of a shingle, and the Jaccard similarity of their sets of shingles.
+WORDS = 5
+ALIKE = 0.8
+#: Fingerprints that list keys are drawn from, and the part of pairs at ALIKE that may meet in no list.
+WIDE = 4
+MISS = 0.02
+#: Differing bits of what is worth verifying: at ALIKE 10 are expected, with a deviation of 3.
+RADIUS = 15
+#: Part of the positions that two texts at ALIKE share.
+AGREE = 1 - math.acos(2 * ALIKE / (1 + ALIKE)) / math.pi
+SHORT = 64
+#: Links of a group verified in the first round, and their growth from round to round.
+FIRST, MORE = 1, 8
+
+
+def shingled(chunk: texts.Chunk) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all shingles of lower-cased words, and the bounds of each text's.
+
+    A text of fewer words has one shingle, a text without words none.
+    """
+    lo, hi, at = chunk.words()
+    words = texts.ranged(texts.prefix(texts.BYTE[texts.LOWER[chunk.data]]), lo, hi)
+    n = np.diff(at)
+    bounds = np.append(0, np.cumsum(np.where(n > 0, np.maximum(n - WORDS + 1, 1), 0)))
+    of = np.repeat(np.arange(len(n)), np.diff(bounds))
+    first = at[of] + np.arange(len(of)) - bounds[of]
+    last = np.minimum(first + WORDS, at[of + 1])
+    return texts.ranged(texts.prefix(words), first, last), bounds
+
+
+def majorities(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """1 + WIDE fingerprints of each text, by as many hashes of its shingles."""
+    ones = np.zeros((len(bounds) - 1, 64 * (1 + WIDE)), np.int64)
+    for at in range(0, len(hashes), 1 << 14):
+        part = hashes[at: at + (1 << 14)]
+        all_hashes = np.stack([texts.mix(part + np.uint64(k)) for k in range(1 + WIDE)], axis=1)
+        bits = np.unpackbits(all_hashes.view(np.uint8), axis=1, bitorder="little")
+        # Sums of at most 255 bits fit a byte.
+        inner = bounds[(bounds > at) & (bounds < at + len(part))] - at
+        cuts = np.union1d(np.arange(0, len(part), 255), inner)
+        sums = np.add.reduceat(bits, cuts, axis=0, dtype=np.uint8).astype(np.int64)
+        of = np.searchsorted(bounds, at + cuts, "right") - 1
+        first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+        ones[of[first]] += np.add.reduceat(sums, first, axis=0)
+    over = 2 * ones > np.diff(bounds)[:, None]
+    return np.packbits(over, axis=1, bitorder="little").view(np.uint64)
+
+
+def _arrays(rows: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    return pa.LargeListArray.from_arrays(pa.array(bounds, pa.int64()), pa.array(rows.view(np.int64))).cast(
+        pa.list_(pa.int64())
+    )
+
+
+def sketches(text: str) -> Column:
+    """Arrays of a key of the text's shingles with their counts, and its 1 + WIDE fingerprints."""
+    @F.arrow_udf(ArrayType(LongType()))
+    def sketched(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in column:
+            out = [np.zeros((0, 2 + WIDE), np.uint64)]
+            for chunk in texts.chunks(part):
+                hashes, bounds = shingled(chunk)
+                sums = np.append(np.uint64(0), np.cumsum(texts.mix(~hashes), dtype=np.uint64))
+                key = texts.mix(sums[bounds[1:]] - sums[bounds[:-1]] + np.diff(bounds).astype(np.uint64))
+                out.append(np.column_stack([key, majorities(hashes, bounds)]))
+            rows = np.concatenate(out)
+            yield _arrays(rows.ravel(), np.arange(len(rows) + 1) * (2 + WIDE))
+
+    return sketched(text)
+
+
+def shingle_sets(text: str) -> Column:
+    """Arrays of the distinct shingles of a text column."""
+    @F.arrow_udf(ArrayType(LongType()))
+    def sets(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in column:
+            out = [np.zeros(0, np.uint64)]
+            for chunk in texts.chunks(part):
+                hashes, bounds = shingled(chunk)
+                out += [np.unique(hashes[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+            yield _arrays(np.concatenate(out), np.cumsum([len(x) for x in out]))
+
+    return sets(text)
+
+
+def spanning(f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (two places) of a minimum spanning forest of fingerprints within RADIUS."""
+    near = np.bitwise_count(f ^ f[0]).astype(np.int64)
+    to, left, out = np.zeros(len(f), np.int64), np.arange(1, len(f)), []
+    near = near[1:]
+    to = to[1:]
+    while len(left):
+        k = int(np.argmin(near))
+        place = left[k]
+        if near[k] <= RADIUS:
+            out.append((to[k], place))
+        left, near, to = np.delete(left, k), np.delete(near, k), np.delete(to, k)
+        gap = np.bitwise_count(f[left] ^ f[place])
+        to[gap < near] = place
+        near = np.minimum(near, gap)
+    return tuple(np.array(out, np.int64).reshape(-1, 2).T)
+
+
+def covering(f: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Links from leaders to all others within RADIUS of them, and the leaders' places."""
+    a, b, leaders, left = [], [], [], np.arange(len(f))
+    while len(left):
+        head = left[0]
+        near = np.bitwise_count(f[left] ^ f[head]) <= RADIUS
+        met = left[near][1:]
+        a.append(np.full(len(met), head))
+        b.append(met)
+        leaders.append(head)
+        left = left[~near]
+    return np.concatenate(a), np.concatenate(b), np.array(leaders)
+
+
+def _short(size: np.ndarray, first: np.ndarray, f: np.ndarray) -> tuple[list, list]:
+    """Links in the lists of at most SHORT members: all are compared offset by offset."""
+    a, b = [], []
+    of = np.repeat(np.arange(len(size)), size)
+    i = np.flatnonzero((size <= SHORT)[of])
+    for offset in range(1, SHORT):
+        i = i[i + offset < len(f)]
+        i = i[of[i + offset] == of[i]]
+        if not len(i):
+            break
+        met = i[np.bitwise_count(f[i] ^ f[i + offset]) <= RADIUS]
+        a.append(met)
+        b.append(met + offset)
+    if not a:
+        return [], []
+    a, b = np.concatenate(a), np.concatenate(b)
+    several = np.bincount(of[a], minlength=len(size)) > 1
+    one = ~several[of[a]]
+    out_a, out_b = [a[one]], [b[one]]
+    for k in np.flatnonzero(several):
+        x, y = spanning(f[first[k]: first[k] + size[k]])
+        out_a.append(first[k] + x)
+        out_b.append(first[k] + y)
+    return out_a, out_b
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b, bits) in rows (list, v, f) in the order of lists.
+
+    Of a list beyond LIST only leaders stay in memory, to which later members are linked, too.
+    """
+    held = [np.zeros(0, np.int64) for _ in range(3)]
+
+    def rows(v: np.ndarray, f: np.ndarray, a: list, b: list) -> pa.RecordBatch:
+        a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (a, b))
+        x, y = v[a], v[b]
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)),
+            pa.array(np.bitwise_count(f[a] ^ f[b]).astype(np.int32)),
+        ], ["a", "b", "bits"])
+
+    def done(key: np.ndarray, v: np.ndarray, f: np.ndarray) -> pa.RecordBatch:
+        f = f.view(np.uint64)
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        size = np.diff(np.append(first, len(key)))
+        a, b = _short(size, first, f)
+        for k in np.flatnonzero(size > SHORT):
+            x, y = spanning(f[first[k]: first[k] + size[k]])
+            a.append(first[k] + x)
+            b.append(first[k] + y)
+        return rows(v, f, a, b)
+
+    for batch in batches:
+        held = [np.concatenate([x, np.asarray(batch.column(i))]) for i, x in enumerate(held)]
+        key = held[0]
+        if not len(key):
+            continue
+        cut = int(np.searchsorted(key, key[-1]))
+        if cut:
+            yield done(*(x[:cut] for x in held))
+            held = [x[cut:] for x in held]
+        if len(held[0]) > LIST:
+            _, v, f = held
+            a, b, leaders = covering(f.view(np.uint64))
+            yield rows(v, f.view(np.uint64), [a], [b])
+            held = [x[leaders] for x in held]
+    if len(held[0]):
+        yield done(*held)
+
+
+def meetings(heads: DataFrame, n: int) -> DataFrame:
+    """Stored links (a, b, bits) between the n rows (v, sketch) of ``heads`` that meet in a list.
+
+    Keys grow with the logarithm of n, so lists stay short at any size; their number grows
+    as a root of n.
+    """
+    width = max(12, math.ceil(math.log2(max(n, 1))) - 2)
+    tables = math.ceil(math.log(MISS) / math.log(1 - AGREE ** width))
+    draw = np.random.default_rng(7)
+    places = [draw.choice(64 * WIDE, width, replace=False) for _ in range(tables)]
+    powers = np.int64(1) << np.arange(width)
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v = np.asarray(batch.column("v"))
+            sketch = np.asarray(batch.column("sketch").flatten()).reshape(-1, 2 + WIDE)
+            for at in range(0, len(v), 512):
+                part = np.ascontiguousarray(sketch[at: at + 512])
+                bits = np.unpackbits(
+                    np.ascontiguousarray(part[:, 2:]).view(np.uint8), axis=1, bitorder="little"
+                ).astype(np.int64)
+                keys = [(bits[:, p] @ powers) + (t << width) for t, p in enumerate(places)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.concatenate(keys)), pa.array(np.tile(v[at: at + 512], tables)),
+                    pa.array(np.tile(part[:, 1], tables)),
+                ], ["list", "v", "f"])
+
+    lists = heads.select("v", "sketch").mapInArrow(keyed, "list LONG, v LONG, f LONG")
+    met = lists.repartition("list").sortWithinPartitions("list", "v")
+    return stored(
+        met.mapInArrow(_met, "a LONG, b LONG, bits INT").groupBy("a", "b").agg(F.min("bits").alias("bits")),
+        "meetings",
+    )
+
+
+def verified(met: DataFrame, sets: DataFrame) -> DataFrame:
+    """(v, root) of everything that links of ``met`` connect whose sets (v, shingles) are alike.
+
+    A round verifies the nearest links of every group found so far, each round more of them; links
+    within a group need none. Ends when no link between groups is left untested.
+    """
+    one = sets.select(F.col("v").alias("a"), F.col("shingles").alias("of_a"))
+    two = sets.select(F.col("v").alias("b"), F.col("shingles").alias("of_b"))
+    both = F.size(F.array_intersect("of_a", "of_b"))
+    same = both >= ALIKE * (F.size("of_a") + F.size("of_b") - both) - 1e-9
+    left = met.select("a", "b", "bits", F.col("a").alias("x"), F.col("b").alias("y"))
+    found, roots, most = None, None, FIRST
+    while True:
+        nearest = Window.partitionBy("root").orderBy("bits", "a", "b")
+        sides = left.select("a", "b", "bits", F.explode(F.array("x", "y")).alias("root"))
+        picked = stored(
+            sides.withColumn("nth", F.row_number().over(nearest)).where(F.col("nth") <= most)
+            .select("a", "b").distinct(), "picked",
+        )
+        if found is not None and picked.isEmpty():
+            return roots
+        links = stored(picked.join(one, "a").join(two, "b").where(same).select("a", "b"), "alike")
+        found = links if found is None else found.union(links)
+        roots = components(found, "near")
+        of_a = roots.select(F.col("v").alias("a"), F.col("root").alias("root_a"))
+        of_b = roots.select(F.col("v").alias("b"), F.col("root").alias("root_b"))
+        left = stored(
+            left.join(picked, ["a", "b"], "left_anti").join(of_a, "a", "left").join(of_b, "b", "left")
+            .select("a", "b", "bits", F.coalesce("root_a", "a").alias("x"), F.coalesce("root_b", "b").alias("y"))
+            .where("x <> y"), "untested",
+        )
+        most *= MORE
+
+
 def representatives(docs: DataFrame) -> DataFrame:
-    """One document of each group, the one with its smallest id, with all columns it came with.
+    """One document of each group of near-duplicates, the one with its smallest id, with all its columns.
 
-    Of several rows with that id one stays; rows with a null id stay only if their group has
-    no other, and then one of them does. Groups are told apart by their fingerprints, so groups
-    without ids, or headed by the same id, keep one row each.
+    Groups are what links connect between texts whose sets of five-word shingles have a Jaccard
+    similarity of at least 0.8; every link is verified on the texts. Texts with the same shingles always meet,
+    others with the likelihood that MISS states for 0.8 and that nears 1 above. Texts without words are
+    one group. Of several rows with the smallest id one stays; rows with a null id stay only if their group has
+    no other, and then one of them does. Ids never join or part groups.
     """
     marked = stored(docs.select(
         F.struct("*").alias("row"), "doc_id", F.monotonically_increasing_id().alias("key"),
-        fingerprints("text").alias("fp"),
-    ), "fingerprinted")
-    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "key")
-    best = marked.groupBy(F.col("fp").alias("of")).agg(F.min(rank).alias("best"))
-    heads = best.join(groups(marked), F.col("of") == F.col("fp")).groupBy("root").agg(
-        F.min("best").alias("best")
-    ).select(F.col("best.key").alias("head"))
-    return marked.join(heads, F.col("key") == F.col("head"), "left_semi").select("row.*")
+        sketches("text").alias("sketch"),
+    ), "sketched")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
+    heads = stored(
+        marked.groupBy(F.col("sketch")[0].alias("v")).agg(
+            F.min(rank).alias("best"), F.first("sketch").alias("sketch")
+        ), "heads",
+    )
+    met = meetings(heads, heads.count())
+    ends = met.select(F.explode(F.array("a", "b")).alias("v")).distinct()
+    wanted = heads.join(ends, "v", "left_semi").select("v", F.col("best.key").alias("of"))
+    sets = stored(
+        marked.select("key", F.col("row.text").alias("text")).join(wanted, F.col("key") == F.col("of"))
+        .select("v", shingle_sets("text").alias("shingles")), "shingles",
+    )
+    roots = verified(met, sets).select(F.col("v").alias("member"), "root")
+    kept = heads.join(roots, F.col("v") == F.col("member"), "left").groupBy(
+        F.coalesce("root", "v").alias("group")
+    ).agg(F.min("best").alias("best")).select(F.col("best.key").alias("head"))
+    return marked.join(kept, F.col("key") == F.col("head"), "left_semi").select("row.*")

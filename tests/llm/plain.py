@@ -146,6 +146,29 @@ def op7(docs):
     return [(d, f"{f:016x}", h) for (d, _), f, h in zip(docs, prints, heads)]
 
 
+def shingles(text, width=5):
+    ws = WORD.findall(lower(raw(text)))
+    return {tuple(ws[i:i + width]) for i in range(max(1, len(ws) - width + 1))} if ws else set()
+
+
+def jaccard(one, two):
+    return len(one & two) / len(one | two) if one | two else 1.0
+
+
+def alike(docs):
+    """Smallest id of each row's group: what pairs with a five-word Jaccard of 0.8 connect."""
+    sets, group = [shingles(t) for _, t in docs], list(range(len(docs)))
+    for i, one in enumerate(sets):
+        for j in range(i):
+            if group[i] != group[j] and jaccard(one, sets[j]) >= 0.8:
+                group = [group[j] if g == group[i] else g for g in group]
+    least = {}
+    for (d, _), g in zip(docs, group):
+        if d is not None:
+            least[g] = min(d, least.get(g, d))
+    return [least.get(g) for g in group]
+
+
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"),
          ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
 

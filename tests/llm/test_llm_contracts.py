@@ -331,7 +331,7 @@ def test_quality_strata_are_judged_by_their_own_labels(spark):
 def test_simhash_odd(odd, none):
     assert order(simhash.report(odd).collect()) == order(plain.op7(TEXTS))
     assert simhash.report(none).count() == 0
-    heads = {h for *_, h in plain.op7(TEXTS)}
+    heads = set(plain.alike(TEXTS))
     stay = simhash.representatives(odd)
     assert stay.columns == odd.columns
     assert order((r["doc_id"],) for r in stay.collect()) == order((h,) for h in heads)
@@ -348,6 +348,59 @@ def test_simhash_keeps_a_row_of_each_group(spark):
     assert order(simhash.representatives(docs).collect()) == order(want)
 
 
+def edited(text, every, seed):
+    """The text with one word in ``every`` replaced, at drawn places."""
+    words, draw = text.split(" "), random.Random(seed)
+    for i in draw.sample(range(len(words)), len(words) // every):
+        words[i] = f"new{draw.randrange(10**6)}"
+    return " ".join(words)
+
+
+def test_near_copies_are_found_and_verified(spark):
+    rows = []
+    for i in range(400):
+        base = text_of(5000 + i, 100 + i)
+        rows += [(2 * i, base), (2 * i + 1, edited(base, [40, 60, 25, 15][i % 4], i))]
+    sets = {d: plain.shingles(t) for d, t in rows}
+    like = {d for d in range(1, 800, 2) if plain.jaccard(sets[d], sets[d - 1]) >= 0.8}
+    assert 100 < len(like) < 300
+    stay = {r["doc_id"] for r in simhash.representatives(spark.createDataFrame(rows, "doc_id LONG, text STRING")).collect()}
+    gone = set(sets) - stay
+    # Whatever goes is a near copy by the texts' own shingles, and most near copies go.
+    assert gone <= like and len(gone) >= 0.9 * len(like)
+
+
+def test_large_groups_of_near_copies(spark, monkeypatch):
+    # Lists far beyond LIST are linked through their leaders.
+    monkeypatch.setattr(simhash, "LIST", 40)
+    monkeypatch.setattr(simhash, "SHORT", 8)
+    base = text_of(77, 400)
+    rows = [(i, edited(base, 200, i)) for i in range(600)] + [(1000 + i, text_of(900 + i, 60)) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(3)
+    stay = simhash.representatives(docs)
+    assert order((r["doc_id"],) for r in stay.collect()) == order((d,) for d in [0, *range(1000, 1050)])
+
+
+def test_spanning_forest_connects_at_every_radius():
+    draw = random.Random(5)
+    prints = [0]
+    while len(prints) < 60:
+        x = draw.choice(prints)
+        for b in draw.sample(range(64), draw.randrange(1, 20)):
+            x ^= 1 << b
+        prints.append(x)
+    f = np.array(prints, np.uint64)
+    a, b = simhash.spanning(f)
+    for radius in (3, 8, simhash.RADIUS):
+        group = list(range(len(f)))
+        for x, y in zip(a.tolist(), b.tolist()):
+            if (prints[x] ^ prints[y]).bit_count() <= radius:
+                group = [group[x] if g == group[y] else g for g in group]
+        want = plain.components(prints, list(range(len(f))), radius)
+        assert len(set(group)) == len(set(want))
+        assert len({(g, w) for g, w in zip(group, want)}) == len(set(want))
+
+
 def test_simhash_query(spark, known):
     got = order(queries.op7_simhash(spark, FOLDER).collect())
     assert got == order(plain.op7([(d, t) for d, t, _ in known]))
@@ -544,7 +597,7 @@ def test_pipeline(spark, known):
             assert all(not plain.op6(r["text"])[-1] for r in rows)
         if name == "simhash near-dedup":
             given = [(r["doc_id"], r["text"]) for r in before.collect()]
-            assert sorted(ids) == sorted({h for *_, h in plain.op7(given)}) and len(rows) == len(ids)
+            assert sorted(ids) == sorted(set(plain.alike(given))) and len(rows) == len(ids)
         if name == "benchmark decontamination":
             items = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
             given = [(r["doc_id"], r["text"]) for r in before.collect()]
