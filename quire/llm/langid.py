@@ -10,6 +10,10 @@ Four pieces of evidence add up as logarithms, for every language:
 
 The last three come from grouped sums of the pages' text posteriors; what a page itself added
 to its host is taken out again before the host tells something about the page.
+
+Every declared language counts. Trigram counts are a table; its languages are scored, and the
+posteriors summed, in blocks of BLOCK, which bounds what a task holds. Only a page's array of posteriors
+and the list of names grow with the number of languages.
 """
 
 from __future__ import annotations
@@ -27,11 +31,13 @@ from quire.llm import texts
 from quire.llm.shared import stored
 
 BUCKETS = 8192
-#: Languages are the ones that most documents declare.
-MAX_LANGUAGES = 128
+#: Languages whose likelihoods a task holds, and whose posteriors one aggregation sums.
+BLOCK = 128
 TRIGRAMS = 40.0
 #: Pages that a host needs to count as much as its domain, and a domain as much as all pages.
 STRENGTH = 5.0
+#: Blocks scored in one stage, each by a Python worker of its own.
+CHAINED = 4
 #: Suffixes are held by hash, so that their table has a fixed size.
 SUFFIXES = 4096
 
@@ -50,32 +56,59 @@ def trigrams(chunk: texts.Chunk) -> tuple[np.ndarray, np.ndarray]:
 
 
 def languages(docs: DataFrame, column: str = "lang") -> list[str]:
-    sized = docs.where(F.col(column).isNotNull()).groupBy(column).count()
-    top = sized.orderBy(F.desc("count"), column).limit(MAX_LANGUAGES).collect()
-    return sorted(r[0] for r in top)
+    """All declared languages by name."""
+    return sorted(r[0] for r in docs.where(F.col(column).isNotNull()).select(column).distinct().collect())
+
 
+def tallies(docs: DataFrame, known: list[str], column: str = "lang") -> DataFrame:
+    """Stored (cell, n): occurrences of each trigram bucket in each language, over all documents.
+
+    A cell is the language's place in ``known`` times BUCKETS, plus the bucket.
+    """
+    place, held = {name: i for i, name in enumerate(known)}, BLOCK
 
-def likelihoods(docs: DataFrame, known: list[str], column: str = "lang") -> np.ndarray:
-    """Log probability of each trigram bucket (rows) in each language, over all documents."""
-    place = {name: i for i, name in enumerate(known)}
+    def summed_up(sums: dict[int, np.ndarray]) -> pa.RecordBatch:
+        cells = [(lang * BUCKETS, np.flatnonzero(n), n) for lang, n in sums.items()]
+        none = [np.zeros(0, np.int64)]
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.concatenate(none + [base + at for base, at, _ in cells])),
+            pa.array(np.concatenate(none + [n[at] for _, at, n in cells])),
+        ], ["cell", "n"])
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(len(place) * BUCKETS, np.int64)
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
             lang = np.array([place.get(x, -1) for x in batch.column("lang").to_pylist()], np.int64)
             for chunk in texts.chunks(batch.column("text")):
                 bucket, of = trigrams(chunk)
                 of = lang[chunk.first + of]
-                sums += np.bincount(of[of >= 0] * BUCKETS + bucket[of >= 0], minlength=len(sums))
-        cell = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(sums[cell])], ["cell", "n"])
+                bucket, of = bucket[of >= 0], of[of >= 0]
+                here = np.unique(lang[chunk.first: chunk.first + len(chunk)])
+                here = here[here >= 0]
+                for at in range(0, len(here), held):
+                    some = here[at: at + held]
+                    if len(sums.keys() | set(some.tolist())) > held:
+                        yield summed_up(sums)
+                        sums = {}
+                    mine = (of >= some[0]) & (of <= some[-1])
+                    cell = np.searchsorted(some, of[mine]) * BUCKETS + bucket[mine]
+                    found = np.bincount(cell, minlength=len(some) * BUCKETS).reshape(-1, BUCKETS)
+                    for i, n in zip(some.tolist(), found):
+                        sums[i] = sums[i] + n if i in sums else n.copy()
+        yield summed_up(sums)
 
     rows = docs.select(F.col(column).alias("lang"), "text").mapInArrow(tally, "cell LONG, n LONG")
-    counts = np.zeros(len(known) * BUCKETS)
-    # At most MAX_LANGUAGES * BUCKETS rows.
-    found = rows.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    counts[found["cell"].to_numpy(np.int64)] = found["n"].to_numpy(float)
-    counts = counts.reshape(len(known), BUCKETS).T + 0.5
+    return stored(rows.groupBy("cell").agg(F.sum("n").alias("n")), "trigrams")
+
+
+def likelihoods(tallied: DataFrame, first: int, n: int) -> np.ndarray:
+    """Log probability of each trigram bucket (rows) in each of n languages from the ``first``."""
+    counts = np.zeros(n * BUCKETS)
+    # At most BLOCK * BUCKETS rows.
+    mine = (F.col("cell") >= first * BUCKETS) & (F.col("cell") < (first + n) * BUCKETS)
+    found = tallied.where(mine).toPandas()
+    counts[found["cell"].to_numpy(np.int64) - first * BUCKETS] = found["n"].to_numpy(float)
+    counts = counts.reshape(n, BUCKETS).T + 0.5
     return np.log(counts / counts.sum(0))
 
 
@@ -128,46 +161,85 @@ def read_page(html: str | None) -> tuple[str | None, str]:
     return told and told[1].lower(), visible(html)
 
 
-def evidence(pages: DataFrame, known: list[str], table: np.ndarray) -> DataFrame:
-    """(page_id, host, declared, q): text posteriors ``q`` in the order of ``known``."""
-    model = pages.sparkSession.sparkContext.broadcast(table)
-    kind = pages.schema["page_id"].dataType.simpleString()
+def shares(scores: np.ndarray) -> np.ndarray:
+    """Posteriors of rows of log likelihoods."""
+    q = np.exp(scores - scores.max(1, keepdims=True))
+    return q / q.sum(1, keepdims=True)
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        per_bucket, n_lang = model.value, model.value.shape[1]
-        for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch.slice(at, 512)
-                told = [read_page(h) for h in part.column("html").to_pylist()]
-                scores = []
-                for chunk in texts.chunks(pa.array([t for _, t in told], pa.large_string())):
-                    bucket, of = trigrams(chunk)
-                    n = np.bincount(of, minlength=len(chunk))
-                    sums = np.stack([
-                        np.bincount(of, per_bucket[bucket, j], len(chunk)) for j in range(n_lang)
-                    ], 1)
-                    scores.append(sums * (np.minimum(n, TRIGRAMS) / np.maximum(n, 1))[:, None])
-                s = np.concatenate(scores)
-                q = np.exp(s - s.max(1, keepdims=True))
-                q /= q.sum(1, keepdims=True)
-                flat = pa.array(q.ravel())
-                at_row = pa.array(np.arange(len(part) + 1) * n_lang, pa.int32())
-                yield pa.RecordBatch.from_arrays([
-                    part.column("page_id"), part.column("host"),
-                    pa.array([d for d, _ in told], pa.string()),
-                    pa.ListArray.from_arrays(at_row, flat),
-                ], ["page_id", "host", "declared", "q"])
 
+def evidence(pages: DataFrame, known: list[str], tallied: DataFrame) -> DataFrame:
+    """(page_id, host, declared, q): text posteriors ``q`` in the order of ``known``.
+
+    The first block's tasks read the pages, every block's append its languages' scores, and the last
+    block's turn them into posteriors.
+    """
+    kind = pages.schema["page_id"].dataType.simpleString()
     after = F.expr("substring(url, instr(url, '://') + 3)")
     host = F.lower(F.regexp_extract(F.when(F.instr("url", "://") > 0, after).otherwise(""), r"^([^/?#:]*)", 1))
     rows = pages.select("page_id", F.coalesce(host, F.lit("")).alias("host"), "html")
-    return rows.mapInArrow(
-        read, f"page_id {kind}, host STRING, declared STRING, q ARRAY<DOUBLE>"
-    )
 
-
-def total(q: str, n: int) -> Column:
-    return F.array(*[F.sum(F.get(q, F.lit(j))) for j in range(n)])
+    def scored(model, begins: bool, ends: bool):
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            per_bucket, n_lang = model.value, model.value.shape[1]
+            for batch in batches:
+                for at in range(0, len(batch), 512):
+                    part = batch.slice(at, 512)
+                    if begins:
+                        told = [read_page(h) for h in part.column("html").to_pylist()]
+                        declared = pa.array([d for d, _ in told], pa.string())
+                        shown = pa.array([t for _, t in told], pa.large_string())
+                    else:
+                        declared, shown = part.column("declared"), part.column("text")
+                    scores = []
+                    for chunk in texts.chunks(shown):
+                        bucket, of = trigrams(chunk)
+                        n = np.bincount(of, minlength=len(chunk))
+                        sums = np.stack([
+                            np.bincount(of, per_bucket[bucket, j], len(chunk)) for j in range(n_lang)
+                        ], 1)
+                        scores.append(sums * (np.minimum(n, TRIGRAMS) / np.maximum(n, 1))[:, None])
+                    s = np.concatenate(scores)
+                    if not begins:
+                        s = np.hstack([np.asarray(part.column("q").flatten()).reshape(len(part), -1), s])
+                    if ends:
+                        s = shares(s)
+                    at_row = pa.array(np.arange(len(part) + 1) * s.shape[1], pa.int32())
+                    columns = {
+                        "page_id": part.column("page_id"), "host": part.column("host"), "declared": declared,
+                        "q": pa.ListArray.from_arrays(at_row, pa.array(s.ravel())),
+                    }
+                    if not ends:
+                        columns["text"] = shown.cast(pa.string())
+                    yield pa.RecordBatch.from_pydict(columns)
+
+        return score
+
+    shape = f"page_id {kind}, host STRING, declared STRING, q ARRAY<DOUBLE>"
+    for first in range(0, len(known), BLOCK):
+        n = min(BLOCK, len(known) - first)
+        model = pages.sparkSession.sparkContext.broadcast(likelihoods(tallied, first, n))
+        last = first + n == len(known)
+        rows = rows.mapInArrow(scored(model, first == 0, last), shape if last else f"{shape}, text STRING")
+        if not last and first // BLOCK % CHAINED == CHAINED - 1:
+            rows = stored(rows, "scores")
+    return rows
+
+
+def totals(rows: DataFrame, by: list[str], q: str, n: int, name: str) -> DataFrame:
+    """``by`` and the sums ``name`` of the arrays ``q`` of n posteriors."""
+    def sums(column: str, size: int) -> Column:
+        return F.array(*[F.sum(F.get(column, F.lit(j))) for j in range(size)])
+
+    if n <= BLOCK:
+        return rows.groupBy(*by).agg(sums(q, n).alias(name))
+    cut = F.array(*[F.slice(q, at + 1, BLOCK) for at in range(0, n, BLOCK)])
+    parts = rows.select(*by, F.posexplode(cut).alias("block", "part"))
+    blocks = parts.groupBy(*by, "block").agg(sums("part", BLOCK).alias("sums"))
+    # As many elements as there are blocks of languages.
+    whole = F.array_sort(F.collect_list(F.struct("block", "sums")))
+    return blocks.groupBy(*by).agg(whole.alias("blocks")).select(
+        *by, F.slice(F.flatten(F.col("blocks.sums")), 1, n).alias(name)
+    )
 
 
 def summed(array: Column | str) -> Column:
@@ -194,7 +266,7 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
             F.lit(None).cast("string").alias("text_lang"),
         )
     n = len(known)
-    rows = stored(evidence(pages, known, likelihoods(docs, known)), "langid")
+    rows = stored(evidence(pages, known, tallies(docs, known)), "langid")
     names = F.array(*[F.lit(x) for x in known])
     mark = F.when(F.col("declared").isin(known), F.col("declared")).when(
         F.col("declared").isNotNull(), "other"
@@ -205,18 +277,17 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
         "mark": mark, "domain": F.when(domain == "", F.col("host")).otherwise(domain),
         "ending": F.pmod(F.xxhash64(suffix), F.lit(SUFFIXES)),
     })
-    hosts = stored(
-        rows.groupBy("host", "domain").agg(total("q", n).alias("host_n")), "hosts"
-    )
-    domains = hosts.groupBy("domain").agg(total("host_n", n).alias("domain_n"))
+    hosts = stored(totals(rows, ["host", "domain"], "q", n, "host_n"), "hosts")
+    domains = totals(hosts, ["domain"], "host_n", n, "domain_n")
     hosts = hosts.join(domains.withColumnRenamed("domain", "d"), F.col("domain") == F.col("d"))
     hosts = hosts.select(F.col("host").alias("h"), "host_n", "domain_n")
-    every = rows.agg(total("q", n).alias("all_n"))
-    marks = rows.groupBy("mark").agg(total("q", n).alias("mark_n"))
-    endings = rows.groupBy("ending").agg(total("q", n).alias("ending_n"))
-    # One row, at most MAX_LANGUAGES + 2 rows, at most SUFFIXES rows.
-    marks = F.broadcast(marks.withColumnRenamed("mark", "m"))
-    endings = F.broadcast(endings.withColumnRenamed("ending", "e"))
+    marks = totals(rows, ["mark"], "q", n, "mark_n")
+    endings = totals(rows, ["ending"], "q", n, "ending_n").withColumnRenamed("ending", "e")
+    # One row, as many rows as languages and two, at most SUFFIXES rows.
+    every = totals(rows, [], "q", n, "all_n")
+    marks = marks.withColumnRenamed("mark", "m")
+    if n <= BLOCK:
+        marks, endings = F.broadcast(marks), F.broadcast(endings)
     near = rows.join(marks, F.col("mark") == F.col("m")).join(
         endings, F.col("ending") == F.col("e")
     ).join(hosts, F.col("host") == F.col("h")).withColumn("all_n", every.scalar())

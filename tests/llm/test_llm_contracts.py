@@ -514,6 +514,28 @@ def test_language(spark, none):
     assert [r["lang"] for r in langid.identify(pages, none).collect()] == [None] * len(rows)
 
 
+def test_all_declared_languages(spark, monkeypatch):
+    # Each has words of its own; beyond the first 128, too, whatever the block.
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = {f"l{i:03}": f"{letters[i % 26] * 3}{letters[i // 26] * 2}q " for i in range(140)}
+    docs = spark.createDataFrame(
+        [(w * 30, lang) for i, (lang, w) in enumerate(words.items()) for _ in range(1 + (i < 128))], "text STRING, lang STRING"
+    )
+    page = "<html lang='{}'><p>{}</p></html>"
+    rows = [(i, f"http://h{i % 9}.example.{lang}/", page.format(["xx", lang][i % 2], w * 9)) for i, (lang, w) in
+            enumerate(words.items())]
+    pages = spark.createDataFrame(rows + [(200, None, None)], "page_id LONG, url STRING, html STRING")
+    got = {r["page_id"]: r for r in langid.identify(pages, docs).collect()}
+    assert [got[i]["lang"] for i in range(140)] == [got[i]["text_lang"] for i in range(140)] == [*words]
+    for size in (20, 200):
+        monkeypatch.setattr(langid, "BLOCK", size)
+        again = {r["page_id"]: r for r in langid.identify(pages, docs).collect()}
+        assert len(again) == 141
+        for i, r in again.items():
+            assert r["lang"] == got[i]["lang"] or i == 200
+            assert abs(r["probability"] - got[i]["probability"]) < 1e-9 and r["declared"] == got[i]["declared"]
+
+
 def test_declared_language_after_a_long_comment():
     page = "<!--" + " note" * 2000 + "-->" + "\n" * 300 + "<html class='x' lang='fr-CA'><p>mot</p></html>"
     assert langid.read_page(page)[0] == "fr"
