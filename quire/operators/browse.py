@@ -29,17 +29,23 @@ def with_continents(entries: DataFrame, geo: DataFrame) -> DataFrame:
 # -- search ------------------------------------------------------------------------------
 
 
-def haystack(columns: list[str]) -> Column:
-    """Lower-cased searchable text of an entry."""
+def haystack(columns: list[str], flat: bool = False) -> Column:
+    """Lower-cased searchable text of an entry; ``flat``: with blanks for all other white space.
+
+    Plain text has no other anyway, so a long abstract isn't read again.
+    """
+    def blanks(part: Column) -> Column:
+        return F.regexp_replace(part, text.WEB_SPACE, " ") if flat else part
+
     parts = {
-        "title": F.coalesce(F.col("title"), F.lit("")) if "title" in columns else None,
-        "authors": F.coalesce(F.col("authors"), F.lit("")) if "authors" in columns else None,
-        "doi": F.coalesce(F.col("doi"), F.lit("")) if "doi" in columns else None,
+        "title": blanks(F.coalesce(F.col("title"), F.lit(""))) if "title" in columns else None,
+        "authors": blanks(F.coalesce(F.col("authors"), F.lit(""))) if "authors" in columns else None,
+        "doi": blanks(F.coalesce(F.col("doi"), F.lit(""))) if "doi" in columns else None,
         "abstract": text.plain_text(F.col("abstract")) if "abstract" in columns else None,
     }
     texts = [parts[c] if parts[c] is not None else F.lit("") for c in parts]
     tags = [
-        F.coalesce(F.col(c), F.array().cast(NONE))
+        F.coalesce(F.transform(F.col(c), blanks) if flat else F.col(c), F.array().cast(NONE))
         for c in ("regions", "countries", "continents") if c in columns
     ]
     return F.lower(F.array_join(F.concat(F.array(*texts), *tags), " "))
@@ -80,7 +86,7 @@ def search_many(entries: DataFrame, queries: dict[str, str]) -> DataFrame:
 
 def search_table(entries: DataFrame, queries: DataFrame) -> DataFrame:
     """:func:`search_many` for a table of queries (``query_id, query``) of any size."""
-    return postings.search_texts(entries, haystack(entries.columns), queries)
+    return postings.search_texts(entries, haystack(entries.columns, flat=True), queries)
 
 
 # -- row keys and counts -----------------------------------------------------------------

@@ -1,9 +1,11 @@
 """Substring search for a whole table of queries, over an index of the entries' tokens.
 
 A search term holds no white space, so each place it occurs in lies within one token of a text. The
-index has two levels: trigrams lead to distinct tokens, tokens lead to entries. A term looks its
-tokens up under its rarest trigram and verifies them; a query takes its rarest term's entries and
-verifies its other terms on their texts. The entries' texts never meet the queries but for these
+index has two levels: grams lead to distinct tokens, tokens lead to entries. A term looks its
+tokens up under its rarest gram of the greatest size in ``SIZES`` that it has, and verifies them, so that
+numbered names, which have few different trigrams, meet few others; a query takes its rarest term's
+entries and verifies its other terms on their texts. A token of one or two entries is held with them,
+only for others are the texts read again. The entries' texts never meet the queries but for these
 candidates. What is looked up goes to all tasks while it measures at most ``SENT`` bytes, so that the
 index is not shuffled for a few queries; beyond that both sides are.
 """
@@ -16,8 +18,11 @@ from pyspark.sql import functions as F
 from quire.functions import text
 from quire.sources.tables import staged
 
-#: Length of the grams; a shorter term is a gram of its own length.
+#: Lengths of the grams; a term shorter than ``GRAM`` is a gram of its own length.
 GRAM = 3
+SIZES = (1, 2, GRAM, 6, 12, 24)
+#: Characters of what is cut in grams place by place, which takes the square of its length.
+LONG = 64
 #: Text that is sent to all tasks at most.
 SENT = 16 << 20
 
@@ -30,23 +35,34 @@ def sent(rows: DataFrame, *texts: Column | str) -> DataFrame:
 
 
 def overlapping(value: Column, size: int) -> Column:
-    """All grams of one size, in one pass over the text."""
-    return F.regexp_extract_all(value, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
+    """All grams of one size; of a long text in one pass."""
+    places = F.sequence(F.lit(1), F.length(value) - (size - 1))
+    short = F.transform(places, lambda i: F.substring(value, i, F.lit(size)))
+    return F.when(F.length(value) < size, F.array().cast("array<string>")).when(
+        F.length(value) <= LONG, short
+    ).otherwise(F.regexp_extract_all(value, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1)))
+
+
+def gram_size(term: Column) -> Column:
+    """The greatest of ``SIZES`` that a term has; 0 for ''."""
+    return F.coalesce(*[F.when(F.length(term) >= n, F.lit(n)) for n in reversed(SIZES)], F.lit(0))
 
 
 def term_grams(term: Column) -> Column:
-    """The grams of a term: of length ``GRAM``, or the whole term if it is shorter."""
-    return F.when(F.length(term) < GRAM, F.array(term)).otherwise(
-        F.array_distinct(overlapping(term, GRAM))
-    )
+    """The grams of a term, of its greatest size; the whole term if it is shorter than ``GRAM``."""
+    grams = F.array(term)
+    for n in SIZES:
+        if n >= GRAM:
+            grams = F.when(F.length(term) >= n, overlapping(term, n)).otherwise(grams)
+    return F.array_distinct(grams)
 
 
 def token_grams(token: Column, sizes: Column) -> Column:
     """The grams of a token of those ``sizes`` that some term needs."""
     none = F.array().cast("array<string>")
     kinds = [
-        F.when(F.array_contains(sizes, n), overlapping(token, n)).otherwise(none)
-        for n in range(1, GRAM + 1)
+        F.when(F.array_contains(sizes, n) & (F.length(token) >= n), overlapping(token, n)).otherwise(none)
+        for n in SIZES
     ]
     return F.array_distinct(F.concat(*kinds, F.when(token == "", F.array(token)).otherwise(none)))
 
@@ -61,8 +77,11 @@ def asked_terms(queries: DataFrame) -> DataFrame:
 
 
 def entry_tokens(held: DataFrame, empty: Column) -> DataFrame:
-    """``_id, token``: each distinct token of an entry, and '' where some query asks for it."""
-    tokens = F.array_distinct(F.split("_hay", f"{text.WEB_SPACE}+"))
+    """``_id, token``: each distinct token of an entry, and '' where some query asks for it.
+
+    ``_hay`` has no white space but blanks.
+    """
+    tokens = F.array_distinct(F.split("_hay", " "))
     tokens = F.array_remove(tokens, "")
     return held.withColumn("_empty", empty).select("_id", F.explode(
         F.when(F.col("_empty"), F.array_append(tokens, F.lit(""))).otherwise(tokens)
@@ -70,19 +89,18 @@ def entry_tokens(held: DataFrame, empty: Column) -> DataFrame:
 
 
 def tokens_of_terms(dictionary: DataFrame, terms: DataFrame) -> DataFrame:
-    """``term, token, n``: the tokens that contain each term, with the entries each is in.
+    """``term`` and the dictionary's columns: the tokens that contain each term.
 
     Tokens meet only the terms whose rarest gram they share.
     """
-    sizes = terms.agg(F.collect_set(F.least(F.length("term"), F.lit(GRAM)))).scalar()
+    sizes = terms.agg(F.collect_set(gram_size(F.col("term")))).scalar()
     grams = dictionary.withColumn("_sizes", sizes).select(
-        "token", "n", F.explode(token_grams(F.col("token"), F.col("_sizes"))).alias("gram")
+        *dictionary.columns, F.explode(token_grams(F.col("token"), F.col("_sizes"))).alias("gram")
     )
     wanted = terms.select("term", F.explode(term_grams(F.col("term"))).alias("gram"))
     asked_for = sent(staged(wanted.select("gram").distinct(), "wanted"), "gram")
-    common = grams.join(asked_for, "gram", "left_semi").groupBy("gram").agg(
-        F.count("*").alias("df")
-    )
+    grams = staged(grams.join(asked_for, "gram", "left_semi"), "wanted-grams")
+    common = grams.groupBy("gram").agg(F.count("*").alias("df"))
     # A gram that no token has is the rarest of all: its term is nowhere.
     rarest = wanted.join(common, "gram", "left").groupBy("term").agg(
         F.min_by("gram", F.struct(F.coalesce("df", F.lit(0)).alias("df"), "gram")).alias("gram")
@@ -92,7 +110,7 @@ def tokens_of_terms(dictionary: DataFrame, terms: DataFrame) -> DataFrame:
     leading = sent(staged(rarest.select("gram").distinct(), "leading"), "gram")
     met = grams.join(leading, "gram", "left_semi")
     return met.join(sent(rarest, "term", "gram"), "gram").where(F.col("token").contains(F.col("term"))).select(
-        "term", "token", "n"
+        "term", *dictionary.columns
     )
 
 
@@ -110,6 +128,7 @@ def rarest_terms(asked: DataFrame, term_tokens: DataFrame) -> DataFrame:
 def search_texts(entries: DataFrame, hay: Column, queries: DataFrame) -> DataFrame:
     """``query_id`` and the entry columns, one row for every query an entry's text ``hay`` matches.
 
+    ``hay`` has no white space but blanks, which alone part its tokens (``browse.haystack(flat=True)``).
     All white-space separated terms of a ``query`` must occur in it; a query without a term, or a null one,
     matches everything. Equal rows of either table count each.
     """
@@ -119,16 +138,26 @@ def search_texts(entries: DataFrame, hay: Column, queries: DataFrame) -> DataFra
     terms = staged(asked.select(F.explode("terms").alias("term")).distinct(), "terms")
     empty = terms.agg(F.coalesce(F.bool_or(F.col("term") == ""), F.lit(False))).scalar()
     places = entry_tokens(held, empty)
-    dictionary = staged(places.groupBy("token").agg(F.count("*").alias("n")), "tokens")
+    dictionary = staged(places.groupBy("token").agg(
+        F.count("*").alias("n"), F.min("_id").alias("first"), F.max("_id").alias("last")
+    ), "tokens")
     term_tokens = staged(tokens_of_terms(dictionary, terms), "term-tokens")
     rarest = staged(rarest_terms(asked, term_tokens), "rarest")
-    lead = term_tokens.join(rarest.select("term").distinct(), "term", "left_semi")
-    lead = sent(staged(lead.select("token", "term"), "lead"), "token", "term")
+    lead = staged(term_tokens.join(rarest.select("term").distinct(), "term", "left_semi"), "lead")
+    met = lead.where("n <= 2").select(F.explode(F.array_distinct(F.array("first", "last"))).alias("_id"), "term")
+    more = lead.where("n > 2").select("token", "term")
+    if not more.isEmpty():
+        met = met.union(places.join(sent(more, "token", "term"), "token").select("_id", "term"))
     # An entry may hold a term in several tokens.
-    met = places.join(lead, "token").select("_id", "term").distinct()
-    candidates = staged(met.join(rarest, "term").select("_id", "query_id", "terms"), "candidates")
-    candidates = sent(candidates, F.col("query_id").cast("string"), F.array_join("terms", " "))
-    found = held.join(candidates, "_id").where(
+    candidates = staged(met.distinct().join(rarest, "term").select("_id", "query_id", "terms"), "candidates")
+
+    def held_by(some: DataFrame) -> DataFrame:
+        return held.join(sent(some, F.col("query_id").cast("string"), F.array_join("terms", " ")), "_id")
+
+    # A single term is found already, its entries' texts aren't read again.
+    found = held_by(candidates.where(F.size("terms") > 1)).where(
         F.forall("terms", lambda t: F.col("_hay").contains(t))
+    ).select("query_id", *entries.columns).union(
+        held_by(candidates.where(F.size("terms") == 1)).select("query_id", *entries.columns)
     )
-    return found.select("query_id", *entries.columns)
+    return found

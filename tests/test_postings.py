@@ -77,6 +77,30 @@ def test_only_tokens_with_a_terms_rarest_gram_are_compared(spark):
     assert [tuple(r) for r in postings.rarest_terms(asked, got).select("query_id", "term").collect()] == [("q", "nrare")]
 
 
+def test_numbered_names_meet_few_others(spark):
+    # By trigrams, every name would meet a hundredth of all.
+    names = spark.range(1000, 6000).select(
+        F.format_string("doc/%d", "id").alias("token"), F.lit(1).cast("long").alias("n"))
+    terms = names.select(F.col("token").alias("term"))
+    sizes = F.array(*[F.lit(n) for n in postings.SIZES])
+    grams = names.select("token", F.explode(postings.token_grams(F.col("token"), sizes)).alias("gram"))
+    met = terms.select("term", F.explode(postings.term_grams(F.col("term"))).alias("gram")).join(grams, "gram")
+    least = met.groupBy("term", "gram").count().groupBy("term").agg(F.min("count").alias("n"))
+    assert least.agg(F.max("n")).first()[0] <= 10
+    assert sorted(postings.tokens_of_terms(names, terms).select("term", "token").collect()) == [
+        (f"doc/{i}", f"doc/{i}") for i in range(1000, 6000)]
+
+
+def test_white_space_of_all_kinds_and_long_tokens(spark):
+    long = "".join(chr(97 + i * i % 26) for i in range(90)) + "🙂é" * 20
+    held = [("a", f"one\u2003two\xa0{long}", None, ["x\ty"], 1), ("b", "onetwo", f"z{long}z\ufeff", [None], 2)]
+    entries = spark.createDataFrame(held, DDL)
+    asked = [("1", "one two"), ("2", long), ("3", long[10:115]), ("4", "x y"), ("5", long[70:94]), ("6", "onet"), ("7", "e two")]
+    got = rows(browse.search_table(entries, spark.createDataFrame(asked, QUERIES)))
+    want = [(i, *r) for i, q in asked for r in browse.search(entries, q).select("doi", "n").collect()]
+    assert got == sorted(map(tuple, want), key=repr) and len(got) == 12
+
+
 def test_queries_are_joined_and_never_gathered(spark, entries):
     plan = browse.search_table(entries, spark.createDataFrame(ASKED, QUERIES))._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
