@@ -12,15 +12,16 @@ are dealt anew by more bits (of the bits left open, cut in five parts, two linke
 share one part), until all lists are short or all bits are fixed.
 
 ``representatives`` removes near-duplicates of texts: five-word shingles that are alike by 0.8. So far
-apart, fingerprints differ in about ten bits, which share no byte for certain. A text therefore has WIDE
-fingerprints; lists are keyed by drawn sets of their positions, as many that all but MISS of the pairs at
-0.8 meet in one. What meets within RADIUS is joined by a minimum spanning forest of the list, whose links
-connect the same texts at every smaller radius, and links are verified on the texts' shingles.
+apart, fingerprints differ in about ten bits, and no number of shared bytes is certain for one of them. A text
+therefore has WIDE fingerprints, and the guaranteed minimum is MINIMUM positional bytes of one of them. The lists are
+again keyed by every set of so many positions with their bytes: whoever meets has reached the minimum and is verified,
+first by its differing bits in one more fingerprint, then on the texts' shingles. Where a list has many such pairs, as
+near copies have, only a minimum spanning forest is verified at first, which joins most of them; then all pairs that are
+still in different groups are.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -218,14 +219,15 @@ def report(docs: DataFrame) -> DataFrame:
 #: Near-duplicate texts: words of a shingle, and the Jaccard similarity of their sets of shingles.
 WORDS = 5
 ALIKE = 0.8
-#: Fingerprints that list keys are drawn from, and the part of pairs at ALIKE that may meet in no list.
+#: Fingerprints, and positional bytes that a candidate shares in one of them: at ALIKE, one pair in 90 does not.
 WIDE = 4
-MISS = 0.02
+MINIMUM = 2
+SETS = [[8 * k + p for p in some] for k in range(WIDE) for some in combinations(range(8), MINIMUM)]
 #: Differing bits of what is worth verifying: at ALIKE 10 are expected, with a deviation of 3.
-RADIUS = 15
-#: Part of the positions that two texts at ALIKE share.
-AGREE = 1 - math.acos(2 * ALIKE / (1 + ALIKE)) / math.pi
-SHORT = 64
+RADIUS = 17
+SHORT = 512
+#: Candidates for each member that a list gives at once.
+LINKS = 4
 #: Links of a group verified in the first round, and their growth from round to round.
 FIRST, MORE = 1, 8
 
@@ -332,9 +334,10 @@ def covering(f: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(a), np.concatenate(b), np.array(leaders)
 
 
-def _short(size: np.ndarray, first: np.ndarray, f: np.ndarray) -> tuple[list, list]:
-    """Links in the lists of at most SHORT members: all are compared offset by offset."""
-    a, b = [], []
+def _short(size: np.ndarray, first: np.ndarray, f: np.ndarray) -> tuple[list, list, np.ndarray]:
+    """Candidates in the lists of at most SHORT members, all compared offset by offset, and the places of
+    the lists with so many that only a spanning forest is given."""
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     of = np.repeat(np.arange(len(size)), size)
     i = np.flatnonzero((size <= SHORT)[of])
     for offset in range(1, SHORT):
@@ -345,108 +348,154 @@ def _short(size: np.ndarray, first: np.ndarray, f: np.ndarray) -> tuple[list, li
         met = i[np.bitwise_count(f[i] ^ f[i + offset]) <= RADIUS]
         a.append(met)
         b.append(met + offset)
-    if not a:
-        return [], []
     a, b = np.concatenate(a), np.concatenate(b)
-    several = np.bincount(of[a], minlength=len(size)) > 1
-    one = ~several[of[a]]
-    out_a, out_b = [a[one]], [b[one]]
-    for k in np.flatnonzero(several):
+    many = np.bincount(of[a], minlength=len(size)) > LINKS * size
+    given = ~many[of[a]]
+    out_a, out_b, many = [a[given]], [b[given]], np.flatnonzero(many)
+    for k in many:
         x, y = spanning(f[first[k]: first[k] + size[k]])
         out_a.append(first[k] + x)
         out_b.append(first[k] + y)
-    return out_a, out_b
-
-
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links (a, b, bits) in rows (list, v, f) in the order of lists.
-
-    Of a list beyond LIST only leaders stay in memory, to which later members are linked, too.
-    """
-    held = [np.zeros(0, np.int64) for _ in range(3)]
-
-    def rows(v: np.ndarray, f: np.ndarray, a: list, b: list) -> pa.RecordBatch:
-        a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (a, b))
-        x, y = v[a], v[b]
-        return pa.RecordBatch.from_arrays([
-            pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)),
-            pa.array(np.bitwise_count(f[a] ^ f[b]).astype(np.int32)),
-        ], ["a", "b", "bits"])
+    return out_a, out_b, many
 
-    def done(key: np.ndarray, v: np.ndarray, f: np.ndarray) -> pa.RecordBatch:
-        f = f.view(np.uint64)
-        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        size = np.diff(np.append(first, len(key)))
-        a, b = _short(size, first, f)
-        for k in np.flatnonzero(size > SHORT):
-            x, y = spanning(f[first[k]: first[k] + size[k]])
-            a.append(first[k] + x)
-            b.append(first[k] + y)
-        return rows(v, f, a, b)
 
+def _whole(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[list[np.ndarray]]:
+    """Rows of n columns in the order of the first, cut only where it changes."""
+    held = [np.zeros(0, np.int64) for _ in range(n)]
     for batch in batches:
         held = [np.concatenate([x, np.asarray(batch.column(i))]) for i, x in enumerate(held)]
-        key = held[0]
-        if not len(key):
-            continue
-        cut = int(np.searchsorted(key, key[-1]))
+        cut = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
         if cut:
-            yield done(*(x[:cut] for x in held))
+            yield [x[:cut] for x in held]
             held = [x[cut:] for x in held]
-        if len(held[0]) > LIST:
-            _, v, f = held
-            a, b, leaders = covering(f.view(np.uint64))
-            yield rows(v, f.view(np.uint64), [a], [b])
-            held = [x[leaders] for x in held]
     if len(held[0]):
-        yield done(*held)
+        yield held
 
 
-def meetings(heads: DataFrame, n: int) -> DataFrame:
-    """Stored links (a, b, bits) between the n rows (v, sketch) of ``heads`` that meet in a list.
+def _pairs(v: np.ndarray, f: np.ndarray, a: list, b: list) -> list[pa.Array]:
+    a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (a, b))
+    x, y = v[a], v[b]
+    return [
+        pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)),
+        pa.array(np.bitwise_count(f[a] ^ f[b]).astype(np.int32)),
+    ]
 
-    Keys grow with the logarithm of n, so lists stay short at any size; their number grows
-    as a root of n.
-    """
-    width = max(12, math.ceil(math.log2(max(n, 1))) - 2)
-    tables = math.ceil(math.log(MISS) / math.log(1 - AGREE ** width))
-    draw = np.random.default_rng(7)
-    places = [draw.choice(64 * WIDE, width, replace=False) for _ in range(tables)]
-    powers = np.int64(1) << np.arange(width)
 
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidates (a, b, bits) in rows (list, v, f) in the order of lists, and (list) where there are more.
+
+    A list beyond LIST gives links to leaders.
+    """
+    for key, v, f in _whole(batches, 3):
+        f = f.view(np.uint64)
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        size = np.diff(np.append(first, len(key)))
+        a, b, many = _short(size, first, f)
+        more = key[first[many]].tolist()
+        for k in np.flatnonzero(size > SHORT):
+            mine = f[first[k]: first[k] + size[k]]
+            x, y = spanning(mine) if size[k] <= LIST else covering(mine)[:2]
+            a.append(first[k] + x)
+            b.append(first[k] + y)
+            if len(x):
+                more.append(int(key[first[k]]))
+        none = pa.nulls(len(more), pa.int64())
+        found = _pairs(v, f, a, b)
+        yield pa.RecordBatch.from_arrays([
+            pa.concat_arrays([found[0], none]), pa.concat_arrays([found[1], none]),
+            pa.concat_arrays([found[2], pa.nulls(len(more), pa.int32())]),
+            pa.concat_arrays([pa.nulls(len(found[0]), pa.int64()), pa.array(more, pa.int64())]),
+        ], ["a", "b", "bits", "list"])
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All candidates (a, b, bits) of different groups in rows (list, root, v, f) in this order."""
+    for keys, roots, vs, fs in _whole(batches, 4):
+        edges = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        for lo, hi in zip(edges, np.append(edges[1:], len(keys))):
+            v, f, root = vs[lo:hi], fs[lo:hi].view(np.uint64), roots[lo:hi]
+            runs = np.append(np.flatnonzero(np.append(True, root[1:] != root[:-1])), hi - lo)
+            a, b, n = [], [], 0
+            for start, end in zip(runs[:-2].tolist(), runs[1:-1].tolist()):
+                left, right = f[start:end], f[end:]
+                # One vector operation for each member of the smaller side.
+                for k in range(min(len(left), len(right))):
+                    if len(left) <= len(right):
+                        met = end + np.flatnonzero(np.bitwise_count(right ^ left[k]) <= RADIUS)
+                        one = np.full(len(met), start + k)
+                    else:
+                        met = start + np.flatnonzero(np.bitwise_count(left ^ right[k]) <= RADIUS)
+                        one = np.full(len(met), end + k)
+                    a.append(one)
+                    b.append(met)
+                    n += len(met)
+                    if n > 1 << 16:
+                        yield pa.RecordBatch.from_arrays(_pairs(v, f, a, b), ["a", "b", "bits"])
+                        a, b, n = [], [], 0
+            if n:
+                yield pa.RecordBatch.from_arrays(_pairs(v, f, a, b), ["a", "b", "bits"])
+
+
+def postings(heads: DataFrame) -> DataFrame:
+    """(list, v, f) of every row (v, sketch): its place in the list of each set of positional bytes."""
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             v = np.asarray(batch.column("v"))
             sketch = np.asarray(batch.column("sketch").flatten()).reshape(-1, 2 + WIDE)
             for at in range(0, len(v), 512):
                 part = np.ascontiguousarray(sketch[at: at + 512])
-                bits = np.unpackbits(
-                    np.ascontiguousarray(part[:, 2:]).view(np.uint8), axis=1, bitorder="little"
-                ).astype(np.int64)
-                keys = [(bits[:, p] @ powers) + (t << width) for t, p in enumerate(places)]
+                places = np.ascontiguousarray(part[:, 2:]).view(np.uint8).astype(np.int64)
+                keys = []
+                for t, some in enumerate(SETS):
+                    key = np.full(len(part), t, np.int64)
+                    for p in some:
+                        key = key << 8 | places[:, p]
+                    keys.append(key)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate(keys)), pa.array(np.tile(v[at: at + 512], tables)),
-                    pa.array(np.tile(part[:, 1], tables)),
+                    pa.array(np.concatenate(keys)), pa.array(np.tile(v[at: at + 512], len(SETS))),
+                    pa.array(np.tile(part[:, 1], len(SETS))),
                 ], ["list", "v", "f"])
 
-    lists = heads.select("v", "sketch").mapInArrow(keyed, "list LONG, v LONG, f LONG")
-    met = lists.repartition("list").sortWithinPartitions("list", "v")
+    return heads.select("v", "sketch").mapInArrow(keyed, "list LONG, v LONG, f LONG")
+
+
+def meetings(heads: DataFrame) -> DataFrame:
+    """Stored candidates (a, b, bits) of the rows (v, sketch) of ``heads``, and rows (list) for each list that has
+    more of them."""
+    met = postings(heads).repartition("list").sortWithinPartitions("list", "v")
     return stored(
-        met.mapInArrow(_met, "a LONG, b LONG, bits INT").groupBy("a", "b").agg(F.min("bits").alias("bits")),
-        "meetings",
+        met.mapInArrow(_met, "a LONG, b LONG, bits INT, list LONG").groupBy("a", "b", "list")
+        .agg(F.min("bits").alias("bits")), "meetings",
     )
 
 
-def verified(met: DataFrame, sets: DataFrame) -> DataFrame:
-    """(v, root) of everything that links of ``met`` connect whose sets (v, shingles) are alike.
+def untested(heads: DataFrame, more: DataFrame, roots: DataFrame, met: DataFrame) -> DataFrame:
+    """Stored candidates (a, b) of the lists ``more`` that are in different groups, ``met`` left out."""
+    of = roots.select(F.col("v").alias("member"), "root")
+    rows = postings(heads).join(more, "list", "left_semi").join(of, F.col("v") == F.col("member"), "left").select(
+        "list", F.coalesce("root", "v").alias("root"), "v", "f"
+    )
+    found = rows.repartition("list").sortWithinPartitions("list", "root", "v").mapInArrow(
+        _across, "a LONG, b LONG, bits INT"
+    )
+    return stored(found.select("a", "b").distinct().join(met, ["a", "b"], "left_anti"), "across")
 
-    A round verifies the nearest links of every group found so far, each round more of them; links
-    within a group need none. Ends when no link between groups is left untested.
-    """
+
+def alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Stored pairs (a, b) whose sets (v, shingles) are alike."""
     one = sets.select(F.col("v").alias("a"), F.col("shingles").alias("of_a"))
     two = sets.select(F.col("v").alias("b"), F.col("shingles").alias("of_b"))
     both = F.size(F.array_intersect("of_a", "of_b"))
     same = both >= ALIKE * (F.size("of_a") + F.size("of_b") - both) - 1e-9
+    return stored(pairs.join(one, "a").join(two, "b").where(same).select("a", "b"), "alike")
+
+
+def verified(met: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(v, root) of everything that links of ``met`` connect whose sets (v, shingles) are alike, and these links.
+
+    A round verifies the nearest links of every group found so far, each round more of them; links
+    within a group need none. Ends when no link between groups is left untested.
+    """
     left = met.select("a", "b", "bits", F.col("a").alias("x"), F.col("b").alias("y"))
     found, roots, most = None, None, FIRST
     while True:
@@ -457,8 +506,8 @@ def verified(met: DataFrame, sets: DataFrame) -> DataFrame:
             .select("a", "b").distinct(), "picked",
         )
         if found is not None and picked.isEmpty():
-            return roots
-        links = stored(picked.join(one, "a").join(two, "b").where(same).select("a", "b"), "alike")
+            return roots, found
+        links = alike(picked, sets)
         found = links if found is None else found.union(links)
         roots = components(found, "near")
         of_a = roots.select(F.col("v").alias("a"), F.col("root").alias("root_a"))
@@ -475,8 +524,8 @@ def representatives(docs: DataFrame) -> DataFrame:
     """One document of each group of near-duplicates, the one with its smallest id, with all its columns.
 
     Groups are what links connect between texts whose sets of five-word shingles have a Jaccard
-    similarity of at least 0.8; every link is verified on the texts. Texts with the same shingles always meet,
-    others with the likelihood that MISS states for 0.8 and that nears 1 above. Texts without words are
+    similarity of at least 0.8; every link is verified on the texts. Texts with the same shingles are always linked,
+    others if they share MINIMUM positional bytes of a fingerprint and differ in at most RADIUS bits. Texts without words are
     one group. Of several rows with the smallest id one stays; rows with a null id stay only if their group has
     no other, and then one of them does. Ids never join or part groups.
     """
@@ -490,14 +539,21 @@ def representatives(docs: DataFrame) -> DataFrame:
             F.min(rank).alias("best"), F.first("sketch").alias("sketch")
         ), "heads",
     )
-    met = meetings(heads, heads.count())
-    ends = met.select(F.explode(F.array("a", "b")).alias("v")).distinct()
-    wanted = heads.join(ends, "v", "left_semi").select("v", F.col("best.key").alias("of"))
-    sets = stored(
-        marked.select("key", F.col("row.text").alias("text")).join(wanted, F.col("key") == F.col("of"))
-        .select("v", shingle_sets("text").alias("shingles")), "shingles",
-    )
-    roots = verified(met, sets).select(F.col("v").alias("member"), "root")
+    found = meetings(heads)
+    met, more = found.where("a is not null").select("a", "b", "bits"), found.where("list is not null").select("list")
+
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct()
+        wanted = heads.join(ends, "v", "left_semi").select("v", F.col("best.key").alias("of"))
+        texts_of = marked.select("key", F.col("row.text").alias("text")).join(wanted, F.col("key") == F.col("of"))
+        return stored(texts_of.select("v", shingle_sets("text").alias("shingles")), "shingles")
+
+    roots, links = verified(met, sets_of(met))
+    if not more.isEmpty():
+        left = untested(heads, more, roots, met)
+        if not left.isEmpty():
+            roots = components(links.union(alike(left, sets_of(left))), "all")
+    roots = roots.select(F.col("v").alias("member"), "root")
     kept = heads.join(roots, F.col("v") == F.col("member"), "left").groupBy(
         F.coalesce("root", "v").alias("group")
     ).agg(F.min("best").alias("best")).select(F.col("best.key").alias("head"))

@@ -381,6 +381,38 @@ def test_large_groups_of_near_copies(spark, monkeypatch):
     assert order((r["doc_id"],) for r in stay.collect()) == order((d,) for d in [0, *range(1000, 1050)])
 
 
+def test_candidates_are_all_that_share_positional_bytes(spark, monkeypatch):
+    # However crowded a list is, every pair at the minimum is verified or already in one group.
+    monkeypatch.setattr(simhash, "LIST", 40)
+    monkeypatch.setattr(simhash, "SHORT", 8)
+    monkeypatch.setattr(simhash, "LINKS", 0)
+    # Pairs of pages from one template, each pair alike, the pages of different pairs not quite.
+    base, rows = text_of(31, 400).split(" "), []
+    for i in range(150):
+        words, draw = base.copy(), random.Random(i)
+        for at in draw.sample(range(400), 18):
+            words[at] = f"page{i}x{at}"
+        rows.append((2 * i, " ".join(words)))
+        for at in draw.sample(range(400), 4):
+            words[at] = f"copy{i}x{at}"
+        rows.append((2 * i + 1, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(3)
+    sketched = {r["doc_id"]: np.array(r["s"], np.int64) for r in docs.select("doc_id", simhash.sketches("text").alias("s")).collect()}
+    prints = np.array([sketched[d][1:] for d, _ in rows]).view(np.uint64)
+    parts = np.ascontiguousarray(prints[:, 1:]).view(np.uint8).reshape(len(rows), simhash.WIDE, 8)
+    sets, group, candidates = [plain.shingles(t) for _, t in rows], list(range(len(rows))), 0
+    for i in range(len(rows)):
+        for j in range(i):
+            tally = (parts[i] == parts[j]).sum(1).max()
+            if tally >= simhash.MINIMUM and int(prints[i, 0] ^ prints[j, 0]).bit_count() <= simhash.RADIUS:
+                candidates += 1
+                if plain.jaccard(sets[i], sets[j]) >= 0.8 and group[i] != group[j]:
+                    group = [group[j] if g == group[i] else g for g in group]
+    assert candidates > 3000 and len(set(group)) > 50
+    want = [min(d for (d, _), g in zip(rows, group) if g == head) for head in set(group)]
+    assert order((r["doc_id"],) for r in simhash.representatives(docs).collect()) == order((d,) for d in want)
+
+
 def test_spanning_forest_connects_at_every_radius():
     draw = random.Random(5)
     prints = [0]
