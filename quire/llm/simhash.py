@@ -16,13 +16,14 @@ apart, fingerprints differ in about ten bits, and no number of shared bytes is c
 therefore has WIDE fingerprints, and the guaranteed minimum is MINIMUM positional bytes of one of them. The lists are
 again keyed by every set of so many positions with their bytes: whoever meets has reached the minimum and is verified,
 first by its differing bits in one more fingerprint, then on the texts' shingles. Where a list has many such pairs, as
-near copies have, only a minimum spanning forest is verified at first, which joins most of them; then all pairs that are
-still in different groups are.
+near copies have, only the nearest links of a minimum spanning forest are verified at first. All its pairs between groups
+are then compared in the list's task, and the nearest verified, more from round to round, until none is left. No pair
+is verified that parities of the texts' shingles rule out; no pair alike fails those.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -230,6 +231,8 @@ SHORT = 512
 LINKS = 4
 #: Links of a group verified in the first round, and their growth from round to round.
 FIRST, MORE = 1, 8
+#: Pairs and words of parities that a task compares at once.
+PAIRS, CELLS = 1 << 16, 1 << 21
 
 
 def shingled(chunk: texts.Chunk) -> tuple[np.ndarray, np.ndarray]:
@@ -302,6 +305,61 @@ def shingle_sets(text: str) -> Column:
     return sets(text)
 
 
+def parities(text: str) -> Column:
+    """Arrays of the number of distinct shingles of a text, and the parities of how many are in each of 64 * 2^k
+    buckets, as many buckets as shingles at least.
+
+    A shingle that only one of two texts has changes one parity, so their parities differ in no more places than their
+    sets in shingles. Twice as many buckets fold into half by exclusive or.
+    """
+    @F.arrow_udf(ArrayType(LongType()))
+    def marked(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in column:
+            out = [np.zeros(0, np.uint64)]
+            for chunk in texts.chunks(part):
+                hashes, bounds = shingled(chunk)
+                for a, b in zip(bounds[:-1], bounds[1:]):
+                    own = np.unique(hashes[a:b])
+                    size = 64 << (max(len(own) - 1, 0) >> 6).bit_length()
+                    odd = np.bincount((texts.mix(own) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+                    packed = np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+                    out.append(np.append(np.uint64(len(own)), packed))
+            yield _arrays(np.concatenate(out), np.cumsum([len(x) for x in out]))
+
+    return marked(text)
+
+
+def possible(marks: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """A function of places a, b in ``marks`` (``parities``): differing parities of each pair, -1 where they or the
+    sizes rule out that the texts are alike."""
+    n = np.array([m[0] for m in marks], np.int64)
+    words = np.array([len(m) - 1 for m in marks])
+    levels = {}
+    for level in np.unique(words).tolist():
+        # Texts of the next larger size are folded; those of other sizes are never alike.
+        own = np.flatnonzero((words == level) | (words == 2 * level))
+        place = np.zeros(len(marks), np.int64)
+        place[own] = np.arange(len(own))
+        levels[level] = place, np.array([
+            m[1:] if len(m) - 1 == level else m[1: level + 1] ^ m[level + 1:] for m in marks[own]
+        ], np.int64).view(np.uint64)
+
+    def differ(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out = np.full(len(a), -1, np.int64)
+        sizes = np.minimum(n[a], n[b]) >= ALIKE * np.maximum(n[a], n[b]) - 1e-6
+        least = np.minimum(words[a], words[b])
+        for level, (place, rows) in levels.items():
+            k = np.flatnonzero(sizes & (least == level))
+            step = max(1, CELLS // level)
+            for some in (k[at: at + step] for at in range(0, len(k), step)):
+                x, y = a[some], b[some]
+                odd = np.bitwise_count(rows[place[x]] ^ rows[place[y]]).sum(1, dtype=np.int64)
+                out[some] = np.where(odd <= (1 - ALIKE) / (1 + ALIKE) * (n[x] + n[y]) + 1e-6, odd, -1)
+        return out
+
+    return differ
+
+
 def spanning(f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links (two places) of a minimum spanning forest of fingerprints within RADIUS."""
     near = np.bitwise_count(f ^ f[0]).astype(np.int64)
@@ -382,58 +440,96 @@ def _pairs(v: np.ndarray, f: np.ndarray, a: list, b: list) -> list[pa.Array]:
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidates (a, b, bits) in rows (list, v, f) in the order of lists, and (list) where there are more.
+    """Candidates (a, b, bits, sure) in rows (list, v, f) in the order of lists, and the rows of lists with more.
 
-    A list beyond LIST gives links to leaders.
+    Those of lists with more are not sure: they need not be tested, as all pairs of these rows are. A list beyond LIST
+    gives links to leaders.
     """
     for key, v, f in _whole(batches, 3):
         f = f.view(np.uint64)
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         size = np.diff(np.append(first, len(key)))
         a, b, many = _short(size, first, f)
-        more = key[first[many]].tolist()
+        more = [np.arange(first[k], first[k] + size[k]) for k in many]
+        sure = len(a[0])
         for k in np.flatnonzero(size > SHORT):
             mine = f[first[k]: first[k] + size[k]]
             x, y = spanning(mine) if size[k] <= LIST else covering(mine)[:2]
             a.append(first[k] + x)
             b.append(first[k] + y)
             if len(x):
-                more.append(int(key[first[k]]))
-        none = pa.nulls(len(more), pa.int64())
-        found = _pairs(v, f, a, b)
-        yield pa.RecordBatch.from_arrays([
-            pa.concat_arrays([found[0], none]), pa.concat_arrays([found[1], none]),
-            pa.concat_arrays([found[2], pa.nulls(len(more), pa.int32())]),
-            pa.concat_arrays([pa.nulls(len(found[0]), pa.int64()), pa.array(more, pa.int64())]),
-        ], ["a", "b", "bits", "list"])
-
-
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All candidates (a, b, bits) of different groups in rows (list, root, v, f) in this order."""
-    for keys, roots, vs, fs in _whole(batches, 4):
-        edges = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        for lo, hi in zip(edges, np.append(edges[1:], len(keys))):
-            v, f, root = vs[lo:hi], fs[lo:hi].view(np.uint64), roots[lo:hi]
-            runs = np.append(np.flatnonzero(np.append(True, root[1:] != root[:-1])), hi - lo)
-            a, b, n = [], [], 0
-            for start, end in zip(runs[:-2].tolist(), runs[1:-1].tolist()):
-                left, right = f[start:end], f[end:]
-                # One vector operation for each member of the smaller side.
-                for k in range(min(len(left), len(right))):
-                    if len(left) <= len(right):
-                        met = end + np.flatnonzero(np.bitwise_count(right ^ left[k]) <= RADIUS)
-                        one = np.full(len(met), start + k)
-                    else:
-                        met = start + np.flatnonzero(np.bitwise_count(left ^ right[k]) <= RADIUS)
-                        one = np.full(len(met), end + k)
-                    a.append(one)
-                    b.append(met)
-                    n += len(met)
-                    if n > 1 << 16:
-                        yield pa.RecordBatch.from_arrays(_pairs(v, f, a, b), ["a", "b", "bits"])
-                        a, b, n = [], [], 0
-            if n:
-                yield pa.RecordBatch.from_arrays(_pairs(v, f, a, b), ["a", "b", "bits"])
+                more.append(np.arange(first[k], first[k] + size[k]))
+        found, more = _pairs(v, f, a, b), np.concatenate([np.zeros(0, np.int64), *more])
+        found.append(pa.array(np.arange(len(found[0])) < sure))
+        rows = [pa.array(key[more]), pa.array(v[more]), pa.array(f.view(np.int64)[more])]
+        yield pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([x, pa.nulls(len(more), x.type)]) for x in found]
+            + [pa.concat_arrays([pa.nulls(len(found[0]), x.type), x]) for x in rows],
+            ["a", "b", "bits", "sure", "list", "v", "f"],
+        )
+
+
+def _between(f: np.ndarray, root: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of places within RADIUS in different groups of a list in the order of groups, some at once."""
+    runs = np.append(np.flatnonzero(np.append(True, root[1:] != root[:-1])), len(f))
+    a, b, n = [], [], 0
+    for start, end in zip(runs[:-2].tolist(), runs[1:-1].tolist()):
+        left, right = f[start:end], f[end:]
+        # One vector operation for each member of the smaller side.
+        for k in range(min(len(left), len(right))):
+            if len(left) <= len(right):
+                met = end + np.flatnonzero(np.bitwise_count(right ^ left[k]) <= RADIUS)
+                one = np.full(len(met), start + k)
+            else:
+                met = start + np.flatnonzero(np.bitwise_count(left ^ right[k]) <= RADIUS)
+                one = np.full(len(met), end + k)
+            a.append(one)
+            b.append(met)
+            n += len(met)
+            if n > PAIRS:
+                yield np.concatenate(a), np.concatenate(b)
+                a, b, n = [], [], 0
+    if n:
+        yield np.concatenate(a), np.concatenate(b)
+
+
+def nearest(root: np.ndarray, a: np.ndarray, b: np.ndarray, far: np.ndarray, most: int) -> np.ndarray:
+    """The pairs that are among the ``most`` nearest of one of their two groups."""
+    side = np.concatenate([root[a], root[b]])
+    order = np.lexsort((np.tile(b, 2), np.tile(a, 2), np.tile(far, 2), side))
+    first = np.flatnonzero(np.append(True, side[order][1:] != side[order][:-1]))
+    nth = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
+    return np.unique(order[nth < most] % max(len(a), 1))
+
+
+def _across(most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of rows (list, root, v, f, marks) in this order the pairs (a, b) of different groups that may be alike, the
+    ``most`` nearest of each group of a list, and (list) where there are more."""
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, roots, vs, fs, marks in _whole(batches, 5):
+            edges = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            for lo, hi in zip(edges, np.append(edges[1:], len(keys))):
+                v, f, root = vs[lo:hi], fs[lo:hi].view(np.uint64), roots[lo:hi]
+                differ, limit, cut = possible(marks[lo:hi]), PAIRS, False
+                kept = np.zeros((3, 0), np.int64)
+                for a, b in _between(f, root):
+                    met = np.stack([a, b, differ(a, b)])
+                    kept = np.concatenate([kept, met[:, met[2] >= 0]], axis=1)
+                    if kept.shape[1] > limit:
+                        n, kept = kept.shape[1], kept[:, nearest(root, *kept, most)]
+                        limit, cut = max(PAIRS, 2 * kept.shape[1]), cut or kept.shape[1] < n
+                n, kept = kept.shape[1], kept[:, nearest(root, *kept, most)]
+                cut = cut or kept.shape[1] < n
+                x, y, more = v[kept[0]], v[kept[1]], [int(keys[lo])] * cut
+                if len(x):
+                    none = pa.nulls(len(more), pa.int64())
+                    yield pa.RecordBatch.from_arrays([
+                        pa.concat_arrays([pa.array(np.minimum(x, y)), none]),
+                        pa.concat_arrays([pa.array(np.maximum(x, y)), none]),
+                        pa.concat_arrays([pa.nulls(len(x), pa.int64()), pa.array(more, pa.int64())]),
+                    ], ["a", "b", "list"])
+
+    return found
 
 
 def postings(heads: DataFrame) -> DataFrame:
@@ -459,26 +555,53 @@ def postings(heads: DataFrame) -> DataFrame:
     return heads.select("v", "sketch").mapInArrow(keyed, "list LONG, v LONG, f LONG")
 
 
-def meetings(heads: DataFrame) -> DataFrame:
-    """Stored candidates (a, b, bits) of the rows (v, sketch) of ``heads``, and rows (list) for each list that has
-    more of them."""
-    met = postings(heads).repartition("list").sortWithinPartitions("list", "v")
+def meetings(heads: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stored candidates (a, b, bits) of the rows (v, sketch) of ``heads``, and the postings (list, v, f) of all
+    lists with more of them. Of the candidates in the latter, only the nearest of each text are given."""
+    met = stored(postings(heads).repartition("list").sortWithinPartitions("list", "v").mapInArrow(
+        _met, "a LONG, b LONG, bits INT, sure BOOLEAN, list LONG, v LONG, f LONG"
+    ), "meetings")
+    pairs = met.where("a is not null")
+    found = pairs.where("sure").select("a", "b", "bits")
+    for end in ("a", "b"):
+        best = pairs.where("not sure").groupBy(end).agg(F.min(F.struct("bits", "a", "b")).alias("best"))
+        found = found.union(best.select("best.a", "best.b", "best.bits"))
+    return stored(found.distinct(), "first"), met.where("list is not null").select("list", "v", "f")
+
+
+def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (a, b, bits, of_a, of_b) whose marks do not rule out that they are alike."""
+    for batch in batches:
+        for at in range(0, len(batch), 1024):
+            part = batch.slice(at, 1024)
+            n = len(part)
+            differ = possible(np.concatenate([np.asarray(part.column("of_a")), np.asarray(part.column("of_b"))]))
+            keep = pa.array(differ(np.arange(n), np.arange(n, 2 * n)) >= 0)
+            yield part.select(["a", "b", "bits"]).filter(keep)
+
+
+def plausible(pairs: DataFrame, marks: DataFrame) -> DataFrame:
+    """Stored pairs (a, b, bits) that ``marks`` (v, marks) do not rule out."""
+    one = marks.select(F.col("v").alias("a"), F.col("marks").alias("of_a"))
+    two = marks.select(F.col("v").alias("b"), F.col("marks").alias("of_b"))
     return stored(
-        met.mapInArrow(_met, "a LONG, b LONG, bits INT, list LONG").groupBy("a", "b", "list")
-        .agg(F.min("bits").alias("bits")), "meetings",
+        pairs.join(one, "a").join(two, "b").select("a", "b", "bits", "of_a", "of_b")
+        .mapInArrow(_plausible, "a LONG, b LONG, bits INT"), "plausible",
     )
 
 
-def untested(heads: DataFrame, more: DataFrame, roots: DataFrame, met: DataFrame) -> DataFrame:
-    """Stored candidates (a, b) of the lists ``more`` that are in different groups, ``met`` left out."""
+def untested(crowded: DataFrame, roots: DataFrame, most: int) -> DataFrame:
+    """Stored candidates (a, b) of the rows (list, v, f, marks) of ``crowded`` lists that are in different groups and
+    that the marks do not rule out, the ``most`` nearest of each group of a list, and rows (list) for each list that
+    has more."""
     of = roots.select(F.col("v").alias("member"), "root")
-    rows = postings(heads).join(more, "list", "left_semi").join(of, F.col("v") == F.col("member"), "left").select(
-        "list", F.coalesce("root", "v").alias("root"), "v", "f"
+    rows = crowded.join(of, F.col("v") == F.col("member"), "left").select(
+        "list", F.coalesce("root", "v").alias("root"), "v", "f", "marks"
     )
     found = rows.repartition("list").sortWithinPartitions("list", "root", "v").mapInArrow(
-        _across, "a LONG, b LONG, bits INT"
+        _across(most), "a LONG, b LONG, list LONG"
     )
-    return stored(found.select("a", "b").distinct().join(met, ["a", "b"], "left_anti"), "across")
+    return stored(found.distinct(), "across")
 
 
 def alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -539,20 +662,32 @@ def representatives(docs: DataFrame) -> DataFrame:
             F.min(rank).alias("best"), F.first("sketch").alias("sketch")
         ), "heads",
     )
-    found = meetings(heads)
-    met, more = found.where("a is not null").select("a", "b", "bits"), found.where("list is not null").select("list")
+    met, crowded = meetings(heads)
 
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct()
-        wanted = heads.join(ends, "v", "left_semi").select("v", F.col("best.key").alias("of"))
+    def read(ends: DataFrame, made: Column, name: str) -> DataFrame:
+        wanted = heads.join(ends.distinct(), "v", "left_semi").select("v", F.col("best.key").alias("of"))
         texts_of = marked.select("key", F.col("row.text").alias("text")).join(wanted, F.col("key") == F.col("of"))
-        return stored(texts_of.select("v", shingle_sets("text").alias("shingles")), "shingles")
+        return stored(texts_of.select("v", made.alias(name)), name)
+
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("v")).union(pairs.select(F.col("b").alias("v")))
 
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        return read(ends(pairs), shingle_sets("text"), "shingles")
+
+    marks = read(ends(met).union(crowded.select("v")), parities("text"), "marks")
+    met = plausible(met, marks)
     roots, links = verified(met, sets_of(met))
-    if not more.isEmpty():
-        left = untested(heads, more, roots, met)
-        if not left.isEmpty():
-            roots = components(links.union(alike(left, sets_of(left))), "all")
+    crowded, most = stored(crowded.join(marks, "v"), "crowded"), MORE ** 2
+    while not crowded.isEmpty():
+        across = untested(crowded, roots, most)
+        left, more = across.where("a is not null").select("a", "b"), across.where("list is not null").select("list")
+        if left.isEmpty():
+            break
+        links = links.union(alike(left, sets_of(left)))
+        roots = components(links, "all")
+        # Pairs that are not alike come again, hence more of them.
+        crowded, most = stored(crowded.join(more, "list", "left_semi"), "crowded"), most * MORE
     roots = roots.select(F.col("v").alias("member"), "root")
     kept = heads.join(roots, F.col("v") == F.col("member"), "left").groupBy(
         F.coalesce("root", "v").alias("group")

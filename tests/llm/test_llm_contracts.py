@@ -413,6 +413,49 @@ def test_candidates_are_all_that_share_positional_bytes(spark, monkeypatch):
     assert order((r["doc_id"],) for r in simhash.representatives(docs).collect()) == order((d,) for d in want)
 
 
+@pytest.mark.parametrize("links", [0, 4])
+def test_pages_of_one_template_are_not_verified_in_all_pairs(spark, monkeypatch, links):
+    # Pages that are not quite alike, each with a copy: nearly all of their 44,850 pairs are candidates.
+    monkeypatch.setattr(simhash, "LINKS", links)
+    base, rows = text_of(32, 400).split(" "), []
+    for i in range(150):
+        words, draw = base.copy(), random.Random(i)
+        for at in draw.sample(range(400), 10):
+            words[at] = f"page{i}x{at}"
+        rows.append((2 * i, " ".join(words)))
+        for at in draw.sample(range(400), 2):
+            words[at] = f"copy{i}x{at}"
+        rows.append((2 * i + 1, " ".join(words)))
+    verified, alike = [], simhash.alike
+    monkeypatch.setattr(simhash, "alike", lambda pairs, sets: verified.append(pairs.count()) or alike(pairs, sets))
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(3)
+    stay = simhash.representatives(docs)
+    assert order((r["doc_id"],) for r in stay.collect()) == order((2 * i,) for i in range(150))
+    assert 150 <= sum(verified) <= 5 * len(rows)
+
+
+def test_parities_rule_out_no_pair_that_is_alike(spark):
+    rows = []
+    for i, n in enumerate([5, 6, 20, 67, 68, 69, 120, 133, 200, 260, 900] * 4):
+        base = text_of(7000 + i, n)
+        rows += [base, edited(base, 60, i), edited(base, 45, i + 1), edited(base, 20, i + 2), " ".join(base.split(" ")[: -n // 5])]
+    rows += ["", None, "one"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "id LONG, text STRING")
+    got = dict(docs.select("id", simhash.parities("text")).collect())
+    marks = np.empty(len(rows), object)
+    marks[:] = [np.array(got[i], np.int64) for i in range(len(rows))]
+    sets = [plain.shingles(t) for t in rows]
+    assert [m[0] for m in marks] == [len(s) for s in sets]
+    a, b = np.triu_indices(len(rows), 1)
+    differ, like = simhash.possible(marks)(a, b), 0
+    for x, y, d in zip(a, b, differ):
+        assert d <= len(sets[x] ^ sets[y])
+        if (sets[x] or sets[y]) and plain.jaccard(sets[x], sets[y]) >= 0.8:
+            like += 1
+            assert d >= 0
+    assert like > 60 and (differ < 0).mean() > 0.9
+
+
 def test_spanning_forest_connects_at_every_radius():
     draw = random.Random(5)
     prints = [0]
